@@ -8,12 +8,31 @@ be compared value by value with the SQL oracle in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sediment.functions import rules as R
+from sediment.operators.feeds import (CHILDREN_PER_REPOSITORY, MIN_STARS, REPOSITORIES_PER_RUN,
+                                      TOP_REPOSITORIES, children_of, search_filter, top_k,
+                                      top_k_per_group)
+from sediment.operators.joins import left_join_keys, salted_left_join
+from sediment.operators.merge import merge_coalesce
+from sediment.operators.roles import GRAIN, role_aggregate, role_union
 from sediment.plans import silver
-from sediment.schemas import LOAD_TS
+from sediment.plans.bronze import REPO_FIELDS, build_bronze, flatten, unflatten
+from sediment.plans.quality import layer_summary, null_counts, thresholds
+from sediment.plans.run import build_silver, layered_summary, run_layers
+from sediment.schemas import FEEDS, LOAD_TS
+from sediment.session import scratch_path
 from sediment.sources import driver_tables as dt
+from sediment.sources.landing import (envelope_report, feed_records, route_feed, scan_feed,
+                                      write_envelopes)
+from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
+
+# Language and document id in a page URL such as ``https://host/en/25#top``.
+PAGE_URL_PATTERN = r"/([a-z]{2})/([0-9]+)"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +84,349 @@ def q_fact_issues(spark, sf):
 def q_fact_pull_requests(spark, sf):
     b = dt.bronze_inputs(spark, sf)
     return _no_stamps(silver.fact_pull_requests(b["issues"], b["repositories"]))
+
+
+# --- landing helpers ---------------------------------------------------------------------------
+# Landing time of the derived documents and the API page size.
+LAND_TS = "2024-06-01T00:00:00"
+PAGE_SIZE = 50
+
+
+def _pages(feed: str) -> list:
+    """Page key of each feed: at most PAGE_SIZE records share a landing document."""
+    if feed == "repositories":
+        return [F.floor(F.col("repo_id") / PAGE_SIZE).alias("_page")]
+    if feed == "issues":
+        return [F.floor(F.col("issue_id") / PAGE_SIZE).alias("_page")]
+    if feed == "commits":
+        return [F.col("author_id").alias("_author"),
+                F.floor(F.col("comment_count") / PAGE_SIZE).alias("_page")]
+    return []
+
+
+def land(spark: SparkSession, sf: str, feeds=FEEDS) -> str:
+    """Write the derived records of ``feeds`` as JSON Lines envelopes into fresh scratch space."""
+    inputs = dt.bronze_inputs(spark, sf)
+    landing = scratch_path(spark, "landing")
+    for feed in feeds:
+        pages = _pages(feed)
+        recs = unflatten(inputs[feed], feed, keep=tuple(pages))
+        write_envelopes(recs, feed, landing, [n for n in ("_author", "_page") if n in recs.columns],
+                        F.lit(LAND_TS))
+    return landing
+
+
+def _bronze_query(feed: str) -> Query:
+    def q(spark, sf):
+        landing = land(spark, sf, [feed])
+        out = scratch_path(spark, "bronze")
+        paths = build_bronze(spark, landing, out, layout="lines", feeds=[feed])
+        return _no_stamps(spark.read.parquet(paths[feed]))
+    q.__name__ = f"q_bronze_{feed}"
+    return q
+
+
+for _feed in FEEDS:
+    register(f"bronze_{_feed}")(_bronze_query(_feed))
+
+
+@register("landing_envelope_roundtrip")
+def q_landing_envelope_roundtrip(spark, sf):
+    landing = land(spark, sf, ["repositories"])
+    docs = scan_feed(spark, landing, "repositories", layout="lines")
+    return _no_stamps(flatten(feed_records(docs, "repositories"), "repositories"))
+
+
+@register("landing_json_scan")
+def q_landing_json_scan(spark, sf):
+    landing = land(spark, sf, ["issues"])
+    docs = scan_feed(spark, landing, "issues", layout="lines")
+    return docs.select(
+        F.array_min(F.transform("data.issues", lambda x: x["id"])).alias("first_issue_id"),
+        F.size("data.issues").cast("bigint").alias("items"),
+        F.col("ingestion_timestamp"),
+        F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+@register("json_explode_flatten")
+def q_json_explode_flatten(spark, sf):
+    landing = land(spark, sf, ["commits"])
+    docs = scan_feed(spark, landing, "commits", layout="lines")
+    return _no_stamps(flatten(feed_records(docs, "commits"), "commits"))
+
+
+@register("struct_star_expand")
+def q_struct_star_expand(spark, sf):
+    landing = land(spark, sf, ["repo_details"])
+    docs = scan_feed(spark, landing, "repo_details", layout="lines")
+    star = docs.select("data.*")
+    return star.select(*[F.col(src).alias(dst) for src, dst in REPO_FIELDS])
+
+
+@register("landing_route_by_name")
+def q_landing_route_by_name(spark, sf):
+    """File names the API client would give each landed document, routed to their feed."""
+    b = dt.bronze_inputs(spark, sf)
+    stamp = "_20240601_000000.json"
+    repos = (b["repositories"].select(F.floor(F.col("repo_id") / PAGE_SIZE).alias("p")).distinct()
+             .select(F.concat(F.lit("repositories_"), F.col("p").cast("string"), F.lit(stamp))
+                     .alias("file_name")))
+    details = b["repo_details"].select(
+        F.concat(F.lit("repo_details_"), F.col("repo_name"), F.lit(stamp)).alias("file_name"))
+    children = []
+    for feed in ("commits", "issues"):
+        u = silver.with_url_repo(b[feed]).select("_url_owner", "_url_repo").distinct()
+        children.append(u.select(F.concat(F.lit(f"{feed}_"), F.col("_url_owner"), F.lit("_"),
+                                          F.col("_url_repo"), F.lit(stamp)).alias("file_name")))
+    names = repos.unionByName(details).unionByName(children[0]).unionByName(children[1])
+    return names.select("file_name", route_feed("file_name").alias("feed"))
+
+
+# --- sinks and summaries -----------------------------------------------------------------------
+@register("bronze_parquet_roundtrip")
+def q_bronze_parquet_roundtrip(spark, sf):
+    path = write_parquet(dt.read(spark, sf, "supplier"), scratch_path(spark, "parquet"))
+    spark.read.parquet(path).createOrReplaceTempView("sediment_bronze_supplier")
+    return spark.sql("SELECT * FROM sediment_bronze_supplier")
+
+
+@register("silver_table_roundtrip")
+def q_silver_table_roundtrip(spark, sf):
+    ensure_schema(spark, "silver", scratch_path(spark, "silver_db"))
+    name = save_table(dt.read(spark, sf, "region"), "sediment_region", "silver",
+                      scratch_path(spark, "silver_region"))
+    return spark.read.table(name)
+
+
+@register("table_summary")
+def q_table_summary(spark, sf):
+    return table_summary({t: dt.read(spark, sf, t) for t in dt.TABLES})
+
+
+def _run(spark, sf):
+    landing = land(spark, sf)
+    work = scratch_path(spark, "run")
+    return landing, work
+
+
+@register("landing_to_silver_run")
+def q_landing_to_silver_run(spark, sf):
+    landing, work = _run(spark, sf)
+    bronze = build_bronze(spark, landing, f"{work}/bronze", layout="lines")
+    frames = {t: spark.read.parquet(p) for t, p in bronze.items()}
+    silver_paths = build_silver(spark, frames, f"{work}/silver")
+    return layered_summary(spark, landing, bronze, silver_paths, layout="lines")
+
+
+@register("layer_summary")
+def q_layer_summary(spark, sf):
+    return layer_summary(q_landing_to_silver_run(spark, sf))
+
+
+@register("dq_missing_tables")
+def q_dq_missing_tables(spark, sf):
+    landing, work = _run(spark, sf)
+    return run_layers(spark, landing, work, layout="lines")
+
+
+@register("dq_envelope")
+def q_dq_envelope(spark, sf):
+    landing = land(spark, sf)
+    return reduce(DataFrame.unionByName,
+                  [envelope_report(scan_feed(spark, landing, f, "lines"), f) for f in FEEDS])
+
+
+@register("dq_null_counts")
+def q_dq_null_counts(spark, sf):
+    return null_counts(_no_stamps(dt.bronze_inputs(spark, sf)["issues"]))
+
+
+@register("dq_thresholds")
+def q_dq_thresholds(spark, sf):
+    return thresholds(_no_stamps(dt.bronze_inputs(spark, sf)["issues"]))
+
+
+# --- feed selection ------------------------------------------------------------------------------
+@register("feed_filter")
+def q_feed_filter(spark, sf):
+    repos = dt.bronze_inputs(spark, sf)["repositories"]
+    return search_filter(repos, language="python", min_stars=MIN_STARS).select(
+        "repo_id", "repo_name", "language", "stars")
+
+
+@register("feed_topk")
+def q_feed_topk(spark, sf):
+    repos = dt.bronze_inputs(spark, sf)["repositories"]
+    return top_k(repos.select("repo_id", "repo_name", "stars"), REPOSITORIES_PER_RUN,
+                 [F.desc("stars"), F.asc("repo_id")])
+
+
+@register("feed_topk_per_group")
+def q_feed_topk_per_group(spark, sf):
+    issues = silver.with_url_repo(dt.bronze_inputs(spark, sf)["issues"])
+    return top_k_per_group(issues.select("issue_id", "created_at", "_url_owner"), ["_url_owner"],
+                           [F.desc("created_at"), F.asc("issue_id")],
+                           CHILDREN_PER_REPOSITORY).withColumnRenamed("_url_owner", "repo_owner")
+
+
+@register("feed_children_of_topk")
+def q_feed_children_of_topk(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    top = top_k(b["repositories"].select("repo_id", "repo_name", "stars"), TOP_REPOSITORIES,
+                [F.desc("stars"), F.asc("repo_id")])
+    issues = silver.with_url_repo(b["issues"])
+    return children_of(issues, top, ["_url_repo"], ["repo_name"],
+                       parents_bounded=TOP_REPOSITORIES).select(
+        "issue_id", "user_id", F.col("_url_repo").alias("repo_name"))
+
+
+# --- merges, unions, joins -----------------------------------------------------------------------
+@register("full_outer_coalesce_merge")
+def q_full_outer_coalesce_merge(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return merge_coalesce(b["repositories"], b["repo_details"], ["repo_id"], silver.REPO_COLUMNS)
+
+
+@register("role_union")
+def q_role_union(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return role_union(b["repositories"], b["commits"], b["issues"])
+
+
+@register("role_aggregate")
+def q_role_aggregate(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return role_aggregate(role_union(b["repositories"], b["commits"], b["issues"]))
+
+
+@register("role_classify")
+def q_role_classify(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    agg = role_aggregate(role_union(b["repositories"], b["commits"], b["issues"]))
+    return agg.select(*GRAIN, R.primary_role().alias("primary_role"),
+                      R.user_activity_level().alias("user_activity_level"))
+
+
+@register("left_join_two_keys")
+def q_left_join_two_keys(spark, sf):
+    pages = dt.read(spark, sf, "pages").select(
+        "page_id", "url",
+        F.regexp_extract("url", PAGE_URL_PATTERN, 1).alias("page_lang"),
+        F.regexp_extract("url", PAGE_URL_PATTERN, 2).cast("bigint").alias("page_doc"))
+    docs = dt.read(spark, sf, "documents")
+    return left_join_keys(pages, docs, ["page_doc", "page_lang"], ["doc_id", "lang"],
+                          ["doc_id", "source", "n_chars"])
+
+
+@register("left_join_fanout")
+def q_left_join_fanout(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    prs = b["issues"].where(F.col("pull_request").isNotNull()).select(
+        F.col("issue_id").alias("pr_id"), F.col("user_id").alias("author_id"))
+    return salted_left_join(prs, b["repositories"], "author_id", "owner_id",
+                            ["repo_id", "repo_name", "owner_id"])
+
+
+@register("filter_not_null")
+def q_filter_not_null(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.where(F.col("assignee_id").isNotNull()).select("issue_id", "assignee_id")
+
+
+# --- rule families -------------------------------------------------------------------------------
+def _perm_base(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return merge_coalesce(b["repositories"], b["repo_details"], ["repo_id"],
+                          silver.PERMISSION_COLUMNS)
+
+
+@register("clean_defaults")
+def q_clean_defaults(spark, sf):
+    repos = dt.bronze_inputs(spark, sf)["repositories"]
+    d = R.repo_defaults()
+    return repos.select("repo_id", *[d[c].alias(c) for c in d])
+
+
+@register("bucket_strict")
+def q_bucket_strict(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return b["repositories"].select("repo_id", "stars",
+                                    R.popularity_category("stars").alias("popularity_category"))
+
+
+@register("bucket_inclusive")
+def q_bucket_inclusive(spark, sf):
+    repos = dt.bronze_inputs(spark, sf)["repositories"]
+    return repos.select("repo_id", R.popularity_tier("stars").alias("popularity_tier"),
+                        R.fork_activity_level("forks").alias("fork_activity_level"),
+                        R.issue_volume_level("open_issues").alias("issue_volume_level"))
+
+
+@register("compound_bucket")
+def q_compound_bucket(spark, sf):
+    return _perm_base(spark, sf).select("repo_id", R.maturity_level().alias("maturity_level"))
+
+
+@register("priority_status")
+def q_priority_status(spark, sf):
+    return _perm_base(spark, sf).select(
+        "repo_id", R.repository_status().alias("repository_status"),
+        R.access_level().alias("access_level"), R.visibility_level().alias("visibility_level"))
+
+
+@register("value_map")
+def q_value_map(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return b["issues"].select("issue_id", "state", R.issue_status().alias("issue_status"))
+
+
+@register("tristate_map")
+def q_tristate_map(spark, sf):
+    commits = dt.bronze_inputs(spark, sf)["commits"]
+    return commits.select("commit_sha", R.verification_status().alias("verification_status"))
+
+
+@register("length_bucket")
+def q_length_bucket(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.select("issue_id", R.length_category("title").alias("title_length_category"),
+                         R.body_length_category().alias("body_length_category"))
+
+
+@register("keyword_classify")
+def q_keyword_classify(spark, sf):
+    commits = dt.bronze_inputs(spark, sf)["commits"]
+    return commits.select("commit_sha", R.length_category("message").alias("message_length_category"),
+                          R.commit_type().alias("commit_type"))
+
+
+@register("duration_seconds")
+def q_duration_seconds(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.select(
+        "issue_id",
+        R.duration_seconds("closed_at", "created_at").alias("resolution_time_seconds"),
+        R.duration_seconds("updated_at", "created_at").alias("update_lag_seconds"))
+
+
+@register("url_regexp_extract")
+def q_url_regexp_extract(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.select("issue_id", R.url_repo_owner().alias("repo_owner"),
+                         R.url_repo_name().alias("repo_name"))
+
+
+@register("presence_flags")
+def q_presence_flags(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.select(
+        "issue_id", R.assignment_status().alias("assignment_status"),
+        R.milestone_status().alias("milestone_status"), R.issue_type().alias("issue_type"),
+        R.is_resolved().alias("is_resolved"), R.presence_flag("assignee_id").alias("is_assigned"),
+        R.presence_flag("milestone_id").alias("has_milestone"))
+
+
+@register("array_size_flag")
+def q_array_size_flag(spark, sf):
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return issues.select("issue_id", R.has_items("labels").alias("has_labels"))
