@@ -69,8 +69,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
-    keyed = df.where(_not_null(keys))
-    latest = (keyed.groupBy(*keys).agg(F.max(packed).alias("_latest"))
+    # A NULL-keyed row gets a grouping tag of its own, so it forms a group alone; this keeps
+    # the operator a single aggregate over a single scan (no second pass over the input).
+    # The tag is stable when a lost task is recomputed: it depends only on the row's position
+    # in its (deterministically split) input partition.
+    alone = F.when(~_not_null(keys), F.monotonically_increasing_id())
+    latest = (df.withColumn("_alone", alone).groupBy(*keys, "_alone")
+              .agg(F.max(packed).alias("_latest"))
               .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in (*order_by, *rest)]))
-    null_keyed = df.where(~_not_null(keys))
-    return latest.select(*df.columns).unionByName(null_keyed.select(*df.columns))
+    return latest.select(*df.columns)

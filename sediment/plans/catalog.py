@@ -430,3 +430,15 @@ def q_presence_flags(spark, sf):
 def q_array_size_flag(spark, sf):
     issues = dt.bronze_inputs(spark, sf)["issues"]
     return issues.select("issue_id", R.has_items("labels").alias("has_labels"))
+
+
+# --- incremental (streaming) landing -> bronze ---------------------------------------------------
+@register("bronze_incremental")
+def q_bronze_incremental(spark, sf):
+    """Issues landed as files, consumed by an ``availableNow`` stream into the record log."""
+    from sediment.streaming.incremental import current_bronze, ingest_new_landing
+
+    landing = land(spark, sf, ["issues"])
+    log_dir, ckpt = scratch_path(spark, "issues_log"), scratch_path(spark, "issues_ckpt")
+    ingest_new_landing(spark, landing, log_dir, ckpt, "issues").awaitTermination()
+    return _no_stamps(current_bronze(spark, log_dir, "issues"))

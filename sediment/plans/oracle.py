@@ -493,3 +493,5 @@ ORACLE["array_size_flag"] = oracle_with("issues") + """
 SELECT issue_id, CASE WHEN labels IS NOT NULL AND len(labels) > 0 THEN 1 ELSE 0 END AS has_labels
 FROM issues
 """
+
+ORACLE["bronze_incremental"] = ORACLE["bronze_issues"]

@@ -20,8 +20,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A dimension is broadcast only after AQE has measured it below this size.
+    # Broadcast decisions use sizes AQE has measured on materialized shuffles, never planner
+    # estimates: static auto-broadcast is off, the runtime threshold is explicit.  Explicit
+    # broadcast() is used only where the size is bounded by construction (a top-k).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Shuffle partitions: AQE coalesces small ones and splits skewed ones toward this size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
