@@ -6,10 +6,9 @@ the sort-merge join into a broadcast join only below
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the join stays a sort-merge join,
 and AQE's skew handling splits oversized partitions of the fact (the streamed, left side).
 
-``salted_left_join`` covers the one case AQE cannot split: a hot key on the *dimension* side of
-a left join (one owner holding a third of all repositories).  There the dimension rows of each
-key are spread over ``buckets`` salts and the fact rows are replicated once per salt, so the
-hot key is worked on by ``buckets`` tasks.
+``fanout_left_join`` covers the case AQE cannot split in a left join: a hot key on the
+*dimension* side (one owner holding a third of all repositories).  It is rewritten as an inner
+join (splittable on both sides) plus an anti join for the unmatched rows, optionally salted.
 """
 
 from __future__ import annotations
@@ -44,25 +43,31 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                          *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()])
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                     right_cols: Sequence[str] | dict, buckets: int = 8) -> DataFrame:
+def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                     right_cols: Sequence[str] | dict, salt_buckets: int = 1) -> DataFrame:
     """Same result as ``left_join_keys`` on one key, robust to a hot key on the right side.
 
-    Matched pairs come from an inner join on ``(key, salt)``: each right row carries a salt
-    fixed by a hash of its content (deterministic, so a recomputed task after an executor loss
-    salts identically), and each left row is replicated to every salt.  Left rows without any
+    Matched pairs come from an *inner* join, for which AQE can split a skewed partition on
+    either side (for a left outer join it can only split the left).  Left rows without any
     partner come from an anti join against the distinct right keys (one row per key after the
-    map-side partial aggregation).
+    map-side partial aggregation).  Both joins exchange the left side on the same key, so the
+    planner reuses one shuffle of it.
+
+    With ``salt_buckets > 1`` the hot key is also spread explicitly: each right row carries a
+    salt fixed by a hash of its content (deterministic, so a recomputed task after an executor
+    loss salts identically) and each left row is replicated to every salt.
     """
     if not isinstance(right_cols, dict):
         right_cols = {c: c for c in right_cols}
-    if buckets <= 1:
-        return left_join_keys(left, right, [left_key], [right_key], right_cols)
     r = right.select(F.col(right_key).alias("_rk0"),
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
-    r = r.withColumn("_salt", F.pmod(F.xxhash64(*r.columns), F.lit(buckets)).cast("int"))
-    l = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    matched = (l.join(r, (l[left_key] == r["_rk0"]) & (l["_salt"] == r["_salt"]), "inner")
+    l = left
+    cond = l[left_key] == r["_rk0"]
+    if salt_buckets > 1:
+        r = r.withColumn("_salt", F.pmod(F.xxhash64(*r.columns), F.lit(salt_buckets)).cast("int"))
+        l = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = (l[left_key] == r["_rk0"]) & (l["_salt"] == r["_salt"])
+    matched = (l.join(r, cond, "inner")
                .select(*[l[c] for c in left.columns],
                        *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()]))
     keys = right.select(F.col(right_key).alias("_rk0")).where(F.col("_rk0").isNotNull()).distinct()

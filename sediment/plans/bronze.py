@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sediment.operators.merge import latest_per_key
 from sediment.schemas import BRONZE_KEYS, FEEDS
-from sediment.sources.landing import feed_records, scan_feed
+from sediment.sources.landing import feed_records, list_landing, scan_feed
 from sediment.sources.tables import write_parquet
 
 log = logging.getLogger(__name__)
@@ -103,11 +103,16 @@ def bronze_feed(spark: SparkSession, landing_dir: str, feed: str, layout: str =
 
 def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  layout: str = "document", feeds=FEEDS, latest: bool = True,
-                 on_error: str = "raise", loaded_at: Column | None = None) -> dict[str, str]:
+                 on_error: str = "raise", loaded_at: Column | None = None,
+                 require_input: bool = False) -> dict[str, str]:
     """Land -> bronze for every feed; returns ``{table: parquet path}`` of written tables.
 
-    ``on_error="skip"`` logs a failing feed and goes on with the rest.
+    ``on_error="skip"`` logs a failing feed and goes on with the rest (the interactive
+    script's behaviour); with ``require_input`` an empty landing zone is an error (the
+    scheduled run's behaviour).  Only the file listing is read for that check.
     """
+    if require_input and list_landing(spark, landing_dir).limit(1).count() == 0:
+        raise FileNotFoundError(f"no landing files under {landing_dir}")
     written = {}
     for feed in feeds:
         path = f"{bronze_dir.rstrip('/')}/{feed}"

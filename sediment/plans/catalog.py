@@ -17,7 +17,7 @@ from sediment.functions import rules as R
 from sediment.operators.feeds import (CHILDREN_PER_REPOSITORY, MIN_STARS, REPOSITORIES_PER_RUN,
                                       TOP_REPOSITORIES, children_of, search_filter, top_k,
                                       top_k_per_group)
-from sediment.operators.joins import left_join_keys, salted_left_join
+from sediment.operators.joins import left_join_keys, fanout_left_join
 from sediment.operators.merge import merge_coalesce
 from sediment.operators.roles import GRAIN, role_aggregate, role_union
 from sediment.plans import silver
@@ -323,7 +323,7 @@ def q_left_join_fanout(spark, sf):
     b = dt.bronze_inputs(spark, sf)
     prs = b["issues"].where(F.col("pull_request").isNotNull()).select(
         F.col("issue_id").alias("pr_id"), F.col("user_id").alias("author_id"))
-    return salted_left_join(prs, b["repositories"], "author_id", "owner_id",
+    return fanout_left_join(prs, b["repositories"], "author_id", "owner_id",
                             ["repo_id", "repo_name", "owner_id"])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +57,25 @@ def table_summary(tables: Mapping[str, DataFrame] | Sequence[tuple[str, DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def catalog_tables(spark: SparkSession, schema: str) -> dict[str, DataFrame]:
-    """Every table of a catalog schema, by name (empty when the schema does not exist)."""
+def catalog_tables(spark: SparkSession, schema: str) -> tuple[dict[str, DataFrame], list[str]]:
+    """Readable tables of a catalog schema by name, and the names that could not be resolved.
+
+    A table that fails to resolve is reported, not fatal: the others are still summarised.
+    """
     if not spark.catalog.databaseExists(schema):
-        return {}
-    return {t.name: spark.read.table(f"{schema}.{t.name}")
-            for t in spark.catalog.listTables(schema)}
+        return {}, []
+    good, bad = {}, []
+    for t in spark.catalog.listTables(schema):
+        try:
+            good[t.name] = spark.read.table(f"{schema}.{t.name}")
+        except AnalysisException:
+            bad.append(t.name)
+    return good, bad
+
+
+def catalog_summary(spark: SparkSession, schema: str) -> DataFrame:
+    """``table_summary`` of every table in ``schema``; unresolvable tables get NULL counts."""
+    good, bad = catalog_tables(spark, schema)
+    empty = spark.createDataFrame([(n, None, None) for n in bad],
+                                  "table_name string, row_count bigint, column_count bigint")
+    return table_summary(good).unionByName(empty) if good else empty

@@ -160,3 +160,11 @@ def test_build_bronze_writes_four_tables(spark, landing, tmp_path):
     assert counts == {"repositories": 2, "repo_details": 1, "commits": 4, "issues": 4}
     widths = {t: len(spark.read.parquet(p).columns) for t, p in out.items()}
     assert widths == {"repositories": 28, "repo_details": 28, "commits": 26, "issues": 30}
+
+
+def test_scheduled_run_requires_input(spark, tmp_path):
+    empty = str(tmp_path / "empty")
+    os.makedirs(empty)
+    with pytest.raises(FileNotFoundError):
+        build_bronze(spark, empty, str(tmp_path / "b"), require_input=True)
+    assert build_bronze(spark, empty, str(tmp_path / "b2"))["issues"]
