@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from sediment.plans.bronze import build_bronze
 from sediment.plans.quality import missing_tables
-from sediment.plans.silver import BUILDERS
+from sediment.plans.silver import (BUILDERS, dim_repo_permissions_from_merge,
+                                   dim_repositories_from_merge, repo_merge)
 from sediment.schemas import BRONZE_TABLES, FEEDS, SILVER_TABLES
+from sediment.session import scratch_path
 from sediment.sources.landing import list_landing, scan_feed, envelope_report
 from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
 
@@ -33,12 +35,24 @@ def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_di
     """
     if schema:
         ensure_schema(spark, schema)
+    shared = {}
+    if {"dim_repositories", "dim_repo_permissions"} <= set(tables):
+        # Both dimensions come from one full outer merge: run the join once, write it under
+        # the checkpoint root (a lineage cut), and derive both tables from the written copy.
+        merge_path = write_parquet(repo_merge(bronze["repositories"], bronze["repo_details"]),
+                                   scratch_path(spark, "repo_merge"))
+        merged = spark.read.parquet(merge_path)
+        shared = {"dim_repositories": lambda: dim_repositories_from_merge(merged, loaded_at),
+                  "dim_repo_permissions": lambda: dim_repo_permissions_from_merge(merged, loaded_at)}
     written = {}
     for name in tables:
         builder, inputs = BUILDERS[name]
         path = f"{silver_dir.rstrip('/')}/{name}"
         try:
-            df = builder(*[bronze[i] for i in inputs], loaded_at=loaded_at)
+            if name in shared:
+                df = shared[name]()
+            else:
+                df = builder(*[bronze[i] for i in inputs], loaded_at=loaded_at)
             if schema:
                 save_table(df, name, schema, path)
             else:

@@ -29,17 +29,29 @@ def _stamp(loaded_at: Column | None) -> Column:
         "silver_ingestion_timestamp")
 
 
-# T1 ------------------------------------------------------------------------------------------
-def dim_repositories(repos: DataFrame, details: DataFrame,
-                     loaded_at: Column | None = None) -> DataFrame:
-    """Search hits merged with details (left wins), keyed rows only, defaults and categories."""
-    merged = merge_coalesce(repos, details, ["repo_id"],
-                            REPO_COLUMNS + ["bronze_ingestion_timestamp"],
-                            greatest=["bronze_ingestion_timestamp"], drop_null_keys=True)
+# One merge, two dimensions ----------------------------------------------------------
+def repo_merge(repos: DataFrame, details: DataFrame, drop_null_keys: bool = False) -> DataFrame:
+    """Full outer merge of search hits and details (left wins) with both load-time variants.
+
+    ``_loaded_latest`` is the later stamp of both sides (T1's rule), ``_loaded_first`` the
+    left stamp when present (T3's rule).  Both dimensions can be derived from this one frame,
+    so ``build_silver`` runs the join once when it builds both.
+    """
+    ts = "bronze_ingestion_timestamp"
+    cols = {c: c for c in REPO_COLUMNS}
+    r = repos.withColumns({"_loaded_latest": F.col(ts), "_loaded_first": F.col(ts)})
+    d = details.withColumns({"_loaded_latest": F.col(ts), "_loaded_first": F.col(ts)})
+    cols.update({"_loaded_latest": "_loaded_latest", "_loaded_first": "_loaded_first"})
+    return merge_coalesce(r, d, ["repo_id"], cols, greatest=["_loaded_latest"],
+                          drop_null_keys=drop_null_keys)
+
+
+def dim_repositories_from_merge(merged: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """Keyed rows only, defaults and categories."""
     defaults = R.repo_defaults()
-    derived = merged.select(
+    derived = merged.where(F.col("repo_id").isNotNull()).select(
         *[defaults.get(c, F.col(c)).alias(c) for c in REPO_COLUMNS],
-        "bronze_ingestion_timestamp",
+        F.col("_loaded_latest").alias("bronze_ingestion_timestamp"),
         R.popularity_category(F.col("stars")).alias("popularity_category"),
         R.language_category(F.col("language")).alias("language_category"),
     )
@@ -52,7 +64,15 @@ def dim_repositories(repos: DataFrame, details: DataFrame,
     return derived.select(*order, _stamp(loaded_at))
 
 
-# T3 ------------------------------------------------------------------------------------------
+def dim_repositories(repos: DataFrame, details: DataFrame,
+                     loaded_at: Column | None = None) -> DataFrame:
+    """Search hits merged with details (left wins), keyed rows only, defaults and categories.
+
+    Standalone, NULL keys are removed before the join (the filter reaches the scans).
+    """
+    return dim_repositories_from_merge(repo_merge(repos, details, drop_null_keys=True), loaded_at)
+
+
 PERMISSION_COLUMNS = {
     "repo_id": "repo_id", "repo_name": "repo_name", "full_name": "full_name",
     "owner_id": "owner_id", "owner_login": "owner_login", "owner_type": "owner_type",
@@ -60,17 +80,16 @@ PERMISSION_COLUMNS = {
     "fork": "is_fork", "language": "primary_language", "stars": "stargazers_count",
     "watchers": "watchers_count", "forks": "forks_count", "open_issues": "open_issues_count",
     "created_at": "created_at", "updated_at": "updated_at", "pushed_at": "pushed_at",
-    "bronze_ingestion_timestamp": "bronze_ingestion_timestamp",
 }
 
 
-def dim_repo_permissions(repos: DataFrame, details: DataFrame,
-                         loaded_at: Column | None = None) -> DataFrame:
-    """Same merge (no key filter: NULL-keyed rows survive), renamed, with access rules."""
-    base = merge_coalesce(repos, details, ["repo_id"], PERMISSION_COLUMNS)
-    kept = [c for c in PERMISSION_COLUMNS.values() if c != "bronze_ingestion_timestamp"]
+def dim_repo_permissions_from_merge(merged: DataFrame,
+                                    loaded_at: Column | None = None) -> DataFrame:
+    """Renamed merge columns with access rules (T3); NULL-keyed rows survive."""
+    base = merged.select(*[F.col(src).alias(dst) for src, dst in PERMISSION_COLUMNS.items()],
+                         F.col("_loaded_first").alias("bronze_ingestion_timestamp"))
     return base.select(
-        *kept,
+        *PERMISSION_COLUMNS.values(),
         R.visibility_level().alias("visibility_level"),
         R.repository_status().alias("repository_status"),
         R.popularity_tier().alias("popularity_tier"),
@@ -85,6 +104,12 @@ def dim_repo_permissions(repos: DataFrame, details: DataFrame,
     )
 
 
+def dim_repo_permissions(repos: DataFrame, details: DataFrame,
+                         loaded_at: Column | None = None) -> DataFrame:
+    """Same merge (no key filter: NULL-keyed rows survive), renamed, with access rules."""
+    return dim_repo_permissions_from_merge(repo_merge(repos, details), loaded_at)
+
+
 # T2 ------------------------------------------------------------------------------------------
 def dim_users(repos: DataFrame, commits: DataFrame, issues: DataFrame,
               loaded_at: Column | None = None) -> DataFrame:

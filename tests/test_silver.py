@@ -234,3 +234,18 @@ def test_catalog_summary_reports_broken_tables(spark, tmp_path):
             for r in catalog_summary(spark, "silver_s").collect()}
     assert rows["ok"] == (1, 2)
     assert "gone" in rows
+
+
+def test_build_silver_shared_merge_equals_standalone(spark, merge_inputs, tmp_path):
+    from sediment.plans.run import build_silver
+    left, right = merge_inputs
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    paths = build_silver(spark, {"repositories": left, "repo_details": right},
+                         str(tmp_path / "silver"), tables=["dim_repositories", "dim_repo_permissions"],
+                         loaded_at=stamp)
+    for name, fn in (("dim_repositories", silver.dim_repositories),
+                     ("dim_repo_permissions", silver.dim_repo_permissions)):
+        built = spark.read.parquet(paths[name])
+        direct = fn(left, right, loaded_at=stamp)
+        assert built.columns == direct.columns
+        assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
