@@ -23,7 +23,7 @@ from sediment.operators.roles import GRAIN, role_aggregate, role_union
 from sediment.plans import silver
 from sediment.plans.bronze import REPO_FIELDS, build_bronze, flatten, unflatten
 from sediment.plans.quality import layer_summary, null_counts, thresholds
-from sediment.plans.run import build_silver, layered_summary, run_layers
+from sediment.plans.run import build_silver, layer_checks, layered_summary, run_layers
 from sediment.schemas import FEEDS, LOAD_TS
 from sediment.session import scratch_path
 from sediment.sources import driver_tables as dt
@@ -193,8 +193,8 @@ def q_bronze_parquet_roundtrip(spark, sf):
 @register("silver_table_roundtrip")
 def q_silver_table_roundtrip(spark, sf):
     ensure_schema(spark, "silver", scratch_path(spark, "silver_db"))
-    name = save_table(dt.read(spark, sf, "region"), "sediment_region", "silver",
-                      scratch_path(spark, "silver_region"))
+    name = save_table(dt.read(spark, sf, "customer"), "sediment_customer", "silver",
+                      scratch_path(spark, "silver_customer"))
     return spark.read.table(name)
 
 
@@ -241,6 +241,20 @@ def q_dq_null_counts(spark, sf):
     return null_counts(_no_stamps(dt.bronze_inputs(spark, sf)["issues"]))
 
 
+@register("dq_silver_nulls")
+def q_dq_silver_nulls(spark, sf):
+    """Null counts of the repository dimension's key, name and stars (the silver check)."""
+    b = dt.bronze_inputs(spark, sf)
+    dim = silver.dim_repositories(b["repositories"], b["repo_details"])
+    return null_counts(dim, ["repo_id", "repo_name", "stars"])
+
+
+@register("dq_layer_checks")
+def q_dq_layer_checks(spark, sf):
+    landing, work = _run(spark, sf)
+    return layer_checks(spark, landing, work, layout="lines")
+
+
 @register("dq_thresholds")
 def q_dq_thresholds(spark, sf):
     return thresholds(_no_stamps(dt.bronze_inputs(spark, sf)["issues"]))

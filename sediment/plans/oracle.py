@@ -250,7 +250,7 @@ FROM names
 
 # --- sinks and summaries -------------------------------------------------------------------------
 ORACLE["bronze_parquet_roundtrip"] = "SELECT * FROM supplier"
-ORACLE["silver_table_roundtrip"] = "SELECT * FROM region"
+ORACLE["silver_table_roundtrip"] = "SELECT * FROM customer"
 
 TABLE_WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
                 "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3, "pages": 3,
@@ -495,3 +495,31 @@ FROM issues
 """
 
 ORACLE["bronze_incremental"] = ORACLE["bronze_issues"]
+
+ORACLE["dq_silver_nulls"] = f"""
+SELECT column_name, null_count, row_count FROM (
+  SELECT 'repo_id' AS column_name, CAST(count(*) - count(repo_id) AS BIGINT) AS null_count,
+         CAST(count(*) AS BIGINT) AS row_count FROM ({ORACLE["dim_repositories"]})
+  UNION ALL
+  SELECT 'repo_name', CAST(count(*) - count(repo_name) AS BIGINT), CAST(count(*) AS BIGINT)
+  FROM ({ORACLE["dim_repositories"]})
+  UNION ALL
+  SELECT 'stars', CAST(count(*) - count(stars) AS BIGINT), CAST(count(*) AS BIGINT)
+  FROM ({ORACLE["dim_repositories"]}))
+"""
+
+_ENVELOPE_DOCS = {
+    "repositories": "SELECT CAST(count(DISTINCT floor(repo_id / 50)) AS BIGINT) FROM repos",
+    "repo_details": "SELECT CAST(count(*) AS BIGINT) FROM details",
+    "commits": "SELECT CAST(count(DISTINCT (author_id, floor(comment_count / 50))) AS BIGINT) FROM commits",
+    "issues": "SELECT CAST(count(DISTINCT floor(issue_id / 50)) AS BIGINT) FROM issues",
+}
+ORACLE["dq_layer_checks"] = oracle_with("repos", "details", "commits", "issues") + "\n" + \
+    "\nUNION ALL\n".join(
+        [f"SELECT 'landing' AS layer, 'envelope:{f}' AS check_name, true AS passed, ({q}) AS detail"
+         for f, q in _ENVELOPE_DOCS.items()]
+        + [f"SELECT layer, 'table:' || table_name, row_count >= 1, row_count "
+           f"FROM ({_layer_rows()}) WHERE layer <> 'landing'"]
+        + [f"SELECT 'quality', 'nulls:dim_repositories.' || column_name, "
+           f"COALESCE(CAST(null_count AS DOUBLE) / row_count <= 0.1 AND row_count >= 1, false), null_count "
+           f"FROM ({ORACLE['dq_silver_nulls']})"])

@@ -112,3 +112,39 @@ def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     return (list_landing(spark, landing_dir).groupBy("feed")
             .agg(F.count(F.lit(1)).cast("bigint").alias("files"),
                  F.sum("length").cast("bigint").alias("bytes")))
+
+
+def layer_checks(spark: SparkSession, landing_dir: str, work_dir: str, layout: str = "document",
+                 max_null_share: float = 0.1) -> DataFrame:
+    """The layer-by-layer verification as one table ``(layer, check_name, passed, detail)``.
+
+    landing: every document is well formed and carries time and payload (all files, not a
+    sample); bronze / silver: every expected table exists with rows; quality: the repository
+    dimension's key, name and stars are within the null-share limit.  Each check is a row, so a
+    failure is reported next to the successes instead of stopping the run.
+    """
+    from sediment.plans.quality import thresholds
+
+    landing = reduce(DataFrame.unionByName,
+                     [envelope_report(scan_feed(spark, landing_dir, f, layout), f) for f in FEEDS])
+    landing_rows = landing.select(
+        F.lit("landing").alias("layer"), F.concat(F.lit("envelope:"), "feed").alias("check_name"),
+        ((F.col("malformed") + F.col("without_timestamp") + F.col("without_data")) == 0)
+        .alias("passed"),
+        F.col("documents").alias("detail"))
+    work = work_dir.rstrip("/")
+    bronze = build_bronze(spark, landing_dir, f"{work}/bronze", layout, on_error="skip")
+    frames = {t: spark.read.parquet(p) for t, p in bronze.items()}
+    silver = build_silver(spark, frames, f"{work}/silver", on_error="skip")
+    expected = [("bronze", t) for t in BRONZE_TABLES] + [("silver", t) for t in SILVER_TABLES]
+    tables = missing_tables(spark, expected, layered_summary(spark, None, bronze, silver)).select(
+        "layer", F.concat(F.lit("table:"), "table_name").alias("check_name"), "passed",
+        F.col("row_count").alias("detail"))
+    parts = [landing_rows, tables]
+    if "dim_repositories" in silver:
+        dim = spark.read.parquet(silver["dim_repositories"])
+        parts.append(thresholds(dim, ["repo_id", "repo_name", "stars"], max_null_share).select(
+            F.lit("quality").alias("layer"),
+            F.concat(F.lit("nulls:dim_repositories."), "column_name").alias("check_name"),
+            "passed", F.col("null_count").alias("detail")))
+    return reduce(DataFrame.unionByName, parts)
