@@ -326,7 +326,7 @@ def q_left_join_two_keys(spark, sf):
     pages = dt.read(spark, sf, "pages").select(
         "page_id", "url",
         F.regexp_extract("url", PAGE_URL_PATTERN, 1).alias("page_lang"),
-        F.regexp_extract("url", PAGE_URL_PATTERN, 2).cast("bigint").alias("page_doc"))
+        F.regexp_extract("url", PAGE_URL_PATTERN, 2).try_cast("bigint").alias("page_doc"))
     docs = dt.read(spark, sf, "documents")
     return left_join_keys(pages, docs, ["page_doc", "page_lang"], ["doc_id", "lang"],
                           ["doc_id", "source", "n_chars"])

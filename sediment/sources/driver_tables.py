@@ -45,7 +45,7 @@ def _load_ts() -> Column:
 
 
 def repositories(documents: DataFrame) -> DataFrame:
-    owner = F.regexp_extract("source", "([0-9]+)", 1).cast("bigint")
+    owner = F.regexp_extract("source", "([0-9]+)", 1).try_cast("bigint")
     created = F.expr("timestampadd(DAY, doc_id, TIMESTAMP_NTZ'2015-01-01 00:00:00')")
     updated = F.expr("timestampadd(HOUR, n_chars, timestampadd(DAY, doc_id, "
                      "TIMESTAMP_NTZ'2015-01-01 00:00:00'))")
@@ -258,7 +258,7 @@ SELECT doc_id AS repo_id,
   false AS disabled,
   CAST(NULL AS BOOLEAN) AS private,
   (lang <> 'en') AS fork
-FROM (SELECT *, CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) AS o FROM documents)""",
+FROM (SELECT *, TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) AS o FROM documents)""",
     "details": """
 SELECT doc_id AS repo_id, 'doc' || CAST(doc_id AS VARCHAR) AS repo_name,
   CAST(NULL AS VARCHAR) AS full_name,

@@ -122,9 +122,10 @@ def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
 
     One pass over the documents; every file is counted, none is sampled.
     """
-    items = (F.when(F.col("data").isNotNull(), F.lit(1)) if feed == "repo_details"
-             else F.coalesce(F.size(F.col(f"data.{feed}")), F.lit(0)))
-    items = F.when(F.col("data").isNull(), F.lit(0)).otherwise(items)
+    # Explicit NULL guards: ``size(NULL)`` is -1 or NULL depending on the session's settings.
+    payload = F.col("data") if feed == "repo_details" else F.col(f"data.{feed}")
+    count = F.lit(1) if feed == "repo_details" else F.size(payload)
+    items = F.when(F.col("data").isNull() | payload.isNull(), F.lit(0)).otherwise(count)
     return docs.agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"),
