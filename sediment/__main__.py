@@ -19,7 +19,7 @@ import sys
 from sediment.schemas import BRONZE_TABLES, FEEDS, SILVER_TABLES
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
     ap = argparse.ArgumentParser(prog="sediment")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("bronze")
@@ -48,7 +48,9 @@ def main(argv: list[str] | None = None) -> int:
     on_error = "skip" if args.skip_errors else "raise"
 
     from sediment.session import get_session
-    spark = get_session("sediment-" + args.cmd, master=args.master)
+    own = spark is None
+    if own:
+        spark = get_session("sediment-" + args.cmd, master=args.master)
     if args.cmd == "bronze":
         from sediment.plans.bronze import build_bronze
         out = build_bronze(spark, args.landing, args.bronze, args.layout, on_error=on_error,
@@ -69,7 +71,8 @@ def main(argv: list[str] | None = None) -> int:
         from sediment.streaming.incremental import ingest_new_landing
         ingest_new_landing(spark, args.landing, args.log, args.checkpoint, args.feed,
                            args.layout).awaitTermination()
-    spark.stop()
+    if own:
+        spark.stop()
     return 0
 
 

@@ -249,3 +249,17 @@ def test_build_silver_shared_merge_equals_standalone(spark, merge_inputs, tmp_pa
         direct = fn(left, right, loaded_at=stamp)
         assert built.columns == direct.columns
         assert built.exceptAll(direct).count() == 0 and direct.exceptAll(built).count() == 0
+
+
+def test_pull_requests_by_url(spark):
+    rs = repos(spark, [{"repo_id": 1, "repo_name": "r", "owner_id": 9, "owner_login": "o"},
+                       {"repo_id": 2, "repo_name": "s", "owner_id": 9, "owner_login": "o"}])
+    iss = issues(spark, [
+        {"issue_id": 1, "user_id": 9, "pull_request": "{}", "html_url": "https://github.com/o/r/pull/1"},
+        {"issue_id": 2, "user_id": 9, "pull_request": "{}", "html_url": "https://github.com/x/y/pull/2"}])
+    by_url = {r.pr_id: r.repo_id for r in silver.fact_pull_requests(iss, rs, repo_by="url").collect()}
+    assert by_url == {1: 1, 2: None}
+    by_owner = silver.fact_pull_requests(iss, rs).count()
+    assert by_owner == 4    # each pull request fans out to both repositories of owner 9
+    with pytest.raises(ValueError):
+        silver.fact_pull_requests(iss, rs, repo_by="name")
