@@ -168,3 +168,17 @@ def test_scheduled_run_requires_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         build_bronze(spark, empty, str(tmp_path / "b"), require_input=True)
     assert build_bronze(spark, empty, str(tmp_path / "b2"))["issues"]
+
+
+def test_wrong_typed_field_keeps_record_and_flags_file(spark, tmp_path):
+    d = str(tmp_path / "l")
+    os.makedirs(d)
+    bad = issue(1)
+    bad["comments"] = "many"          # string where a number belongs
+    land(d, "issues_o_r_20240601_000000.json", {"issues": [bad, issue(2)]})
+    rows = {r.issue_id: r for r in bronze_feed(spark, d, "issues").collect()}
+    report = envelope_report(scan_feed(spark, d, "issues"), "issues").first()
+    assert report.malformed == 1
+    # the document's other fields survive; only the bad field is NULL
+    assert rows[1].comments_count is None and rows[1].title == "t"
+    assert rows[2].comments_count == 3

@@ -263,3 +263,11 @@ def test_pull_requests_by_url(spark):
     assert by_owner == 4    # each pull request fans out to both repositories of owner 9
     with pytest.raises(ValueError):
         silver.fact_pull_requests(iss, rs, repo_by="name")
+
+
+def test_missing_times_default_only_in_repository_dimension(spark):
+    r = repos(spark, [{"repo_id": 1}])
+    t1 = silver.dim_repositories(r, r.limit(0)).first()
+    t3 = silver.dim_repo_permissions(r, r.limit(0)).first()
+    assert t1.created_at == "1900-01-01T00:00:00Z" and t1.pushed_at == "1900-01-01T00:00:00Z"
+    assert t3.created_at is None and t3.repository_age_seconds is None
