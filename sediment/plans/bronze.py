@@ -7,18 +7,15 @@ once -- instead of one job per file, where each file would overwrite the previou
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.operators.merge import latest_per_key
+from sediment.plans.jobs import DEFAULT_PARALLEL, run_writes
 from sediment.schemas import BRONZE_KEYS, FEEDS
 from sediment.sources.landing import feed_records, list_landing, scan_feed
 from sediment.sources.tables import write_parquet
 
-log = logging.getLogger(__name__)
-
 # API field path -> bronze column, in the bronze tables' column order.
 REPO_FIELDS = [
     ("id", "repo_id"), ("name", "repo_name"), ("full_name", "full_name"),
@@ -104,23 +101,20 @@ def bronze_feed(spark: SparkSession, landing_dir: str, feed: str, layout: str =
 def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  layout: str = "document", feeds=FEEDS, latest: bool = True,
                  on_error: str = "raise", loaded_at: Column | None = None,
-                 require_input: bool = False) -> dict[str, str]:
+                 require_input: bool = False,
+                 max_parallel: int = DEFAULT_PARALLEL) -> dict[str, str]:
     """Land -> bronze for every feed; returns ``{table: parquet path}`` of written tables.
 
+    The feeds are independent jobs and run side by side (``max_parallel``).
     ``on_error="skip"`` logs a failing feed and goes on with the rest (the interactive
     script's behaviour); with ``require_input`` an empty landing zone is an error (the
     scheduled run's behaviour).  Only the file listing is read for that check.
     """
     if require_input and list_landing(spark, landing_dir).limit(1).count() == 0:
         raise FileNotFoundError(f"no landing files under {landing_dir}")
-    written = {}
-    for feed in feeds:
+
+    def write(feed: str):
         path = f"{bronze_dir.rstrip('/')}/{feed}"
-        try:
-            write_parquet(bronze_feed(spark, landing_dir, feed, layout, latest, loaded_at), path)
-            written[feed] = path
-        except Exception:  # noqa: BLE001 - reported, and re-raised unless skipping
-            if on_error != "skip":
-                raise
-            log.exception("bronze feed %s failed", feed)
-    return written
+        return lambda: write_parquet(
+            bronze_feed(spark, landing_dir, feed, layout, latest, loaded_at), path)
+    return run_writes({feed: write(feed) for feed in feeds}, on_error, max_parallel)

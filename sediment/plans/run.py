@@ -6,14 +6,14 @@ consumer reads the written table, so lineage is cut at every layer boundary.
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.plans.bronze import build_bronze
+from sediment.plans.jobs import DEFAULT_PARALLEL, run_writes
 from sediment.plans.quality import missing_tables
 from sediment.plans.silver import (BUILDERS, dim_repo_permissions_from_merge,
                                    dim_repositories_from_merge, repo_merge)
@@ -22,47 +22,39 @@ from sediment.session import scratch_path
 from sediment.sources.landing import list_landing, scan_feed, envelope_report
 from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
 
-log = logging.getLogger(__name__)
-
-
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_dir: str,
                  tables: Sequence[str] = SILVER_TABLES, schema: str | None = None,
-                 on_error: str = "raise", loaded_at: Column | None = None) -> dict[str, str]:
+                 on_error: str = "raise", loaded_at: Column | None = None,
+                 max_parallel: int = DEFAULT_PARALLEL) -> dict[str, str]:
     """Build the requested silver tables from bronze frames; ``{table: path}`` of written ones.
 
-    With ``schema`` each table is also registered as ``schema.table`` (external, at its path).
+    The tables are independent jobs and run side by side (``max_parallel``).  With ``schema``
+    each table is also registered as ``schema.table`` (external, at its path).
     ``on_error="skip"`` logs a failing table and goes on.
     """
     if schema:
         ensure_schema(spark, schema)
-    shared = {}
+    frames: dict[str, Callable[[], DataFrame]] = {}
     if {"dim_repositories", "dim_repo_permissions"} <= set(tables):
         # Both dimensions come from one full outer merge: run the join once, write it under
         # the checkpoint root (a lineage cut), and derive both tables from the written copy.
         merge_path = write_parquet(repo_merge(bronze["repositories"], bronze["repo_details"]),
                                    scratch_path(spark, "repo_merge"))
         merged = spark.read.parquet(merge_path)
-        shared = {"dim_repositories": lambda: dim_repositories_from_merge(merged, loaded_at),
-                  "dim_repo_permissions": lambda: dim_repo_permissions_from_merge(merged, loaded_at)}
-    written = {}
+        frames["dim_repositories"] = lambda: dim_repositories_from_merge(merged, loaded_at)
+        frames["dim_repo_permissions"] = lambda: dim_repo_permissions_from_merge(merged, loaded_at)
     for name in tables:
-        builder, inputs = BUILDERS[name]
+        if name not in frames:
+            builder, inputs = BUILDERS[name]
+            frames[name] = (lambda b=builder, i=inputs:
+                            b(*[bronze[x] for x in i], loaded_at=loaded_at))
+
+    def write(name: str):
         path = f"{silver_dir.rstrip('/')}/{name}"
-        try:
-            if name in shared:
-                df = shared[name]()
-            else:
-                df = builder(*[bronze[i] for i in inputs], loaded_at=loaded_at)
-            if schema:
-                save_table(df, name, schema, path)
-            else:
-                write_parquet(df, path)
-            written[name] = path
-        except Exception:  # noqa: BLE001 - reported, and re-raised unless skipping
-            if on_error != "skip":
-                raise
-            log.exception("silver table %s failed", name)
-    return written
+        if schema:
+            return lambda: (save_table(frames[name](), name, schema, path), path)[1]
+        return lambda: write_parquet(frames[name](), path)
+    return run_writes({name: write(name) for name in tables}, on_error, max_parallel)
 
 
 def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mapping[str, str],

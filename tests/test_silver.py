@@ -271,3 +271,14 @@ def test_missing_times_default_only_in_repository_dimension(spark):
     t3 = silver.dim_repo_permissions(r, r.limit(0)).first()
     assert t1.created_at == "1900-01-01T00:00:00Z" and t1.pushed_at == "1900-01-01T00:00:00Z"
     assert t3.created_at is None and t3.repository_age_seconds is None
+
+
+def test_run_writes_raise_and_skip():
+    from sediment.plans.jobs import run_writes
+
+    def boom():
+        raise RuntimeError("x")
+    ok = {"a": lambda: "pa", "b": boom, "c": lambda: "pc"}
+    assert run_writes(ok, on_error="skip") == {"a": "pa", "c": "pc"}
+    with pytest.raises(RuntimeError):
+        run_writes(ok, on_error="raise")
