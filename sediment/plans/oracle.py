@@ -294,15 +294,16 @@ FROM ({_layer_rows()}) WHERE layer <> 'landing'
 
 ORACLE["dq_envelope"] = oracle_with("repos", "details", "commits", "issues") + """
 SELECT 'repositories' AS feed, CAST(count(DISTINCT floor(repo_id / 50)) AS BIGINT) AS documents,
-       CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS without_timestamp,
+       CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS partial,
+       CAST(0 AS BIGINT) AS without_timestamp,
        CAST(0 AS BIGINT) AS without_data, CAST(count(*) AS BIGINT) AS items FROM repos
 UNION ALL
-SELECT 'repo_details', CAST(count(*) AS BIGINT), 0, 0, 0, CAST(count(*) AS BIGINT) FROM details
+SELECT 'repo_details', CAST(count(*) AS BIGINT), 0, 0, 0, 0, CAST(count(*) AS BIGINT) FROM details
 UNION ALL
-SELECT 'commits', CAST(count(DISTINCT (author_id, floor(comment_count / 50))) AS BIGINT), 0, 0, 0,
+SELECT 'commits', CAST(count(DISTINCT (author_id, floor(comment_count / 50))) AS BIGINT), 0, 0, 0, 0,
        CAST(count(*) AS BIGINT) FROM commits
 UNION ALL
-SELECT 'issues', CAST(count(DISTINCT floor(issue_id / 50)) AS BIGINT), 0, 0, 0,
+SELECT 'issues', CAST(count(DISTINCT floor(issue_id / 50)) AS BIGINT), 0, 0, 0, 0,
        CAST(count(*) AS BIGINT) FROM issues
 """
 

@@ -118,8 +118,11 @@ def write_envelopes(records: DataFrame, feed: str, landing_dir: str, page: Seque
 
 
 def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
-    """Per feed: documents, malformed ones, ones without time or payload, and landed items.
+    """Per feed: documents and what is wrong with them, and the landed items.
 
+    ``malformed``: the reader kept the raw text (not JSON, or a field of the wrong type);
+    ``partial``: of those, documents whose other fields were still read (wrong field type);
+    ``without_timestamp`` / ``without_data``: the envelope lacks a part (wrong envelope).
     One pass over the documents; every file is counted, none is sampled.
     """
     # Explicit NULL guards: ``size(NULL)`` is -1 or NULL depending on the session's settings.
@@ -129,6 +132,9 @@ def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
     return docs.agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"),
+        F.count_if(F.col("_corrupt_record").isNotNull()
+                   & (F.col("data").isNotNull() | F.col("ingestion_timestamp").isNotNull()))
+        .alias("partial"),
         F.count_if(F.col("ingestion_timestamp").isNull()).alias("without_timestamp"),
         F.count_if(F.col("data").isNull()).alias("without_data"),
         F.coalesce(F.sum(items), F.lit(0)).cast("bigint").alias("items"),

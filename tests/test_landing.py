@@ -113,6 +113,7 @@ def test_inference_traps_do_not_fail(spark, landing):
 def test_envelope_report_flags_bad_files(spark, landing):
     issues = envelope_report(scan_feed(spark, landing, "issues"), "issues").first()
     assert issues.documents == 4 and issues.malformed == 1 and issues.items == 4
+    assert issues.partial == 0          # "{ not json": nothing of it could be read
     commits = envelope_report(scan_feed(spark, landing, "commits"), "commits").first()
     assert commits.without_data == 1 and commits.without_timestamp == 1 and commits.items == 4
 
@@ -178,7 +179,7 @@ def test_wrong_typed_field_keeps_record_and_flags_file(spark, tmp_path):
     land(d, "issues_o_r_20240601_000000.json", {"issues": [bad, issue(2)]})
     rows = {r.issue_id: r for r in bronze_feed(spark, d, "issues").collect()}
     report = envelope_report(scan_feed(spark, d, "issues"), "issues").first()
-    assert report.malformed == 1
+    assert report.malformed == 1 and report.partial == 1
     # the document's other fields survive; only the bad field is NULL
     assert rows[1].comments_count is None and rows[1].title == "t"
     assert rows[2].comments_count == 3
