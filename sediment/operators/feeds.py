@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # The search's star floor and page sizes (per run: repositories, top repos with
 # child feeds, commits / issues per repository).
 MIN_STARS = 1000
+# The configured searches: (name, language, star floor).
+CONFIGURED_SEARCHES = [("python_repos", "python", 1000), ("javascript_repos", "javascript", 1000),
+                       ("java_repos", "java", 1000)]
 REPOSITORIES_PER_RUN = 50
 TOP_REPOSITORIES = 10
 CHILDREN_PER_REPOSITORY = 50
@@ -33,6 +36,22 @@ def search_filter(df: DataFrame, language: str | None = None, min_stars: int | N
     return df.where(cond)
 
 
+def search_many(df: DataFrame, searches=CONFIGURED_SEARCHES, language_col: str = "language",
+                stars_col: str = "stars") -> DataFrame:
+    """All configured searches in one pass: one output row per (record, matching search).
+
+    Each record is tested against every search inside one projection (a small literal array of
+    search specs), so the table is scanned once instead of once per search.
+    """
+    specs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(lang).alias("language"),
+                               F.lit(floor).cast("bigint").alias("min_stars"))
+                      for n, lang, floor in searches])
+    lang, stars = F.lower(F.col(language_col)), F.col(stars_col)
+    hits = F.filter(specs, lambda x: (lang == x["language"]) & (stars > x["min_stars"]))
+    return (df.where(F.col(language_col).isNotNull() & stars.isNotNull())
+            .withColumn("search", F.explode(F.transform(hits, lambda x: x["name"]))))
+
+
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 

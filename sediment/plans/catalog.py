@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sediment.functions import rules as R
 from sediment.operators.feeds import (CHILDREN_PER_REPOSITORY, MIN_STARS, REPOSITORIES_PER_RUN,
-                                      TOP_REPOSITORIES, children_of, search_filter, top_k,
+                                      TOP_REPOSITORIES, children_of, search_filter, search_many, top_k,
                                       top_k_per_group)
 from sediment.operators.joins import left_join_keys, fanout_left_join
 from sediment.operators.merge import merge_coalesce
@@ -268,6 +268,12 @@ def q_feed_filter(spark, sf):
         "repo_id", "repo_name", "language", "stars")
 
 
+@register("feed_filter_configured")
+def q_feed_filter_configured(spark, sf):
+    repos = dt.bronze_inputs(spark, sf)["repositories"]
+    return search_many(repos).select("search", "repo_id", "language", "stars")
+
+
 @register("feed_topk")
 def q_feed_topk(spark, sf):
     repos = dt.bronze_inputs(spark, sf)["repositories"]

@@ -330,6 +330,12 @@ ORACLE["feed_filter"] = oracle_with("repos") + """
 SELECT repo_id, repo_name, language, stars FROM repos
 WHERE lower(language) = 'python' AND stars > 1000
 """
+ORACLE["feed_filter_configured"] = oracle_with("repos") + """
+SELECT s.name AS search, r.repo_id, r.language, r.stars
+FROM repos r JOIN (VALUES ('python_repos', 'python', 1000), ('javascript_repos', 'javascript', 1000),
+                          ('java_repos', 'java', 1000)) AS s(name, lang, min_stars)
+  ON lower(r.language) = s.lang AND r.stars > s.min_stars
+"""
 ORACLE["feed_topk"] = oracle_with("repos") + """
 SELECT repo_id, repo_name, stars FROM repos ORDER BY stars DESC, repo_id ASC LIMIT 50
 """
