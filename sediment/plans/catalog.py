@@ -22,6 +22,7 @@ from sediment.operators.merge import merge_coalesce
 from sediment.operators.roles import GRAIN, role_aggregate, role_union
 from sediment.plans import silver
 from sediment.plans.bronze import REPO_FIELDS, build_bronze, flatten, unflatten
+from sediment.plans.jobs import run_writes
 from sediment.plans.quality import layer_summary, null_counts, thresholds
 from sediment.plans.run import build_silver, layer_checks, layered_summary, run_layers
 from sediment.schemas import FEEDS, LOAD_TS
@@ -99,6 +100,8 @@ def _pages(feed: str) -> list:
     if feed == "issues":
         return [F.floor(F.col("issue_id") / PAGE_SIZE).alias("_page")]
     if feed == "commits":
+        # (author_id, comment_count) is (conv_id, turn) in the derived commits: unique, so a
+        # page holds at most PAGE_SIZE commits.
         return [F.col("author_id").alias("_author"),
                 F.floor(F.col("comment_count") / PAGE_SIZE).alias("_page")]
     return []
@@ -108,11 +111,12 @@ def land(spark: SparkSession, sf: str, feeds=FEEDS) -> str:
     """Write the derived records of ``feeds`` as JSON Lines envelopes into fresh scratch space."""
     inputs = dt.bronze_inputs(spark, sf)
     landing = scratch_path(spark, "landing")
-    for feed in feeds:
-        pages = _pages(feed)
-        recs = unflatten(inputs[feed], feed, keep=tuple(pages))
-        write_envelopes(recs, feed, landing, [n for n in ("_author", "_page") if n in recs.columns],
-                        F.lit(LAND_TS))
+
+    def write(feed: str):
+        recs = unflatten(inputs[feed], feed, keep=tuple(_pages(feed)))
+        page = [n for n in ("_author", "_page") if n in recs.columns]
+        return lambda: write_envelopes(recs, feed, landing, page, F.lit(LAND_TS))
+    run_writes({feed: write(feed) for feed in feeds})
     return landing
 
 
