@@ -30,7 +30,8 @@ from sediment.session import scratch_path
 from sediment.sources import driver_tables as dt
 from sediment.sources.landing import (envelope_report, feed_records, route_feed, scan_feed,
                                       write_envelopes)
-from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
+from sediment.sources.tables import (catalog_summary, ensure_schema, save_table, table_summary,
+                                     write_parquet)
 
 # Language and document id in a page URL such as ``https://host/en/25#top``.
 PAGE_URL_PATTERN = r"/([a-z]{2})/([0-9]+)"
@@ -202,6 +203,16 @@ def q_silver_table_roundtrip(spark, sf):
     return spark.read.table(name)
 
 
+@register("silver_catalog_summary")
+def q_silver_catalog_summary(spark, sf):
+    """Six silver tables saved into a catalog schema, then summarised through the catalog."""
+    import uuid
+    schema = f"sediment_silver_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, schema, scratch_path(spark, schema))
+    build_silver(spark, dt.bronze_inputs(spark, sf), scratch_path(spark, "silver"), schema=schema)
+    return catalog_summary(spark, schema)
+
+
 @register("table_summary")
 def q_table_summary(spark, sf):
     return table_summary({t: dt.read(spark, sf, t) for t in dt.TABLES})

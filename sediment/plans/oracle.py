@@ -530,3 +530,7 @@ ORACLE["dq_layer_checks"] = oracle_with("repos", "details", "commits", "issues")
         + [f"SELECT 'quality', 'nulls:dim_repositories.' || column_name, "
            f"COALESCE(CAST(null_count AS DOUBLE) / row_count <= 0.1 AND row_count >= 1, false), null_count "
            f"FROM ({ORACLE['dq_silver_nulls']})"])
+
+ORACLE["silver_catalog_summary"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {_count(ORACLE[t])} AS row_count, CAST({w} AS BIGINT) AS column_count"
+    for t, w in _SILVER_WIDTHS.items())
