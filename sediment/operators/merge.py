@@ -39,12 +39,17 @@ def merge_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if drop_null_keys:
         left, right = left.where(_not_null(keys)), right.where(_not_null(keys))
     needed = list(dict.fromkeys([*keys, *columns]))
-    l = left.select(*needed).alias("l")
-    r = right.select(*needed).alias("r")
-    cond = None
+    # NULL keys never match, but they all hash to one shuffle partition, and adaptive
+    # execution cannot split a full outer join.  The extra join key ``_spread`` is 0 for keyed
+    # rows (so they join on the key alone) and a hash of the row for NULL-keyed rows, which
+    # spreads them over all partitions without changing any match.
+    spread = F.when(_not_null(keys), F.lit(0).cast("bigint")).otherwise(
+        F.xxhash64(*[F.col(c) for c in needed]))
+    l = left.select(*needed, spread.alias("_spread")).alias("l")
+    r = right.select(*needed, spread.alias("_spread")).alias("r")
+    cond = F.col("l._spread") == F.col("r._spread")
     for k in keys:
-        c = F.col(f"l.{k}") == F.col(f"r.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"l.{k}") == F.col(f"r.{k}"))
     joined = l.join(r, cond, "full_outer")
     out = []
     for src, name in columns.items():

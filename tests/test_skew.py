@@ -65,3 +65,20 @@ def test_hot_dimension_key_is_split_in_fanout(skew_conf, capsys):
     expected = left_join_keys(prs, repos, ["author_id"], ["owner_id"], ["repo_id"])
     assert out.count() == expected.count()
     assert out.exceptAll(expected).count() == 0
+
+
+def test_null_keys_spread_in_full_outer_merge(skew_conf):
+    from sediment.operators.merge import merge_coalesce
+    spark = skew_conf
+    # A third of the rows on each side has a NULL key: they must not all meet in one task.
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))
+                                    .cast("bigint").alias("k"), F.col("id").alias("a"))
+    right = spark.range(1500, 4500).select(F.when(F.col("id") % 3 == 0, F.lit(None))
+                                           .otherwise(F.col("id")).cast("bigint").alias("k"),
+                                           F.col("id").alias("a"))
+    out = merge_coalesce(left, right, ["k"], ["k", "a"])
+    per_task = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1
+    l, r = left.where("k IS NOT NULL"), right.where("k IS NOT NULL")
+    matched = l.join(r, "k").count()
+    assert out.count() == left.count() + right.count() - matched
