@@ -38,8 +38,17 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     tags = {rk: f"_rk{i}" for i, rk in enumerate(right_keys)}
     r = right.select(*[F.col(rk).alias(tags[rk]) for rk in right_keys],
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
-    joined = left.join(r, _eq(left, r, left_keys, [tags[rk] for rk in right_keys]), "left")
-    return joined.select(*[left[c] for c in left.columns],
+    # Fact rows whose key is NULL can never match, yet would all hash to one partition; an
+    # extra join key that is 0 for keyed rows and a row hash otherwise spreads them out.
+    has_key = F.lit(True)
+    for lk in left_keys:
+        has_key = has_key & F.col(lk).isNotNull()
+    l = left.withColumn("_spread", F.when(has_key, F.lit(0).cast("bigint"))
+                        .otherwise(F.xxhash64(*[F.col(c) for c in left.columns])))
+    r = r.withColumn("_spread", F.lit(0).cast("bigint"))
+    cond = _eq(l, r, left_keys, [tags[rk] for rk in right_keys]) & (l["_spread"] == r["_spread"])
+    joined = l.join(r, cond, "left")
+    return joined.select(*[l[c] for c in left.columns],
                          *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()])
 
 

@@ -82,3 +82,15 @@ def test_null_keys_spread_in_full_outer_merge(skew_conf):
     l, r = left.where("k IS NOT NULL"), right.where("k IS NOT NULL")
     matched = l.join(r, "k").count()
     assert out.count() == left.count() + right.count() - matched
+
+
+def test_null_keys_spread_in_left_join(skew_conf):
+    spark = skew_conf
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 100).cast("bigint")
+        .alias("k"), F.col("id").alias("v"))
+    dims = spark.range(100).select(F.col("id").alias("dk"), F.col("id").alias("w"))
+    out = left_join_keys(facts, dims, ["k"], ["dk"], ["w"])
+    per_task = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1
+    assert out.count() == 3000 and out.where("k IS NULL AND w IS NOT NULL").count() == 0
