@@ -66,6 +66,8 @@ def catalog_tables(spark: SparkSession, schema: str) -> tuple[dict[str, DataFram
         return {}, []
     good, bad = {}, []
     for t in spark.catalog.listTables(schema):
+        if t.isTemporary:   # session views are listed too; they are not tables of the schema
+            continue
         try:
             good[t.name] = spark.read.table(f"{schema}.{t.name}")
         except AnalysisException:

@@ -282,3 +282,11 @@ def test_run_writes_raise_and_skip():
     assert run_writes(ok, on_error="skip") == {"a": "pa", "c": "pc"}
     with pytest.raises(RuntimeError):
         run_writes(ok, on_error="raise")
+
+
+def test_catalog_summary_ignores_session_views(spark, tmp_path):
+    from sediment.sources.tables import catalog_summary, ensure_schema, save_table
+    ensure_schema(spark, "silver_v", str(tmp_path / "silver_v.db"))
+    save_table(spark.createDataFrame([Row(a=1)]), "t", "silver_v", str(tmp_path / "t"))
+    spark.createDataFrame([Row(b=1)]).createOrReplaceTempView("some_session_view")
+    assert [r.table_name for r in catalog_summary(spark, "silver_v").collect()] == ["t"]
