@@ -139,3 +139,22 @@ def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
         F.count_if(F.col("data").isNull()).alias("without_data"),
         F.coalesce(F.sum(items), F.lit(0)).cast("bigint").alias("items"),
     ).select(F.lit(feed).alias("feed"), "*")
+
+
+def reland_as_lines(spark: SparkSession, landing_dir: str, out_dir: str, feed: str,
+                    page_size: int = 50) -> str:
+    """Re-land API documents of one feed as splittable JSON Lines envelopes.
+
+    A multi-line document is read by a single task, so a few very large documents would
+    serialise the scan.  Records keep their document's landing time; a new envelope holds at
+    most ``page_size`` records, chosen by the record's position in its source document
+    (deterministic, so a recomputed task writes the same pages).
+    """
+    docs = scan_feed(spark, landing_dir, feed, "document").where(F.col("data").isNotNull())
+    if feed == "repo_details":
+        recs = docs.select("ingestion_timestamp", F.col("data").alias("rec"))
+        return write_envelopes(recs, feed, out_dir, [], "ingestion_timestamp")
+    recs = docs.select("ingestion_timestamp", "source_file",
+                       F.posexplode(F.col(f"data.{feed}")).alias("_pos", "rec"))
+    recs = recs.withColumn("_page", F.floor(F.col("_pos") / page_size))
+    return write_envelopes(recs, feed, out_dir, ["source_file", "_page"], "ingestion_timestamp")

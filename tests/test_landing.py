@@ -183,3 +183,23 @@ def test_wrong_typed_field_keeps_record_and_flags_file(spark, tmp_path):
     # the document's other fields survive; only the bad field is NULL
     assert rows[1].comments_count is None and rows[1].title == "t"
     assert rows[2].comments_count == 3
+
+
+def test_reland_large_documents_as_lines(spark, tmp_path):
+    from sediment.sources.landing import reland_as_lines
+    d = str(tmp_path / "docs")
+    os.makedirs(d)
+    land(d, "issues_o_r_20240101_000000.json", {"issues": [issue(i) for i in range(120)]},
+         ts="2024-01-01T00:00:00")
+    land(d, "issues_o_s_20240201_000000.json", {"issues": [issue(i) for i in range(200, 230)]},
+         ts="2024-02-01T00:00:00")
+    out = str(tmp_path / "lines")
+    reland_as_lines(spark, d, out, "issues", page_size=50)
+    docs = scan_feed(spark, out, "issues", layout="lines")
+    sizes = sorted(r[0] for r in docs.select(F.size("data.issues")).collect())
+    assert sizes == [20, 30, 50, 50]
+    before = {r.issue_id for r in bronze_feed(spark, d, "issues").collect()}
+    after = {r.issue_id for r in bronze_feed(spark, out, "issues", layout="lines").collect()}
+    assert before == after and len(after) == 150
+    stamps = {r[0] for r in docs.select("ingestion_timestamp").collect()}
+    assert stamps == {"2024-01-01T00:00:00", "2024-02-01T00:00:00"}
