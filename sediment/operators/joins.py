@@ -39,12 +39,13 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     r = right.select(*[F.col(rk).alias(tags[rk]) for rk in right_keys],
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
     # Fact rows whose key is NULL can never match, yet would all hash to one partition; an
-    # extra join key that is 0 for keyed rows and a row hash otherwise spreads them out.
+    # extra join key that is 0 for keyed rows and the row's position otherwise spreads them
+    # out (the position reads no column, so pruning is unaffected).
     has_key = F.lit(True)
     for lk in left_keys:
         has_key = has_key & F.col(lk).isNotNull()
     l = left.withColumn("_spread", F.when(has_key, F.lit(0).cast("bigint"))
-                        .otherwise(F.xxhash64(*[F.col(c) for c in left.columns])))
+                        .otherwise(F.monotonically_increasing_id()))
     r = r.withColumn("_spread", F.lit(0).cast("bigint"))
     cond = _eq(l, r, left_keys, [tags[rk] for rk in right_keys]) & (l["_spread"] == r["_spread"])
     joined = l.join(r, cond, "left")
@@ -59,8 +60,8 @@ def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
     Matched pairs come from an *inner* join, for which AQE can split a skewed partition on
     either side (for a left outer join it can only split the left).  Left rows without any
     partner come from an anti join against the distinct right keys (one row per key after the
-    map-side partial aggregation).  Both joins exchange the left side on the same key, so the
-    planner reuses one shuffle of it.
+    map-side partial aggregation); that key set is small, so AQE normally broadcasts it and
+    the anti join reads the left side a second time without shuffling it.
 
     With ``salt_buckets > 1`` the hot key is also spread explicitly: each right row carries a
     salt fixed by a hash of its content (deterministic, so a recomputed task after an executor
