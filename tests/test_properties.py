@@ -58,3 +58,34 @@ def test_merge_coalesce_matches_python(spark, left, right):
             want.append((lk, la))
     want += [(rk, ra) for j, (rk, ra) in enumerate(right) if j not in matched_right]
     assert got == sorted(want, key=repr)
+
+
+def _ladder(v, steps, default, inclusive):
+    if v is None:
+        return default
+    for bound, label in steps:
+        if (v >= bound) if inclusive else (v > bound):
+            return label
+    return default
+
+
+@SETTINGS
+@given(values=st.lists(st.one_of(st.none(), st.integers(-5, 12000),
+                                 st.sampled_from([0, 9, 10, 11, 49, 50, 99, 100, 101, 999, 1000,
+                                                  1001, 9999, 10000, 10001])), min_size=1,
+                       max_size=60))
+def test_numeric_ladders_match_python(spark, values):
+    from pyspark.sql import functions as F
+    from sediment.functions import rules as R
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v bigint")
+    cases = [
+        (R.popularity_category, R.POPULARITY_STRICT, R.POPULARITY_STRICT_ELSE, False),
+        (R.popularity_tier, R.POPULARITY_TIERS, R.POPULARITY_TIERS_ELSE, True),
+        (R.fork_activity_level, R.FORK_ACTIVITY, R.FORK_ACTIVITY_ELSE, True),
+        (R.issue_volume_level, R.ISSUE_VOLUME, R.ISSUE_VOLUME_ELSE, True),
+        (R.activity_level, R.COMMENT_ACTIVITY, R.COMMENT_ACTIVITY_ELSE, False),
+    ]
+    rows = df.orderBy("i").select(*[fn(F.col("v")).alias(f"c{j}")
+                                    for j, (fn, *_r) in enumerate(cases)]).collect()
+    for j, (_fn, steps, default, inclusive) in enumerate(cases):
+        assert [r[j] for r in rows] == [_ladder(v, steps, default, inclusive) for v in values]
