@@ -290,3 +290,19 @@ def test_catalog_summary_ignores_session_views(spark, tmp_path):
     save_table(spark.createDataFrame([Row(a=1)]), "t", "silver_v", str(tmp_path / "t"))
     spark.createDataFrame([Row(b=1)]).createOrReplaceTempView("some_session_view")
     assert [r.table_name for r in catalog_summary(spark, "silver_v").collect()] == ["t"]
+
+
+def test_search_many_equals_separate_searches(spark):
+    from functools import reduce
+    from sediment.operators.feeds import CONFIGURED_SEARCHES, search_filter, search_many
+    rs = repos(spark, [{"repo_id": i, "language": lang, "stars": stars}
+                       for i, (lang, stars) in enumerate(
+                           [("Python", 1001), ("python", 1000), ("Java", 5000), ("JavaScript", 2000),
+                            (None, 9000), ("Go", 9000), ("Java", None), ("javascript", 1001)])])
+    one_pass = search_many(rs).select("search", "repo_id")
+    separate = reduce(lambda a, b: a.unionByName(b), [
+        search_filter(rs, language=lang, min_stars=floor).select(
+            F.lit(name).alias("search"), "repo_id")
+        for name, lang, floor in CONFIGURED_SEARCHES])
+    assert sorted(map(tuple, one_pass.collect())) == sorted(map(tuple, separate.collect()))
+    assert one_pass.count() == 4
