@@ -62,3 +62,11 @@ def test_only_bounded_parents_are_broadcast(spark, bronze, capsys):
     p = plan(children_of(bronze["issues"], top, ["user_id"], ["owner_id"], parents_bounded=10),
              capsys)
     assert "BroadcastExchange" in p
+
+
+def test_null_spreading_keeps_column_pruning(spark, bronze, capsys):
+    # The permissions dimension uses no description: the text column must not be read,
+    # even though the merge spreads NULL-keyed rows with an extra join key.
+    p = plan(silver.dim_repo_permissions(bronze["repositories"], bronze["repo_details"]), capsys)
+    docs = [line for line in p.splitlines() if "ReadSchema" in line and "doc_id" in line]
+    assert docs and all("text" not in line for line in docs)
