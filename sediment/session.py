@@ -8,7 +8,7 @@ directory, so ``DataFrame.checkpoint()`` and our written tables share one root.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -59,13 +59,19 @@ def get_session(app: str = "sediment", master: str | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created locally only when the cluster names none."""
+    """The shared checkpoint folder, as the URI the cluster gave.
+
+    Only a local master may do without the setting: then a folder of this machine is made and
+    registered.  On a cluster executors would not see such a folder, so that is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sediment-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -75,10 +81,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for a table written by the engine."""
-    root = checkpoint_root(spark)
-    sub = f"{name}-{uuid.uuid4().hex[:12]}"
-    if "://" in root and not root.startswith("file:"):
-        return f"{root}/sediment/{sub}"
-    local = root[len("file:"):] if root.startswith("file:") else root
-    path = os.path.join(local, "sediment", sub)
-    return path
+    return f"{checkpoint_root(spark)}/sediment/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path of this engine through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
