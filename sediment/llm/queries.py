@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from sediment.llm import line_dedup, sharding, token_files
+from sediment.llm import (decontam, line_dedup, near_dedup, packing, quality, quotes, sharding,
+                          token_files, topk, toxicity)
 from sediment.llm.common import table
 
 QUERIES = {
+    "op1_near_dedup": lambda s, d: near_dedup.contract(table(s, d, "documents")),
+    "op2_quality": lambda s, d: quality.contract(table(s, d, "documents"), table(s, d, "labels")),
     "op3_token_orc": lambda s, d: token_files.contract(table(s, d, "documents")),
+    "op4_quote_threads": lambda s, d: quotes.contract(table(s, d, "conversations")),
+    "op5_decontamination": lambda s, d: decontam.contract(table(s, d, "documents"),
+                                                          table(s, d, "benchmark")),
+    "op6_kd_topk": lambda s, d: topk.contract(table(s, d, "embeddings")),
+    "op7_toxicity": lambda s, d: toxicity.contract(table(s, d, "documents"), table(s, d, "labels")),
     "op8_line_dedup": lambda s, d: line_dedup.contract(table(s, d, "documents")),
+    "op9_slack_packing": lambda s, d: packing.contract(table(s, d, "documents")),
     "op10_shard_interleave": lambda s, d: sharding.contract(table(s, d, "documents")),
 }
 
@@ -25,7 +34,116 @@ keyed AS (
   FROM lines
 )"""
 
+#: Words and distinct 4-word shingles of op1.
+SETS = r"""
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+      WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+)"""
+
+#: CRC-32 of a text's UTF-8 bytes, by table; the table follows from the polynomial.
+CRC = """
+steps AS (
+  SELECT n, list_reduce(list_prepend(n, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS n)
+),
+crc_table AS (SELECT list(v ORDER BY n) AS tab FROM steps),
+sums AS (
+  SELECT doc_id, text, xor(list_reduce(list_prepend(4294967295, list_transform(
+      range(1, len(digits) // 2 + 1),
+      lambda i: ('0x' || substr(digits, 2 * i - 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM (SELECT doc_id, text, hex(encode(coalesce(text, ''))) AS digits FROM documents), crc_table
+)"""
+
 ORACLE: dict[str, str] = {
+    "op1_near_dedup": f"""
+WITH RECURSIVE {SETS},
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 80 * (len(x.s) + len(y.s) - n)
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+),
+smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN smallest USING (doc_id)""",
+    "op5_decontamination": r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark
+),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM item_words WHERE len(w) > 0),
+held AS (
+  SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+      lambda i: array_to_string(w[i:i + k - 1], ' '))) AS shingle
+  FROM doc_words, lengths WHERE len(w) >= k
+),
+items AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS k,
+      unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+          lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS shingle
+  FROM item_words WHERE len(w) > 0
+),
+sizes AS (SELECT item_id, count(*) AS n_item FROM items GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared,
+       count(*) / any_value(n_item) AS containment
+FROM held JOIN items USING (k, shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n_item) * 80""",
+    "op6_kd_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op10_shard_interleave": f"""
+WITH {CRC},
+ordered AS (
+  SELECT doc_id, octet_length(encode(coalesce(d.text, ''))) + 16 AS size, crc AS text_crc32,
+         source AS stratum, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS o
+  FROM sums JOIN documents d USING (doc_id)
+),
+ranked AS (
+  SELECT *, (2 * row_number() OVER (PARTITION BY stratum ORDER BY o, doc_id) - 1)::DOUBLE
+            / (2 * count(*) OVER (PARTITION BY stratum)) AS f
+  FROM ordered
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY f, o, doc_id) - 1 AS p, count(*) OVER () AS n FROM ranked
+),
+cut AS (SELECT *, (p * 40) // n AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+       p - (shard * n + 39) // 40 AS slot, NULL::INTEGER AS grown_shard, stratum
+FROM cut""",
     "op8_line_dedup": f"""
 WITH {LINES},
 frequent AS (

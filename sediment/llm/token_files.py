@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sediment.llm.common import small_batches
-from sediment.llm.tokens import KEEPING, encoder, vocabulary
+from sediment.llm.tokens import encoder
 from sediment.session import scratch_path
 
 END = 0
@@ -45,9 +45,9 @@ def _encode(vocab: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part, before = encoder(vocabulary(vocab), KEEPING), TaskContext.get().partitionId(), 0
+        coder, part, before = encoder(vocab), TaskContext.get().partitionId(), 0
         for batch in batches:
-            found = list(coder.encode(batch.column(1).to_pylist(), END))
+            found = list(coder.encode(batch.column(1), END))
             counts = np.fromiter(map(len, found), np.int64, len(found))
             ends = np.cumsum(counts)
             flat = np.concatenate(found).view(np.int32) if found else np.zeros(0, np.int32)
