@@ -1,26 +1,55 @@
 """The corpus pipeline: documents through the training-data operators, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that ``run`` writes as Parquet and
-reads again as the next stage's documents.
+reads again as the next stage's documents.  All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sediment.llm import line_dedup
+from sediment.llm import decontam, line_dedup, near_dedup, packing, quality
 from sediment.llm.common import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier scores at one half or more stay."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select(COLUMNS), model).where("score >= 0.5").select(COLUMNS)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Frequent long lines stay in one document only."""
+    """Long lines that stand in many documents stay in one of them only."""
     return line_dedup.dedup_lines(docs.select(COLUMNS)).select(COLUMNS)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five words, 0.8) the smallest doc_id stays."""
+    verdict = near_dedup.near_duplicates(docs, words=5, percent=80)
+    gone = verdict.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = written(gone, "pipeline-gone")
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").select(COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces placed in sequences."""
+    return packing.contract(docs)
+
+
 STAGES = [
+    ("quality", reject_low_quality),
     ("line_dedup", drop_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 #: A compressor's output sizes decide the first stage, which SQL cannot express.
 ORACLE_SQL = None

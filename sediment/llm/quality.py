@@ -2,9 +2,10 @@
 
 Two zstandard dictionaries are built, one from good and one from bad labelled text.  A text is
 compressed in blocks with either; text like that of a dictionary gets smaller with it.  The
-normalised difference of the compressed sizes, (bad - good) / larger, is the evidence; together
-with the share that plain compression leaves (which tells repetition and noise, that neither
-dictionary can hold) it is calibrated to a probability by logistic regression.
+normalised difference of the compressed sizes, (bad - good) / larger, is the evidence.  With the
+gain of the good dictionary over none and the share that plain compression leaves (which tell
+repetition and noise, that neither dictionary can hold), their squares and products, it is
+calibrated to a probability by logistic regression.
 
 Training takes a bounded sample of the labelled documents: SAMPLE rows of each label, chosen by
 a hash of the id; of each at most SAMPLE_BLOCKS blocks go into a dictionary.  Half of the sample
@@ -32,8 +33,8 @@ from sediment.llm.common import doc_crc, small_batches
 from sediment.llm.logistic import fit_logistic, predict
 
 SAMPLE = 1500
-SAMPLE_BLOCKS = 6
-BLOCK = 4096
+SAMPLE_BLOCKS = 16
+BLOCK = 1024
 DICTIONARY = 112_640
 LEVEL = 3
 
@@ -72,10 +73,16 @@ def features(good: bytes, bad: bytes) -> Callable[[bytes], list[float] | None]:
         parts = blocks(text)
         p, g, b = (sum(len(c.compress(x)) for x in parts) for c in (plain, as_good, as_bad))
         share = p / len(text)
-        return [(b - g) / max(b, g), (p - g) / p, share, share * share]
+        return [(b - g) / max(b, g), (p - g) / p, share]
     return run
 
 
+def expand(x: np.ndarray) -> np.ndarray:
+    """The evidence with its squares and products."""
+    n = x.shape[1]
+    return np.column_stack([x, *(x[:, i] * x[:, j] for i in range(n) for j in range(i, n))])
+
+
 def _sampled(labels: DataFrame, column: str, usable: Column, rows: int) -> DataFrame:
     """At most ``rows`` labelled ids of each class, in the order of a hash of the id."""
     clean = (labels.where(F.col("doc_id").isNotNull() & F.col(column).isin(0, 1) & usable)
@@ -148,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality",
             .orderBy("label", "x").collect())
     if len({r["label"] for r in seen}) < 2:
         return Model(good, bad, None, base)
-    weights = fit_logistic(np.array([r["x"] for r in seen]), np.array([r["label"] for r in seen]), base)
+    weights = fit_logistic(expand(np.array([r["x"] for r in seen])),
+                           np.array([r["label"] for r in seen]), base, ridge=1e-3)
     return Model(good, bad, weights, base)
 
 
@@ -160,7 +168,7 @@ def _score(model: Model, at: int):
             out = np.full(len(found), model.base)
             known = [i for i, x in enumerate(found) if x is not None]
             if known:
-                out[known] = predict(model.weights, np.array([found[i] for i in known]))
+                out[known] = predict(model.weights, expand(np.array([found[i] for i in known])))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)],
                                              [*batch.schema.names, "score"])
     return run
