@@ -19,6 +19,13 @@ import sys
 from sediment.schemas import BRONZE_TABLES, FEEDS, SILVER_TABLES
 
 
+def _print(checks) -> None:
+    """Every row: there is one per expected table or check."""
+    print("\t".join(checks.columns))
+    for row in checks.collect():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     ap = argparse.ArgumentParser(prog="sediment")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -54,19 +61,23 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.cmd == "bronze":
         from sediment.plans.bronze import build_bronze
         out = build_bronze(spark, args.landing, args.bronze, args.layout, on_error=on_error,
-                           require_input=on_error == "raise")
+                           require_input=True)
         print("\n".join(f"{t}\t{p}" for t, p in out.items()))
     elif args.cmd == "silver":
         from sediment.plans.run import build_silver
-        frames = {t: spark.read.parquet(f"{args.bronze.rstrip('/')}/{t}") for t in BRONZE_TABLES}
+        names = BRONZE_TABLES
+        if on_error == "skip":
+            from sediment.plans.run import existing_tables
+            names = list(existing_tables(spark, args.bronze, BRONZE_TABLES))
+        frames = {t: spark.read.parquet(f"{args.bronze.rstrip('/')}/{t}") for t in names}
         out = build_silver(spark, frames, args.silver, args.tables, args.schema, on_error)
         print("\n".join(f"{t}\t{p}" for t, p in out.items()))
     elif args.cmd == "run":
         from sediment.plans.run import run_layers
-        run_layers(spark, args.landing, args.work, args.layout, on_error=on_error).show(50, False)
+        _print(run_layers(spark, args.landing, args.work, args.layout, on_error=on_error))
     elif args.cmd == "check":
         from sediment.plans.run import layer_checks
-        layer_checks(spark, args.landing, args.work, args.layout).show(100, False)
+        _print(layer_checks(spark, args.landing, args.work, args.layout))
     elif args.cmd == "incremental":
         from sediment.streaming.incremental import ingest_new_landing
         ingest_new_landing(spark, args.landing, args.log, args.checkpoint, args.feed,

@@ -19,12 +19,13 @@ TOP_REPOSITORIES = 10
 CHILDREN_PER_REPOSITORY = 50
 
 
-def search_filter(df: DataFrame, language: str | None = None, min_stars: int | None = MIN_STARS,
+def search_filter(df: DataFrame, *, min_stars: int | None, language: str | None = None,
                   language_col: str = "language", stars_col: str = "stars",
                   state: str | None = None, state_col: str = "state") -> DataFrame:
     """Conjunctive search: ``lower(language) = x AND stars > min_stars [AND state = s]``.
 
-    Plain column predicates, so Catalyst pushes them into the Parquet scan.
+    ``min_stars=None`` asks for no floor.  The star floor and the state are pushed into the
+    Parquet scan; ``lower(language)`` is evaluated above it.
     """
     cond = F.lit(True)
     if language is not None:
@@ -40,16 +41,16 @@ def search_many(df: DataFrame, searches=CONFIGURED_SEARCHES, language_col: str =
                 stars_col: str = "stars") -> DataFrame:
     """All configured searches in one pass: one output row per (record, matching search).
 
-    Each record is tested against every search inside one projection (a small literal array of
-    search specs), so the table is scanned once instead of once per search.
+    The lowest star floor and the set of languages are filtered first (the floor reaches the
+    scan); what is left is tested against every search inside one projection, so the table is
+    scanned once instead of once per search.
     """
-    specs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(lang).alias("language"),
-                               F.lit(floor).cast("bigint").alias("min_stars"))
-                      for n, lang, floor in searches])
     lang, stars = F.lower(F.col(language_col)), F.col(stars_col)
-    hits = F.filter(specs, lambda x: (lang == x["language"]) & (stars > x["min_stars"]))
-    return (df.where(F.col(language_col).isNotNull() & stars.isNotNull())
-            .withColumn("search", F.explode(F.transform(hits, lambda x: x["name"]))))
+    near = df.where((stars > min(floor for _, _, floor in searches))
+                    & lang.isin(*{x.lower() for _, x, _ in searches}))
+    hits = F.array_compact(F.array(*[
+        F.when((lang == x.lower()) & (stars > floor), F.lit(name)) for name, x, floor in searches]))
+    return near.withColumn("search", F.explode(hits))
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
@@ -65,7 +66,7 @@ def top_k(df: DataFrame, k: int, order: Sequence[str | Column]) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                    k: int = CHILDREN_PER_REPOSITORY) -> DataFrame:
+                    k: int) -> DataFrame:
     """At most ``k`` rows per group by ``order`` (with a unique tie-break column last).
 
     ``row_number() <= k`` is planned with a WindowGroupLimit below the exchange, so every map
@@ -76,14 +77,17 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | C
 
 
 def children_of(children: DataFrame, parents: DataFrame, child_keys: Sequence[str],
-                parent_keys: Sequence[str], parents_bounded: int | None = None) -> DataFrame:
+                parent_keys: Sequence[str], top: int | None = None,
+                order: Sequence[str | Column] = ()) -> DataFrame:
     """Child records whose parent is in ``parents`` (left semi join).
 
-    When the caller states ``parents_bounded`` (e.g. a top-k of at most k rows), the parent key
-    set is broadcast: its size is bounded by construction.  Otherwise the planner decides.
+    With ``top`` only the first ``top`` parents by ``order`` count; they are selected here, so
+    their keys are bounded and broadcast.  Otherwise the planner decides.
     """
+    if top is not None:
+        parents = top_k(parents, top, order)
     keys = parents.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(parent_keys)]).distinct()
-    if parents_bounded is not None:
+    if top is not None:
         keys = F.broadcast(keys)
     cond = None
     for i, ck in enumerate(child_keys):

@@ -1,10 +1,11 @@
 """Left outer joins that attach a dimension to a fact.
 
-No broadcast hint is given for a dimension: its size is not bounded by design (repositories
-grow with the data).  Adaptive execution measures the shuffled dimension at run time and turns
-the sort-merge join into a broadcast join only below
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the join stays a sort-merge join,
-and AQE's skew handling splits oversized partitions of the fact (the streamed, left side).
+A dimension is broadcast if its size is known to be small: a plain read of files (projected or
+filtered), whose bytes the file listing gives, of at most ``BROADCAST_FILE_BYTES``.  The fact is
+then not shuffled at all.  Repositories grow with the data, so beyond that, and for a dimension
+of unknown size, both sides are shuffled: adaptive execution measures the shuffled dimension and
+may still broadcast it, and its skew handling splits oversized partitions of the fact (the
+streamed, left side).
 
 ``fanout_left_join`` covers the case AQE cannot split in a left join: a hot key on the
 *dimension* side (one owner holding a third of all repositories).  It is rewritten as an inner
@@ -19,6 +20,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Compressed file bytes of a dimension that is broadcast.
+BROADCAST_FILE_BYTES = 16 << 20
+_PLAIN = {"Project", "Filter", "LogicalRelation"}
+
+
+def file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files behind a plain (projected, filtered) read; None for any other frame."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while node.nodeName() in _PLAIN:
+        children = node.children()
+        if children.isEmpty():
+            return int(str(plan.stats().sizeInBytes()))
+        node = children.head()
+    return None
+
+
 def _eq(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str]) -> Column:
     cond = None
     for lk, rk in zip(lkeys, rkeys):
@@ -27,28 +45,41 @@ def _eq(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence
     return cond
 
 
+def _key(df: DataFrame, name: str) -> Column:
+    """A join key; empty strings, which name nothing, never match."""
+    c = F.col(name)
+    return F.nullif(c, F.lit("")) if df.schema[name].dataType.simpleString() == "string" else c
+
+
 def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                    right_keys: Sequence[str], right_cols: Sequence[str] | dict) -> DataFrame:
     """``left LEFT JOIN right ON left.k_i = right.k_i``; adds ``right_cols`` (renamed if a dict).
 
-    Unmatched left rows get NULLs; every left column is kept as is.
+    Unmatched left rows get NULLs; every left column is kept as is.  An empty string is no key
+    (a URL of another host gives one), on either side.
     """
     if not isinstance(right_cols, dict):
         right_cols = {c: c for c in right_cols}
     tags = {rk: f"_rk{i}" for i, rk in enumerate(right_keys)}
-    r = right.select(*[F.col(rk).alias(tags[rk]) for rk in right_keys],
+    r = right.select(*[_key(right, rk).alias(tags[rk]) for rk in right_keys],
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
-    # Fact rows whose key is NULL can never match, yet would all hash to one partition; an
-    # extra join key that is 0 for keyed rows and the row's position otherwise spreads them
-    # out (the position reads no column, so pruning is unaffected).
-    has_key = F.lit(True)
-    for lk in left_keys:
-        has_key = has_key & F.col(lk).isNotNull()
-    l = left.withColumn("_spread", F.when(has_key, F.lit(0).cast("bigint"))
-                        .otherwise(F.monotonically_increasing_id()))
-    r = r.withColumn("_spread", F.lit(0).cast("bigint"))
-    cond = _eq(l, r, left_keys, [tags[rk] for rk in right_keys]) & (l["_spread"] == r["_spread"])
-    joined = l.join(r, cond, "left")
+    lk = [f"_lk{i}" for i in range(len(left_keys))]
+    l = left.withColumns({name: _key(left, k) for name, k in zip(lk, left_keys)})
+    size = file_bytes(right)
+    if size is not None and size <= BROADCAST_FILE_BYTES:
+        joined = l.join(F.broadcast(r), _eq(l, r, lk, list(tags.values())), "left")
+    else:
+        # Fact rows without a key never match, yet would all hash to one partition: an extra
+        # join key, 0 for keyed rows and a hash of the row's first column (its id) otherwise,
+        # spreads them.  It is deterministic, so filters pass it and a retried task repeats it.
+        has_key = F.lit(True)
+        for name in lk:
+            has_key = has_key & F.col(name).isNotNull()
+        l = l.withColumn("_spread", F.when(has_key, F.lit(0).cast("bigint"))
+                         .otherwise(F.xxhash64(F.col(left.columns[0]))))
+        r = r.withColumn("_spread", F.lit(0).cast("bigint"))
+        cond = _eq(l, r, lk, list(tags.values())) & (l["_spread"] == r["_spread"])
+        joined = l.join(r, cond, "left")
     return joined.select(*[l[c] for c in left.columns],
                          *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()])
 

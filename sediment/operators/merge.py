@@ -41,11 +41,11 @@ def merge_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
     needed = list(dict.fromkeys([*keys, *columns]))
     # NULL keys never match, but they all hash to one shuffle partition, and adaptive
     # execution cannot split a full outer join.  The extra join key ``_spread`` is 0 for keyed
-    # rows (so they join on the key alone) and the row's position for NULL-keyed rows, which
-    # spreads them over all partitions without changing any match.  The position reads no
-    # column (pruning is unaffected) and is stable when a lost task re-reads its split.
-    spread = F.when(_not_null(keys), F.lit(0).cast("bigint")).otherwise(
-        F.monotonically_increasing_id())
+    # rows (so they join on the key alone) and a hash of the first output column otherwise,
+    # which spreads NULL-keyed rows without changing any match.  It reads one column that is
+    # read anyway, is deterministic (a retried task repeats it) and lets filters pass.
+    first = next((c for c in columns if c not in keys), keys[0])
+    spread = F.when(_not_null(keys), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.col(first)))
     l = left.select(*needed, spread.alias("_spread")).alias("l")
     r = right.select(*needed, spread.alias("_spread")).alias("r")
     cond = F.col("l._spread") == F.col("r._spread")

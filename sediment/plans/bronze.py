@@ -7,15 +7,20 @@ once -- instead of one job per file, where each file would overwrite the previou
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.operators.merge import latest_per_key
 from sediment.plans.jobs import DEFAULT_PARALLEL, run_writes
 from sediment.schemas import BRONZE_KEYS, FEEDS
-from sediment.sources.landing import feed_records, list_landing, scan_feed
+from sediment.session import path_exists
+from sediment.sources.landing import feed_records, has_files, scan_feed, unusable
 from sediment.sources.tables import write_parquet
 
+log = logging.getLogger(__name__)
+
 # API field path -> bronze column, in the bronze tables' column order.
 REPO_FIELDS = [
     ("id", "repo_id"), ("name", "repo_name"), ("full_name", "full_name"),
@@ -101,20 +106,39 @@ def bronze_feed(spark: SparkSession, landing_dir: str, feed: str, layout: str =
 def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  layout: str = "document", feeds=FEEDS, latest: bool = True,
                  on_error: str = "raise", loaded_at: Column | None = None,
-                 require_input: bool = False,
+                 require_input: bool = True,
                  max_parallel: int = DEFAULT_PARALLEL) -> dict[str, str]:
     """Land -> bronze for every feed; returns ``{table: parquet path}`` of written tables.
 
     The feeds are independent jobs and run side by side (``max_parallel``).
     ``on_error="skip"`` logs a failing feed and goes on with the rest (the interactive
-    script's behaviour); with ``require_input`` an empty landing zone is an error (the
-    scheduled run's behaviour).  Only the file listing is read for that check.
+    script's behaviour).  A feed without landing files is left out: its table, if there is one,
+    stays as it is.  With ``require_input`` a landing zone without any file is an error.  Only
+    the file listing is read for these checks.  Documents that cannot be used, or only in part,
+    are written to ``<bronze>/quarantine/<feed>`` in the same run.
     """
-    if require_input and list_landing(spark, landing_dir).limit(1).count() == 0:
+    base = bronze_dir.rstrip("/")
+    present = [f for f in feeds if has_files(spark, landing_dir, f, layout)]
+    if require_input and not present:
         raise FileNotFoundError(f"no landing files under {landing_dir}")
+    for feed in feeds:
+        if feed not in present:
+            log.warning("no landing files of feed %s: its table is left as it is", feed)
 
     def write(feed: str):
-        path = f"{bronze_dir.rstrip('/')}/{feed}"
-        return lambda: write_parquet(
-            bronze_feed(spark, landing_dir, feed, layout, latest, loaded_at), path)
-    return run_writes({feed: write(feed) for feed in feeds}, on_error, max_parallel)
+        def run() -> str:
+            out = write_parquet(bronze_feed(spark, landing_dir, feed, layout, latest, loaded_at),
+                                f"{base}/{feed}")
+            bad = unusable(scan_feed(spark, landing_dir, feed, layout), feed)
+            write_parquet(bad, f"{base}/quarantine/{feed}")
+            return out
+        return run
+    return run_writes({feed: write(feed) for feed in present}, on_error, max_parallel)
+
+
+def quarantined(spark: SparkSession, bronze_dir: str, feeds=FEEDS) -> DataFrame:
+    """The quarantine of a bronze directory: ``(feed, source_file, reason, raw)``."""
+    paths = [f"{bronze_dir.rstrip('/')}/quarantine/{f}" for f in feeds]
+    found = [p for p in paths if path_exists(spark, p)]
+    schema = "feed string, source_file string, reason string, raw string"
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)

@@ -7,6 +7,7 @@ be compared value by value with the SQL oracle in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,7 +22,7 @@ from sediment.operators.joins import left_join_keys, fanout_left_join
 from sediment.operators.merge import merge_coalesce
 from sediment.operators.roles import GRAIN, role_aggregate, role_union
 from sediment.plans import silver
-from sediment.plans.bronze import REPO_FIELDS, build_bronze, flatten, unflatten
+from sediment.plans.bronze import REPO_FIELDS, build_bronze, flatten, quarantined, unflatten
 from sediment.plans.jobs import run_writes
 from sediment.plans.quality import layer_summary, null_counts, thresholds
 from sediment.plans.run import build_silver, layer_checks, layered_summary, run_layers
@@ -88,6 +89,13 @@ def q_fact_pull_requests(spark, sf):
     return _no_stamps(silver.fact_pull_requests(b["issues"], b["repositories"]))
 
 
+@register("fact_pull_requests_by_url")
+def q_fact_pull_requests_by_url(spark, sf):
+    """Each pull request with the one repository that its URL names."""
+    b = dt.bronze_inputs(spark, sf)
+    return _no_stamps(silver.fact_pull_requests(b["issues"], b["repositories"], repo_by="url"))
+
+
 # --- landing helpers ---------------------------------------------------------------------------
 # Landing time of the derived documents and the API page size.
 LAND_TS = "2024-06-01T00:00:00"
@@ -195,22 +203,34 @@ def q_bronze_parquet_roundtrip(spark, sf):
     return spark.sql("SELECT * FROM sediment_bronze_supplier")
 
 
+def _own_schema(spark: SparkSession) -> str:
+    schema = f"sediment_silver_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, schema, scratch_path(spark, schema))
+    return schema
+
+
+def _without_schema(spark: SparkSession, schema: str, df: DataFrame) -> DataFrame:
+    """``df``, already resolved against external tables of ``schema``, which is then dropped:
+    the files stay, no catalog entry is left behind."""
+    df.schema  # resolve the plan
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return df
+
+
 @register("silver_table_roundtrip")
 def q_silver_table_roundtrip(spark, sf):
-    ensure_schema(spark, "silver", scratch_path(spark, "silver_db"))
-    name = save_table(dt.read(spark, sf, "customer"), "sediment_customer", "silver",
+    schema = _own_schema(spark)
+    name = save_table(dt.read(spark, sf, "customer"), "sediment_customer", schema,
                       scratch_path(spark, "silver_customer"))
-    return spark.read.table(name)
+    return _without_schema(spark, schema, spark.read.table(name))
 
 
 @register("silver_catalog_summary")
 def q_silver_catalog_summary(spark, sf):
     """Six silver tables saved into a catalog schema, then summarised through the catalog."""
-    import uuid
-    schema = f"sediment_silver_{uuid.uuid4().hex[:8]}"
-    ensure_schema(spark, schema, scratch_path(spark, schema))
+    schema = _own_schema(spark)
     build_silver(spark, dt.bronze_inputs(spark, sf), scratch_path(spark, "silver"), schema=schema)
-    return catalog_summary(spark, schema)
+    return _without_schema(spark, schema, catalog_summary(spark, schema))
 
 
 @register("table_summary")
@@ -267,9 +287,35 @@ def q_dq_silver_nulls(spark, sf):
 @register("dq_layer_checks")
 def q_dq_layer_checks(spark, sf):
     landing, work = _run(spark, sf)
+    run_layers(spark, landing, work, layout="lines")
     return layer_checks(spark, landing, work, layout="lines")
 
 
+@register("dq_missing_landing")
+def q_dq_missing_landing(spark, sf):
+    """The checks against a landing path that holds nothing: landing fails, tables are untouched."""
+    landing, work = _run(spark, sf)
+    run_layers(spark, landing, work, layout="lines")
+    return layer_checks(spark, f"{landing}-elsewhere", work, layout="lines")
+
+
+@register("bronze_quarantine")
+def q_bronze_quarantine(spark, sf):
+    """Commit documents of which every seventh message is cut off and every eleventh holds no
+    payload: what bronze could not use, by reason."""
+    c = dt.bronze_inputs(spark, sf)["commits"].select("commit_sha", "message", "comment_count", "author_id")
+    body = F.to_json(F.struct(F.lit(LAND_TS).alias("ingestion_timestamp"), F.struct(F.array(F.struct(
+        F.col("commit_sha").alias("sha"), F.struct("message").alias("commit"))).alias("commits")).alias("data")))
+    n = F.col("author_id") * 8 + F.col("comment_count")
+    line = (F.when(n % 7 == 0, F.concat(F.lit('{"data": '), F.lit('"'), F.col("commit_sha")))
+            .when(n % 11 == 0, F.to_json(F.struct(F.lit(LAND_TS).alias("ingestion_timestamp"))))
+            .otherwise(body))
+    landing, work = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    c.select(line.alias("value")).write.text(f"{landing}/feed=commits")
+    build_bronze(spark, landing, work, layout="lines", feeds=["commits"])
+    return quarantined(spark, work).groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
 @register("dq_thresholds")
 def q_dq_thresholds(spark, sf):
     return thresholds(_no_stamps(dt.bronze_inputs(spark, sf)["issues"]))
@@ -298,21 +344,49 @@ def q_feed_topk(spark, sf):
 
 @register("feed_topk_per_group")
 def q_feed_topk_per_group(spark, sf):
-    issues = silver.with_url_repo(dt.bronze_inputs(spark, sf)["issues"])
-    return top_k_per_group(issues.select("issue_id", "created_at", "_url_owner"), ["_url_owner"],
-                           [F.desc("created_at"), F.asc("issue_id")],
-                           CHILDREN_PER_REPOSITORY).withColumnRenamed("_url_owner", "repo_owner")
+    return _newest_children(silver.with_url_repo(dt.bronze_inputs(spark, sf)["issues"]),
+                            "issue_id", "created_at")
+
+
+@register("feed_topk_per_group_commits")
+def q_feed_topk_per_group_commits(spark, sf):
+    return _newest_children(silver.with_url_repo(dt.bronze_inputs(spark, sf)["commits"]),
+                            "commit_sha", "author_date")
+
+
+def _newest_children(children: DataFrame, key: str, time: str) -> DataFrame:
+    """The newest child records of every (owner, repository)."""
+    rows = children.select(key, time, F.col("_url_owner").alias("repo_owner"),
+                           F.col("_url_repo").alias("repo_name"))
+    return top_k_per_group(rows, ["repo_owner", "repo_name"], [F.desc(time), F.asc(key)],
+                           CHILDREN_PER_REPOSITORY)
 
 
 @register("feed_children_of_topk")
 def q_feed_children_of_topk(spark, sf):
+    return _children_of_top(spark, sf, "issues", "issue_id", "user_id")
+
+
+@register("feed_children_of_topk_commits")
+def q_feed_children_of_topk_commits(spark, sf):
+    return _children_of_top(spark, sf, "commits", "commit_sha", "author_id")
+
+
+def _children_of_top(spark, sf, feed: str, *columns: str) -> DataFrame:
+    """Children of the most starred repositories, matched on (owner, repository)."""
     b = dt.bronze_inputs(spark, sf)
-    top = top_k(b["repositories"].select("repo_id", "repo_name", "stars"), TOP_REPOSITORIES,
-                [F.desc("stars"), F.asc("repo_id")])
-    issues = silver.with_url_repo(b["issues"])
-    return children_of(issues, top, ["_url_repo"], ["repo_name"],
-                       parents_bounded=TOP_REPOSITORIES).select(
-        "issue_id", "user_id", F.col("_url_repo").alias("repo_name"))
+    repos = b["repositories"].select("repo_id", "owner_login", "repo_name", "stars")
+    children = silver.with_url_repo(b[feed])
+    return children_of(children, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
+                       TOP_REPOSITORIES, [F.desc("stars"), F.asc("repo_id")]).select(
+        *columns, F.col("_url_owner").alias("repo_owner"), F.col("_url_repo").alias("repo_name"))
+
+
+@register("feed_filter_state")
+def q_feed_filter_state(spark, sf):
+    """Issues of one state (the request's state argument; no star floor)."""
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    return search_filter(issues, min_stars=None, state="open").select("issue_id", "state")
 
 
 # --- merges, unions, joins -----------------------------------------------------------------------

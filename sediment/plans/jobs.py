@@ -2,16 +2,20 @@
 
 The tables of one layer do not depend on each other, so their Spark jobs are submitted from a
 few driver threads at once (Spark schedules concurrent jobs of one session; no data passes
-through the driver).  Failures keep their meaning: with ``on_error="raise"`` the first failure
-is re-raised once the running jobs have finished, with ``"skip"`` it is logged and the other
-tables are still written.
+through the driver).  The threads inherit the caller's job group, pool and description.
+Failures keep their meaning: with ``on_error="raise"`` jobs not yet begun are cancelled and the
+first failure is re-raised once the running ones have finished, with ``"skip"`` it is logged and
+the other tables are still written.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -27,14 +31,19 @@ def run_writes(writes: Mapping[str, Callable[[], str]], on_error: str = "raise",
     first_error: BaseException | None = None
     workers = max(1, min(max_parallel, len(writes)))
     with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="sediment-write") as pool:
-        futures = {name: pool.submit(fn) for name, fn in writes.items()}
-        for name, fut in futures.items():
+        inherit = inheritable_thread_target(SparkSession.getActiveSession())
+        names = {pool.submit(inherit(fn)): name for name, fn in writes.items()}
+        for fut in as_completed(names):
+            if fut.cancelled():
+                continue
             try:
-                done[name] = fut.result()
+                done[names[fut]] = fut.result()
             except Exception as e:  # noqa: BLE001 - reported, and re-raised unless skipping
-                log.exception("writing %s failed", name)
-                if first_error is None:
-                    first_error = e
+                log.exception("writing %s failed", names[fut])
+                first_error = first_error or e
+                if on_error == "raise":
+                    for other in names:
+                        other.cancel()
     if first_error is not None and on_error == "raise":
         raise first_error
     return {name: done[name] for name in writes if name in done}

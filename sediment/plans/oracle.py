@@ -215,6 +215,9 @@ SELECT {", ".join("COALESCE(pr.body, '') AS body" if c == "body" else "pr." + c
   CASE WHEN pr.labels IS NOT NULL AND len(pr.labels) > 0 THEN 1 ELSE 0 END AS has_labels
 FROM pr LEFT JOIN repos r ON pr.author_id = r.owner_id
 """
+ORACLE["fact_pull_requests_by_url"] = ORACLE["fact_pull_requests"].replace(
+    "ON pr.author_id = r.owner_id",
+    f"ON r.owner_login = {url_owner('pr.html_url')} AND r.repo_name = {url_repo('pr.html_url')}")
 
 
 # --- landing and bronze: the derived records must come back unchanged -------------------------
@@ -339,18 +342,19 @@ FROM repos r JOIN (VALUES ('python_repos', 'python', 1000), ('javascript_repos',
 ORACLE["feed_topk"] = oracle_with("repos") + """
 SELECT repo_id, repo_name, stars FROM repos ORDER BY stars DESC, repo_id ASC LIMIT 50
 """
-ORACLE["feed_topk_per_group"] = oracle_with("issues") + f"""
-SELECT issue_id, created_at, repo_owner FROM (
-  SELECT issue_id, created_at, {url_owner("html_url")} AS repo_owner,
-         row_number() OVER (PARTITION BY {url_owner("html_url")}
-                            ORDER BY created_at DESC, issue_id ASC) AS rn
-  FROM issues) WHERE rn <= 50
+for _suffix, _feed, _key, _time, _user in (("", "issues", "issue_id", "created_at", "user_id"),
+                                           ("_commits", "commits", "commit_sha", "author_date", "author_id")):
+    ORACLE["feed_topk_per_group" + _suffix] = oracle_with(_feed) + f"""
+SELECT {_key}, {_time}, {url_owner("html_url")} AS repo_owner, {url_repo("html_url")} AS repo_name
+FROM {_feed}
+QUALIFY row_number() OVER (PARTITION BY repo_owner, repo_name ORDER BY {_time} DESC, {_key}) <= 50
 """
-ORACLE["feed_children_of_topk"] = oracle_with("repos", "issues") + f"""
-SELECT issue_id, user_id, {url_repo("html_url")} AS repo_name FROM issues
-WHERE {url_repo("html_url")} IN (
-  SELECT repo_name FROM repos ORDER BY stars DESC, repo_id ASC LIMIT 10)
+    ORACLE["feed_children_of_topk" + _suffix] = oracle_with("repos", _feed) + f"""
+, top AS (SELECT owner_login, repo_name FROM repos ORDER BY stars DESC, repo_id LIMIT 10)
+SELECT {_key}, {_user}, {url_owner("html_url")} AS repo_owner, {url_repo("html_url")} AS repo_name
+FROM {_feed} WHERE ({url_owner("html_url")}, {url_repo("html_url")}) IN (FROM top)
 """
+ORACLE["feed_filter_state"] = oracle_with("issues") + "SELECT issue_id, state FROM issues WHERE state = 'open'"
 
 # --- merges, unions, joins ---------------------------------------------------------------------------
 ORACLE["full_outer_coalesce_merge"] = oracle_with("repos", "details") + f"""
@@ -531,6 +535,17 @@ ORACLE["dq_layer_checks"] = oracle_with("repos", "details", "commits", "issues")
            f"COALESCE(CAST(null_count AS DOUBLE) / row_count <= 0.1 AND row_count >= 1, false), null_count "
            f"FROM ({ORACLE['dq_silver_nulls']})"])
 
+ORACLE["dq_missing_landing"] = f"""
+SELECT layer, check_name, passed AND layer <> 'landing' AS passed,
+  CASE WHEN layer = 'landing' THEN 0 ELSE detail END AS detail
+FROM ({ORACLE['dq_layer_checks']})
+"""
+ORACLE["bronze_quarantine"] = """
+SELECT 'commits' AS feed, CASE WHEN n % 7 = 0 THEN 'malformed' ELSE 'without_data' END AS reason,
+  count(*) AS documents
+FROM (SELECT conv_id * 8 + turn AS n FROM conversations) WHERE n % 7 = 0 OR n % 11 = 0 GROUP BY ALL
+"""
+
 ORACLE["silver_catalog_summary"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, {_count(ORACLE[t])} AS row_count, CAST({w} AS BIGINT) AS column_count"
     for t, w in _SILVER_WIDTHS.items())

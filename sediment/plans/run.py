@@ -18,10 +18,14 @@ from sediment.plans.quality import missing_tables
 from sediment.plans.silver import (BUILDERS, dim_repo_permissions_from_merge,
                                    dim_repositories_from_merge, repo_merge)
 from sediment.schemas import BRONZE_TABLES, FEEDS, SILVER_TABLES
-from sediment.session import scratch_path
+from sediment.session import drop_path, path_exists, scratch_path
 from sediment.sources.landing import list_landing, scan_feed, envelope_report
 from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
 
+MERGED = {"dim_repositories": dim_repositories_from_merge,
+          "dim_repo_permissions": dim_repo_permissions_from_merge}
+
+
 def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_dir: str,
                  tables: Sequence[str] = SILVER_TABLES, schema: str | None = None,
                  on_error: str = "raise", loaded_at: Column | None = None,
@@ -30,19 +34,23 @@ def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_di
 
     The tables are independent jobs and run side by side (``max_parallel``).  With ``schema``
     each table is also registered as ``schema.table`` (external, at its path).
-    ``on_error="skip"`` logs a failing table and goes on.
+    ``on_error="skip"`` logs a failing table (also one whose input is missing) and goes on.
     """
     if schema:
         ensure_schema(spark, schema)
     frames: dict[str, Callable[[], DataFrame]] = {}
-    if {"dim_repositories", "dim_repo_permissions"} <= set(tables):
+    merge_path = None
+    if set(MERGED) <= set(tables):
         # Both dimensions come from one full outer merge: run the join once, write it under
         # the checkpoint root (a lineage cut), and derive both tables from the written copy.
-        merge_path = write_parquet(repo_merge(bronze["repositories"], bronze["repo_details"]),
-                                   scratch_path(spark, "repo_merge"))
-        merged = spark.read.parquet(merge_path)
-        frames["dim_repositories"] = lambda: dim_repositories_from_merge(merged, loaded_at)
-        frames["dim_repo_permissions"] = lambda: dim_repo_permissions_from_merge(merged, loaded_at)
+        merge_path = scratch_path(spark, "repo_merge")
+        merged = run_writes({"repo_merge": lambda: write_parquet(
+            repo_merge(bronze["repositories"], bronze["repo_details"]), merge_path)}, on_error)
+        if merged:
+            frames = {name: (lambda b=b: b(spark.read.parquet(merge_path), loaded_at))
+                      for name, b in MERGED.items()}
+        else:
+            tables = [t for t in tables if t not in MERGED]
     for name in tables:
         if name not in frames:
             builder, inputs = BUILDERS[name]
@@ -54,7 +62,11 @@ def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_di
         if schema:
             return lambda: (save_table(frames[name](), name, schema, path), path)[1]
         return lambda: write_parquet(frames[name](), path)
-    return run_writes({name: write(name) for name in tables}, on_error, max_parallel)
+    try:
+        return run_writes({name: write(name) for name in tables}, on_error, max_parallel)
+    finally:
+        if merge_path:
+            drop_path(spark, merge_path)
 
 
 def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mapping[str, str],
@@ -62,8 +74,8 @@ def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mappin
     """``(layer, table_name, row_count, column_count)`` for landing feeds and written tables.
 
     Landing rows are the number of landed records per feed, which costs one parse of the
-    feed's files; pass ``landing_dir=None`` to summarise only the written Parquet tables
-    (their counts come from Parquet metadata-sized scans).
+    feed's files; pass ``landing_dir=None`` to summarise only the written Parquet tables,
+    whose counts read no column.
     """
     parts = []
     if landing_dir is not None:
@@ -78,6 +90,9 @@ def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mappin
             s = table_summary({t: spark.read.parquet(p) for t, p in paths.items()})
             parts.append(s.select(F.lit(layer).alias("layer"), "table_name", "row_count",
                                   "column_count"))
+    if not parts:
+        return spark.createDataFrame([], "layer string, table_name string, row_count bigint, "
+                                         "column_count bigint")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -86,7 +101,7 @@ def run_layers(spark: SparkSession, landing_dir: str, work_dir: str, layout: str
                loaded_at: Column | None = None) -> DataFrame:
     """Landing -> bronze -> silver, then the presence / row-count check of every artifact.
 
-    Returns ``(layer, table_name, found, row_count, passed)`` per expected table.
+    A landing zone without files is an error, whatever ``on_error``.  Returns ``(layer, table_name, found, row_count, passed)`` per expected table.
     """
     work = work_dir.rstrip("/")
     bronze = build_bronze(spark, landing_dir, f"{work}/bronze", layout, on_error=on_error,
@@ -99,6 +114,12 @@ def run_layers(spark: SparkSession, landing_dir: str, work_dir: str, layout: str
     return missing_tables(spark, expected, summary)
 
 
+def existing_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[str, str]:
+    """``{table: path}`` of the tables that exist under a layer's directory."""
+    paths = {t: f"{base.rstrip('/')}/{t}" for t in names}
+    return {t: p for t, p in paths.items() if path_exists(spark, p)}
+
+
 def landing_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     """Landing files per routed feed (unknown names under ``''``), contents unread."""
     return (list_landing(spark, landing_dir).groupBy("feed")
@@ -110,10 +131,10 @@ def layer_checks(spark: SparkSession, landing_dir: str, work_dir: str, layout: s
                  max_null_share: float = 0.1) -> DataFrame:
     """The layer-by-layer verification as one table ``(layer, check_name, passed, detail)``.
 
-    landing: every document is well formed and carries time and payload (all files, not a
-    sample); bronze / silver: every expected table exists with rows; quality: the repository
-    dimension's key, name and stars are within the null-share limit.  Each check is a row, so a
-    failure is reported next to the successes instead of stopping the run.
+    landing: there are documents, and every one is well formed and carries time and payload (all
+    files, not a sample); bronze / silver: every expected table exists with rows; quality: the
+    repository dimension's key, name and stars are within the null-share limit.  Each check is a
+    row, so a failure is reported next to the successes.  Nothing is written or rebuilt.
     """
     from sediment.plans.quality import thresholds
 
@@ -121,13 +142,12 @@ def layer_checks(spark: SparkSession, landing_dir: str, work_dir: str, layout: s
                      [envelope_report(scan_feed(spark, landing_dir, f, layout), f) for f in FEEDS])
     landing_rows = landing.select(
         F.lit("landing").alias("layer"), F.concat(F.lit("envelope:"), "feed").alias("check_name"),
-        ((F.col("malformed") + F.col("without_timestamp") + F.col("without_data")) == 0)
+        ((F.col("documents") > 0)
+         & ((F.col("malformed") + F.col("without_timestamp") + F.col("without_data")) == 0))
         .alias("passed"),
         F.col("documents").alias("detail"))
-    work = work_dir.rstrip("/")
-    bronze = build_bronze(spark, landing_dir, f"{work}/bronze", layout, on_error="skip")
-    frames = {t: spark.read.parquet(p) for t, p in bronze.items()}
-    silver = build_silver(spark, frames, f"{work}/silver", on_error="skip")
+    bronze, silver = (existing_tables(spark, f"{work_dir.rstrip('/')}/{layer}", names)
+                      for layer, names in (("bronze", BRONZE_TABLES), ("silver", SILVER_TABLES)))
     expected = [("bronze", t) for t in BRONZE_TABLES] + [("silver", t) for t in SILVER_TABLES]
     tables = missing_tables(spark, expected, layered_summary(spark, None, bronze, silver)).select(
         "layer", F.concat(F.lit("table:"), "table_name").alias("check_name"), "passed",

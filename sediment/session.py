@@ -84,6 +84,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sediment/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; a refused rename is an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path of this engine through the file system that holds it."""
     jvm = spark.sparkContext._jvm

@@ -37,14 +37,27 @@ def route_feed(name: Column | str) -> Column:
     return F.regexp_extract(c, ROUTE_PATTERN, 1)
 
 
-def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """One row per ``*.json`` file (path, file name, size, routed feed); contents are not read."""
+def _not_there(e: AnalysisException) -> bool:
+    return (e.getCondition() or "").startswith("PATH_NOT_FOUND")
+
+
+def _files(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    """(path, length) of the files below a path; none if it is missing.  Contents are not read."""
     try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-                 .option("recursiveFileLookup", "true").load(landing_dir)
-                 .select("path", "length"))
-    except AnalysisException:
-        return spark.createDataFrame([], "path string, length bigint, file_name string, feed string")
+        return (spark.read.format("binaryFile").option("pathGlobFilter", names)
+                .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    except AnalysisException as e:
+        if not _not_there(e):
+            raise
+        return spark.createDataFrame([], "path string, length bigint")
+
+
+def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """One row per ``*.json`` file (path, file name, size, routed feed); contents are not read.
+
+    Sub-directories are listed too, as ``scan_feed`` reads them.
+    """
+    files = _files(spark, landing_dir, "*.json")
     name = F.element_at(F.split("path", "/"), -1)
     return files.select("path", "length", name.alias("file_name"),
                         route_feed(name).alias("feed"))
@@ -59,7 +72,8 @@ def scan_feed(spark: SparkSession, landing_dir: str, feed: str,
               layout: str = "document") -> DataFrame:
     """All landing documents of one feed: envelope columns plus ``source_file``.
 
-    A missing directory (or one without files of the feed) gives an empty frame.
+    A missing directory (or one without files of the feed) gives an empty frame; any other
+    failure to read is raised.  Sub-directories are read too.
     """
     if feed not in FEEDS:
         raise ValueError(f"unknown feed {feed!r}")
@@ -67,7 +81,8 @@ def scan_feed(spark: SparkSession, landing_dir: str, feed: str,
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if layout == "document":
-        reader = reader.option("multiLine", "true").option("pathGlobFilter", f"{feed}_*.json")
+        reader = (reader.option("multiLine", "true").option("recursiveFileLookup", "true")
+                  .option("pathGlobFilter", f"{feed}_*.json"))
         path = landing_dir
     elif layout == "lines":
         reader = reader.option("multiLine", "false")
@@ -76,12 +91,30 @@ def scan_feed(spark: SparkSession, landing_dir: str, feed: str,
         raise ValueError("layout must be 'document' or 'lines'")
     try:
         df = reader.json(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _not_there(e):
+            raise
         return _empty(spark, feed)
     return df.select("ingestion_timestamp", "data", "_corrupt_record",
                      F.col("_metadata.file_name").alias("source_file"))
 
 
+def has_files(spark: SparkSession, landing_dir: str, feed: str, layout: str = "document") -> bool:
+    """Whether any landing file of the feed exists; contents are not read."""
+    if layout == "lines":
+        return not _files(spark, f"{landing_dir.rstrip('/')}/feed={feed}").isEmpty()
+    return not list_landing(spark, landing_dir).where(F.col("feed") == feed).isEmpty()
+
+
+def unusable(docs: DataFrame, feed: str) -> DataFrame:
+    """``(feed, source_file, reason, raw)`` of the documents that give no record or lose part:
+    not JSON or a field of the wrong type (with their text), or an envelope without payload."""
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "malformed").when(F.col("data").isNull(), "without_data")
+    raw = F.coalesce("_corrupt_record", F.to_json(F.struct("ingestion_timestamp")))
+    return docs.where(reason.isNotNull()).select(F.lit(feed).alias("feed"), "source_file",
+                                                 reason.alias("reason"), raw.alias("raw"))
+
+
 def feed_records(docs: DataFrame, feed: str) -> DataFrame:
     """One row per landed record: ``rec`` (the API object), ``ingestion_timestamp``, ``source_file``.
 
@@ -101,8 +134,11 @@ def write_envelopes(records: DataFrame, feed: str, landing_dir: str, page: Seque
     ``records`` has one column ``rec`` (the API object) plus the ``page`` columns.  Records of
     one page share one envelope, like one API response; callers choose ``page`` so that a page
     holds a bounded number of records (e.g. ``floor(id / 50)``), because a page becomes one
-    row.  Empty pages are never landed.  The details feed lands one envelope per record.
+    row.  Empty pages are never landed.  The details feed lands one envelope per record; the
+    array feeds need a page, as all their records would otherwise meet in one row.
     """
+    if feed != "repo_details" and not page:
+        raise ValueError(f"{feed}: page columns are needed, they bound the records of a document")
     ts = F.col(ingestion_timestamp) if isinstance(ingestion_timestamp, str) else ingestion_timestamp
     out = f"{landing_dir.rstrip('/')}/feed={feed}"
     if feed == "repo_details":
@@ -117,8 +153,8 @@ def write_envelopes(records: DataFrame, feed: str, landing_dir: str, page: Seque
     return out
 
 
-def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
-    """Per feed: documents and what is wrong with them, and the landed items.
+def envelope_report(docs: DataFrame, feed: str, by_file: bool = False) -> DataFrame:
+    """Per feed (``by_file``: per feed and source file): documents and what is wrong with them, and the landed items.
 
     ``malformed``: the reader kept the raw text (not JSON, or a field of the wrong type);
     ``partial``: of those, documents whose other fields were still read (wrong field type);
@@ -129,7 +165,8 @@ def envelope_report(docs: DataFrame, feed: str) -> DataFrame:
     payload = F.col("data") if feed == "repo_details" else F.col(f"data.{feed}")
     count = F.lit(1) if feed == "repo_details" else F.size(payload)
     items = F.when(F.col("data").isNull() | payload.isNull(), F.lit(0)).otherwise(count)
-    return docs.agg(
+    by = ["source_file"] if by_file else []
+    return docs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"),
         F.count_if(F.col("_corrupt_record").isNotNull()
@@ -148,9 +185,13 @@ def reland_as_lines(spark: SparkSession, landing_dir: str, out_dir: str, feed: s
     A multi-line document is read by a single task, so a few very large documents would
     serialise the scan.  Records keep their document's landing time; a new envelope holds at
     most ``page_size`` records, chosen by the record's position in its source document
-    (deterministic, so a recomputed task writes the same pages).
+    (deterministic, so a recomputed task writes the same pages).  Documents that are malformed,
+    also in part, or without payload are written to ``<out>/quarantine/feed=<feed>`` with their
+    text, file and reason.
     """
-    docs = scan_feed(spark, landing_dir, feed, "document").where(F.col("data").isNotNull())
+    docs = scan_feed(spark, landing_dir, feed, "document")
+    unusable(docs, feed).write.mode("append").json(f"{out_dir.rstrip('/')}/quarantine/feed={feed}")
+    docs = docs.where(F.col("data").isNotNull())
     if feed == "repo_details":
         recs = docs.select("ingestion_timestamp", F.col("data").alias("rec"))
         return write_envelopes(recs, feed, out_dir, [], "ingestion_timestamp")

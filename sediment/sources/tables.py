@@ -1,11 +1,15 @@
 """Parquet and catalog sinks, and the table summary.
 
-Writes are whole-table overwrites of snappy Parquet; a written table is also where lineage is
-cut, so a lost executor later costs a re-read of Parquet, not a recomputation of the chain.
+A table is replaced as a whole (snappy Parquet).  The new files are written beside the old ones
+and take their place by two renames once they are complete, so a failing job leaves the former
+table as it was; should the process die between the renames, the former table is found beside
+its place under ``<path>.old-*``.  A written table is also where lineage is cut, so a lost
+executor later costs a re-read of Parquet, not a recomputation of the chain.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -13,16 +17,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sediment.session import drop_path, move_path, path_exists
+
 
 def write_parquet(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    spark, tag, path = df.sparkSession, uuid.uuid4().hex[:12], path.rstrip("/")
+    fresh, former = f"{path}.new-{tag}", f"{path}.old-{tag}"
+    try:
+        df.write.option("compression", "snappy").parquet(fresh)
+    except Exception:
+        drop_path(spark, fresh)
+        raise
+    if path_exists(spark, path):
+        move_path(spark, path, former)
+    move_path(spark, fresh, path)
+    drop_path(spark, former)
+    spark.catalog.refreshByPath(path)
     return path
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """``CREATE SCHEMA IF NOT EXISTS`` (optionally placed at a shared location)."""
     loc = f" LOCATION '{location}'" if location else ""
@@ -30,16 +43,22 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
 
 
 def save_table(df: DataFrame, name: str, schema: str = "silver", path: str | None = None) -> str:
-    """Create-or-replace a catalog table from a frame (overwrite), Parquet format.
+    """Create-or-replace a catalog table from a frame, Parquet format.
 
-    The built-in catalog refuses ``CREATE OR REPLACE TABLE ... AS``, so the replacement is an
-    overwrite through the writer.  With ``path`` the table's files live there (external).
+    The built-in catalog refuses ``CREATE OR REPLACE TABLE ... AS``.  With ``path`` the files
+    are written there first (external table) and the catalog entry is made anew; without, a
+    table of another name is written and renamed.  Either way a failing job changes nothing.
     """
-    full = f"{schema}.{name}"
-    w = df.write.mode("overwrite").format("parquet")
+    spark, full = df.sparkSession, f"{schema}.{name}"
     if path:
-        w = w.option("path", path)
-    w.saveAsTable(full)
+        write_parquet(df, path)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.catalog.createTable(full, path=path, source="parquet")
+        return full
+    fresh = f"{full}__{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {full}")
     return full
 
 

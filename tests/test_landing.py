@@ -168,7 +168,7 @@ def test_scheduled_run_requires_input(spark, tmp_path):
     os.makedirs(empty)
     with pytest.raises(FileNotFoundError):
         build_bronze(spark, empty, str(tmp_path / "b"), require_input=True)
-    assert build_bronze(spark, empty, str(tmp_path / "b2"))["issues"]
+    assert build_bronze(spark, empty, str(tmp_path / "b2"), require_input=False) == {}
 
 
 def test_wrong_typed_field_keeps_record_and_flags_file(spark, tmp_path):
@@ -203,3 +203,84 @@ def test_reland_large_documents_as_lines(spark, tmp_path):
     assert before == after and len(after) == 150
     stamps = {r[0] for r in docs.select("ingestion_timestamp").collect()}
     assert stamps == {"2024-01-01T00:00:00", "2024-02-01T00:00:00"}
+
+
+def test_feed_without_files_keeps_its_table(spark, landing, tmp_path):
+    out = str(tmp_path / "bronze")
+    build_bronze(spark, landing, out)
+    before = spark.read.parquet(f"{out}/issues").count()
+    with pytest.raises(FileNotFoundError):
+        build_bronze(spark, str(tmp_path / "wrong"), out)
+    build_bronze(spark, str(tmp_path / "wrong"), out, require_input=False)
+    assert spark.read.parquet(f"{out}/issues").count() == before > 0
+
+
+def test_failed_write_keeps_the_old_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from sediment.sources.tables import save_table, write_parquet
+    path = str(tmp_path / "t")
+    write_parquet(spark.range(5), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        write_parquet(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    write_parquet(spark.read.parquet(path).where("id > 1"), path)  # a table may feed its successor
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    spark.sql("CREATE SCHEMA IF NOT EXISTS sediment_t")
+    save_table(spark.range(4), "m", "sediment_t")
+    with pytest.raises(Exception, match="boom"):
+        save_table(broken, "m", "sediment_t")
+    assert spark.read.table("sediment_t.m").count() == 4
+    save_table(spark.range(2), "m", "sediment_t")
+    assert spark.read.table("sediment_t.m").count() == 2
+    spark.sql("DROP SCHEMA sediment_t CASCADE")
+
+
+def test_sub_directories_are_listed_and_read(spark, landing, tmp_path):
+    import shutil
+    deep = tmp_path / "deep" / "2024" / "06"
+    shutil.copytree(landing, deep)
+    top = str(tmp_path / "deep")
+    for feed in ("issues", "commits"):
+        listed = list_landing(spark, top).where(f"feed = '{feed}'").count()
+        assert scan_feed(spark, top, feed).select("source_file").distinct().count() == listed > 0
+
+
+def test_unusable_documents_are_quarantined(spark, landing, tmp_path):
+    from sediment.plans.bronze import quarantined
+    out = str(tmp_path / "bronze")
+    build_bronze(spark, landing, out)
+    report = [envelope_report(scan_feed(spark, landing, f), f, by_file=True)
+              for f in ("repositories", "repo_details", "commits", "issues")]
+    bad = {r.source_file for df in report for r in df.where("malformed + without_data > 0").collect()}
+    got = quarantined(spark, out).collect()
+    assert bad and {r.source_file for r in got} == bad and all(r.raw for r in got)
+
+
+def test_page_is_needed_for_array_feeds(spark, tmp_path):
+    recs = spark.createDataFrame([((1,),)], "rec struct<id long>")
+    with pytest.raises(ValueError, match="page"):
+        write_envelopes(recs, "issues", str(tmp_path / "l"), [], "x")
+
+
+def test_checks_write_nothing(spark, landing, tmp_path):
+    from sediment.plans.run import layer_checks, run_layers
+    work = str(tmp_path / "w")
+    got = layer_checks(spark, landing, work)
+    assert not (tmp_path / "w").exists() and not any(r.passed for r in got.where("layer <> 'landing'").collect())
+    run_layers(spark, landing, work)
+    wrong = layer_checks(spark, str(tmp_path / "nothing"), work).collect()
+    assert not any(r.passed for r in wrong if r.layer == "landing")
+    assert all(r.detail > 0 for r in wrong if r.check_name == "table:issues")
+
+
+def test_skip_mode_skips_only_what_fails(spark, landing, tmp_path):
+    from sediment.plans.run import build_silver
+    out = str(tmp_path / "bronze")
+    paths = build_bronze(spark, landing, out)
+    frames = {t: spark.read.parquet(p) for t, p in paths.items() if t != "repo_details"}
+    got = build_silver(spark, frames, str(tmp_path / "silver"), on_error="skip")
+    assert set(got) == {"dim_users", "fact_commits", "fact_issues", "fact_pull_requests"}
+    with pytest.raises(KeyError):
+        build_silver(spark, frames, str(tmp_path / "silver2"))

@@ -58,9 +58,8 @@ def test_topk_plans(spark, bronze, capsys):
 
 
 def test_only_bounded_parents_are_broadcast(spark, bronze, capsys):
-    top = top_k(bronze["repositories"], 10, [F.desc("stars"), F.asc("repo_id")])
-    p = plan(children_of(bronze["issues"], top, ["user_id"], ["owner_id"], parents_bounded=10),
-             capsys)
+    p = plan(children_of(bronze["issues"], bronze["repositories"], ["user_id"], ["owner_id"], 10,
+                         [F.desc("stars"), F.asc("repo_id")]), capsys)
     assert "BroadcastExchange" in p
 
 
@@ -70,3 +69,30 @@ def test_null_spreading_keeps_column_pruning(spark, bronze, capsys):
     p = plan(silver.dim_repo_permissions(bronze["repositories"], bronze["repo_details"]), capsys)
     docs = [line for line in p.splitlines() if "ReadSchema" in line and "doc_id" in line]
     assert docs and all("text" not in line for line in docs)
+
+
+def test_roles_fold_in_a_hash_aggregate(spark, bronze, capsys):
+    from sediment.operators.roles import role_aggregate, role_union
+    p = plan(role_aggregate(role_union(bronze["repositories"], bronze["commits"], bronze["issues"])), capsys)
+    top = p[:p.index("\n\n")]
+    assert "HashAggregate" in top and "ObjectHashAggregate" not in top and "SortAggregate" not in top
+
+
+@pytest.fixture()
+def stored(spark, bronze, tmp_path):
+    from sediment.sources.tables import write_parquet
+    return {t: spark.read.parquet(write_parquet(bronze[t], str(tmp_path / t)))
+            for t in ("issues", "repositories")}
+
+
+def test_small_dimension_leaves_the_fact_unshuffled(spark, stored, capsys):
+    p = plan(silver.fact_issues(stored["issues"], stored["repositories"]).where("state = 'open'"), capsys)
+    assert "BroadcastHashJoin" in p and "Exchange hashpartitioning" not in p
+    assert "EqualTo(state,open)" in p
+
+
+def test_large_dimension_is_shuffled(spark, stored, capsys, monkeypatch):
+    from sediment.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_FILE_BYTES", 0)
+    p = plan(silver.fact_issues(stored["issues"], stored["repositories"]).where("state = 'open'"), capsys)
+    assert "SortMergeJoin" in p and "EqualTo(state,open)" in p
