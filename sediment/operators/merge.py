@@ -64,23 +64,42 @@ def merge_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return joined.select(*out)
 
 
+def newest_rows(log: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+                small: int = 1_000_000) -> DataFrame:
+    """``latest_per_key`` for a log stored as files: the wide rows are not grouped.
+
+    Winners are found on the key, the order columns and the row's place (file, row number),
+    which also breaks ties; only those columns are read and shuffled.  If every key stands once
+    the log is returned as it is; else the rows that lost, usually few, are taken out by an anti
+    join, broadcast if there are at most ``small`` of them.  Rows without a key all stay.
+    Runs two jobs on the narrow columns.
+    """
+    place = ["_file", "_row"]
+    rows = log.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    narrow = rows.where(_not_null(keys)).select(*keys, *order_by, *place)
+    best = narrow.groupBy(*keys).agg(F.max(F.struct(*order_by, *place)).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    landed, lost = best.agg(F.sum("_n"), F.sum(F.col("_n") - 1)).first()
+    if not lost:
+        return log
+    winners = best.where("_n > 1").select(*[F.col(f"_b.{c}").alias(c) for c in place])
+    again = best.where("_n > 1").select(*keys)
+    losers = narrow.join(again, list(keys), "left_semi").select(*place).join(winners, place, "left_anti")
+    if lost <= small:
+        losers = F.broadcast(losers)
+    return rows.join(losers, place, "left_anti").select(*log.columns)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Keep one row per key: the one with the largest ``order_by`` tuple.
 
-    Implemented as ``max(struct(order..., rest...))`` per key, an ordinary aggregate with a
-    map-side partial step, so a key landed millions of times is folded before the shuffle
-    instead of being sorted inside one window partition.  Remaining ties are broken by the
-    rest of the row, which makes the choice deterministic.  Rows whose key is NULL are not
-    records of one entity and pass through unchanged.
+    For frames that are not stored; ``newest_rows`` serves stored logs, without grouping wide
+    rows.  Implemented as ``max(struct(order..., rest...))`` per key: a sort aggregate with a
+    map-side step, so a key landed millions of times leaves each task once.  Remaining ties are
+    broken by the rest of the row, which makes the choice deterministic.  Rows whose key is NULL
+    are not records of one entity and pass through unchanged.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest])
-    # A NULL-keyed row gets a grouping tag of its own, so it forms a group alone; this keeps
-    # the operator a single aggregate over a single scan (no second pass over the input).
-    # The tag is stable when a lost task is recomputed: it depends only on the row's position
-    # in its (deterministically split) input partition.
-    alone = F.when(~_not_null(keys), F.monotonically_increasing_id())
-    latest = (df.withColumn("_alone", alone).groupBy(*keys, "_alone")
-              .agg(F.max(packed).alias("_latest"))
+    latest = (df.where(_not_null(keys)).groupBy(*keys).agg(F.max(packed).alias("_latest"))
               .select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in (*order_by, *rest)]))
-    return latest.select(*df.columns)
+    return latest.select(*df.columns).unionAll(df.where(~_not_null(keys)))

@@ -12,11 +12,12 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.operators.merge import latest_per_key
+from sediment.operators.merge import latest_per_key, newest_rows
 from sediment.plans.jobs import DEFAULT_PARALLEL, run_writes
 from sediment.schemas import BRONZE_KEYS, FEEDS
-from sediment.session import path_exists
-from sediment.sources.landing import feed_records, has_files, scan_feed, unusable
+from sediment.session import drop_path, path_exists, scratch_path
+from sediment.sources.landing import (feed_records, has_files, raw_text, scan_feed,
+                                      unusable_reason)
 from sediment.sources.tables import write_parquet
 
 log = logging.getLogger(__name__)
@@ -63,6 +64,7 @@ ISSUE_FIELDS = [
     ("active_lock_reason", "active_lock_reason"), ("pull_request", "pull_request"),
     ("html_url", "html_url"), ("url", "url"),
 ]
+LOG_META = ("_landed_at", "_source_file", "_is_record", "_reason", "_raw")
 FIELDS = {"repositories": REPO_FIELDS, "repo_details": REPO_FIELDS,
           "commits": COMMIT_FIELDS, "issues": ISSUE_FIELDS}
 
@@ -103,6 +105,24 @@ def bronze_feed(spark: SparkSession, landing_dir: str, feed: str, layout: str =
     return flat.drop("_landed_at", "_source_file")
 
 
+def landing_log(docs: DataFrame, feed: str, loaded_at: Column | None = None) -> DataFrame:
+    """Records and unusable documents of one parse: flattened records with ``_landed_at`` and
+    ``_source_file``, and on the first row of a document that is unusable, also in part,
+    ``_reason`` and ``_raw`` (a row without record, ``_is_record`` false, if it has none)."""
+    bad = unusable_reason()
+    items = F.col(f"data.{feed}") if feed != "repo_details" else F.when(
+        F.col("data").isNotNull(), F.array("data"))
+    rows = docs.select("ingestion_timestamp", "source_file", bad.alias("_why"), raw_text().alias("_text"),
+                       F.posexplode_outer(items).alias("_pos", "rec"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    rows = rows.where(F.col("rec").isNotNull() | (first & F.col("_why").isNotNull()))
+    return flatten(rows, feed, loaded_at, keep=(
+        F.try_to_timestamp(F.col("ingestion_timestamp")).alias("_landed_at"),
+        F.col("source_file").alias("_source_file"), F.col("rec").isNotNull().alias("_is_record"),
+        F.when(first, F.col("_why")).alias("_reason"), F.when(first & F.col("_why").isNotNull(),
+                                                              F.col("_text")).alias("_raw")))
+
+
 def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  layout: str = "document", feeds=FEEDS, latest: bool = True,
                  on_error: str = "raise", loaded_at: Column | None = None,
@@ -116,6 +136,9 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
     stays as it is.  With ``require_input`` a landing zone without any file is an error.  Only
     the file listing is read for these checks.  Documents that cannot be used, or only in part,
     are written to ``<bronze>/quarantine/<feed>`` in the same run.
+
+    The JSON is parsed once, into a flattened log in scratch space, from which the newest
+    landing of every key is found on narrow columns.
     """
     base = bronze_dir.rstrip("/")
     present = [f for f in feeds if has_files(spark, landing_dir, f, layout)]
@@ -127,11 +150,19 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
 
     def write(feed: str):
         def run() -> str:
-            out = write_parquet(bronze_feed(spark, landing_dir, feed, layout, latest, loaded_at),
-                                f"{base}/{feed}")
-            bad = unusable(scan_feed(spark, landing_dir, feed, layout), feed)
-            write_parquet(bad, f"{base}/quarantine/{feed}")
-            return out
+            stored = write_parquet(landing_log(scan_feed(spark, landing_dir, feed, layout), feed, loaded_at),
+                                   scratch_path(spark, f"log-{feed}"))
+            try:
+                log_rows = spark.read.parquet(stored)
+                write_parquet(log_rows.where("_reason IS NOT NULL").select(
+                    F.lit(feed).alias("feed"), F.col("_source_file").alias("source_file"),
+                    F.col("_reason").alias("reason"), F.col("_raw").alias("raw")), f"{base}/quarantine/{feed}")
+                records = log_rows.where("_is_record")
+                if latest:
+                    records = newest_rows(records, BRONZE_KEYS[feed], ["_landed_at", "_source_file"])
+                return write_parquet(records.drop(*LOG_META), f"{base}/{feed}")
+            finally:
+                drop_path(spark, stored)
         return run
     return run_writes({feed: write(feed) for feed in present}, on_error, max_parallel)
 

@@ -106,13 +106,22 @@ def has_files(spark: SparkSession, landing_dir: str, feed: str, layout: str = "d
     return not list_landing(spark, landing_dir).where(F.col("feed") == feed).isEmpty()
 
 
+def unusable_reason() -> Column:
+    """Why a document gives no record or loses part of them; NULL for a good one."""
+    return F.when(F.col("_corrupt_record").isNotNull(), "malformed").when(
+        F.col("data").isNull(), "without_data")
+
+
+def raw_text() -> Column:
+    return F.coalesce("_corrupt_record", F.to_json(F.struct("ingestion_timestamp")))
+
+
 def unusable(docs: DataFrame, feed: str) -> DataFrame:
     """``(feed, source_file, reason, raw)`` of the documents that give no record or lose part:
     not JSON or a field of the wrong type (with their text), or an envelope without payload."""
-    reason = F.when(F.col("_corrupt_record").isNotNull(), "malformed").when(F.col("data").isNull(), "without_data")
-    raw = F.coalesce("_corrupt_record", F.to_json(F.struct("ingestion_timestamp")))
-    return docs.where(reason.isNotNull()).select(F.lit(feed).alias("feed"), "source_file",
-                                                 reason.alias("reason"), raw.alias("raw"))
+    return docs.where(unusable_reason().isNotNull()).select(
+        F.lit(feed).alias("feed"), "source_file", unusable_reason().alias("reason"),
+        raw_text().alias("raw"))
 
 
 def feed_records(docs: DataFrame, feed: str) -> DataFrame:

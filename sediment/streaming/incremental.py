@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sediment.operators.merge import latest_per_key
-from sediment.plans.bronze import flatten
+from sediment.operators.merge import newest_rows
+from sediment.plans.bronze import LOG_META, landing_log
 from sediment.schemas import BRONZE_KEYS, FEEDS, envelope
-from sediment.sources.landing import feed_records
 
 LOG_COLUMNS = ("_landed_at", "_source_file")
 
@@ -44,26 +43,24 @@ def landing_stream(spark: SparkSession, landing_dir: str, feed: str, layout: str
                                     F.col("_metadata.file_name").alias("source_file"))
 
 
-def record_log(docs: DataFrame, feed: str, loaded_at: Column | None = None) -> DataFrame:
-    """Landing documents -> flattened records with their landing time and source file."""
-    recs = feed_records(docs, feed)
-    return flatten(recs, feed, loaded_at,
-                   keep=(F.try_to_timestamp(F.col("ingestion_timestamp")).alias("_landed_at"),
-                         F.col("source_file").alias("_source_file")))
-
-
 def ingest_new_landing(spark: SparkSession, landing_dir: str, log_dir: str,
                        checkpoint_dir: str, feed: str, layout: str = "lines",
                        max_files_per_trigger: int = 1000) -> StreamingQuery:
     """Start an ``availableNow`` run that appends records of not-yet-seen landing files."""
     docs = landing_stream(spark, landing_dir, feed, layout, max_files_per_trigger)
-    return (record_log(docs, feed).writeStream.format("parquet")
+    return (landing_log(docs, feed).writeStream.format("parquet")
             .option("path", log_dir).option("checkpointLocation", checkpoint_dir)
             .outputMode("append").trigger(availableNow=True).start())
 
 
+def quarantined(spark: SparkSession, log_dir: str, feed: str) -> DataFrame:
+    """``(feed, source_file, reason, raw)`` of the documents that gave no record, or only part."""
+    return spark.read.parquet(log_dir).where("_reason IS NOT NULL").select(
+        F.lit(feed).alias("feed"), F.col("_source_file").alias("source_file"),
+        F.col("_reason").alias("reason"), F.col("_raw").alias("raw"))
+
+
 def current_bronze(spark: SparkSession, log_dir: str, feed: str) -> DataFrame:
     """The bronze table as of now: newest landing of every record in the feed's log."""
-    log = spark.read.parquet(log_dir)
-    newest = latest_per_key(log, BRONZE_KEYS[feed], list(LOG_COLUMNS))
-    return newest.drop(*LOG_COLUMNS)
+    log = spark.read.parquet(log_dir).where("_is_record")
+    return newest_rows(log, BRONZE_KEYS[feed], list(LOG_COLUMNS)).drop(*LOG_META)

@@ -96,3 +96,19 @@ def test_large_dimension_is_shuffled(spark, stored, capsys, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_FILE_BYTES", 0)
     p = plan(silver.fact_issues(stored["issues"], stored["repositories"]).where("state = 'open'"), capsys)
     assert "SortMergeJoin" in p and "EqualTo(state,open)" in p
+
+
+def test_newest_rows_groups_narrow_columns_only(spark, tmp_path, capsys):
+    from sediment.operators.merge import latest_per_key, newest_rows
+    from sediment.sources.tables import write_parquet
+    rows = [(k, f"2024-01-0{d}", f"f{d}", "x" * 50) for k in range(40) for d in range(1, 1 + k % 3)]
+    rows += [(None, "2024-01-01", "f1", "a"), (None, "2024-01-01", "f1", "a")]
+    df = spark.createDataFrame(rows, "id int, day string, file string, body string")
+    log = spark.read.parquet(write_parquet(df, str(tmp_path / "log")))
+    newest = newest_rows(log, ["id"], ["day", "file"])
+    want = latest_per_key(log, ["id"], ["day", "file"])
+    assert sorted(map(repr, newest.collect())) == sorted(map(repr, want.collect()))
+    p = plan(newest, capsys)
+    assert all("body" not in line for line in p.splitlines() if "Aggregate" in line or "functions=" in line)
+    once = spark.read.parquet(write_parquet(df.dropDuplicates(["id"]), str(tmp_path / "once")))
+    assert "Aggregate" not in plan(newest_rows(once, ["id"], ["day", "file"]), capsys)
