@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sediment.session import scratch_path
 
 ARROW_ROWS = 512
+LINKS_PER_FILE = 200_000
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
@@ -44,13 +45,14 @@ def doc_crc(col: Column) -> Column:
 
 
 def stratified_rank(df: DataFrame, strata: list[str], bucket: Column, order: list[Column],
-                    out: str) -> DataFrame:
+                    out: str, few: bool = False) -> DataFrame:
     """Add ``out``: each row's rank from 1 in its stratum, in the order of (bucket, order).
 
     ``bucket`` must be non-decreasing in that order and must spread the rows of a stratum
     evenly; rows are ranked inside (stratum, bucket) and offset by the counts of the lower
     buckets.  A hot stratum is so spread over all its buckets.  The strata are compared
-    null-safely.  Rows that tie in every order column must be interchangeable.
+    null-safely.  Rows that tie in every order column must be interchangeable.  ``few``: the
+    caller knows that there are few (stratum, bucket) pairs, so their offsets are broadcast.
     """
     b = f"__b_{uuid.uuid4().hex[:6]}"
     keys = [*strata, b]
@@ -62,6 +64,8 @@ def stratified_rank(df: DataFrame, strata: list[str], bucket: Column, order: lis
     offsets = counts.select(
         *[F.col(k).alias(right[k]) for k in keys],
         F.coalesce(F.sum("__n").over(lower), F.lit(0)).alias("__below"))
+    if few:
+        offsets = F.broadcast(offsets)
     local = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     on = None
     for k in keys:
@@ -82,12 +86,16 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
     Minimum labels travel along links and through labels (pointer jumping), so the number of
     rounds grows with the logarithm of a component's diameter; hub nodes are folded by partial
-    aggregation.  Every round is a written table.  Nodes without links are not returned.
+    aggregation.  Every round is a written table of as many files as its links need
+    (``LINKS_PER_FILE``).  Nodes without links are not returned.
     """
+    links = written(links.select("a", "b"), f"{name}-all")
+    parts = 1 + 2 * links.count() // LINKS_PER_FILE
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = written(both.where("a != b").distinct(), f"{name}-edges")
+    edges = written(both.where("a != b").distinct().coalesce(parts), f"{name}-edges")
     labels = written(edges.groupBy(F.col("a").alias("node"))
-                     .agg(F.least(F.col("a"), F.min("b")).alias("label")), f"{name}-label")
+                     .agg(F.least(F.col("a"), F.min("b")).alias("label")).coalesce(parts),
+                     f"{name}-label")
     while True:
         near = (edges.join(labels.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
@@ -95,7 +103,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         up = labels.select(F.col("node").alias("low"), F.col("label").alias("top"))
         nxt = mine.join(up, "low").select("node", F.least("low", "top").alias("label"),
                                           (F.least("low", "top") != F.col("label")).alias("moved"))
-        nxt = written(nxt, f"{name}-label")
+        nxt = written(nxt.coalesce(parts), f"{name}-label")
         labels = nxt.select("node", "label")
         if nxt.where("moved").isEmpty():
             return labels

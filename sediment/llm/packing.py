@@ -9,8 +9,9 @@ combination so often leaves some length with fewer pieces than the combination u
 few kinds (thousands, however many pieces), each of at most 90 different lengths.
 
 Every piece then finds its place from its rank among the pieces of its length.  Ranks are counted
-in buckets of a hash of the piece, so a length that a third of all pieces share is ranked in many
-tasks.  Only the length table (proven bound: ``capacity`` rows) reaches the driver.
+in buckets of at most about BUCKET pieces, by a hash of the piece, so a length that a third of
+all pieces share is ranked in many tasks.  Only the length table (proven bound: ``capacity``
+rows) reaches the driver; the bucket offsets are broadcast while there are at most FEW of them.
 
 Defined cases: a null or empty text is one piece holding the end id; rows that repeat are packed
 each; null ids are an id like others; an empty table gives no rows; other columns play no part.
@@ -26,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import bucket_count, small_batches, stratified_rank, written
+from sediment.llm.common import small_batches, stratified_rank, written
 from sediment.llm.tokens import encoder
 
 CAPACITY = 4096
 END = 1
+BUCKET = 8192
+FEW = 200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -153,14 +156,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     by_length = cut.groupBy("length").count().collect()  # at most ``capacity`` rows
     counts = {r["length"]: r["count"] for r in by_length}
     places = _places(patterns(counts, capacity))
-    n = bucket_count(sum(counts.values()))
+    buckets = {k: -(-n // BUCKET) for k, n in counts.items()}
+    by_length = spark.createDataFrame([(k, n) for k, n in buckets.items()], "__length long, __buckets long")
     columns = [c for c in cut.columns if c not in ("sequence_id", "offset")]
-    order = [F.xxhash64("doc_id", "piece"), *[F.col(c) for c in ("doc_id", "piece", "start", "ids_crc32")]]
-    # The bucket is the rank's leading key: the hash, shifted to be positive, cut evenly.
-    bucket = F.floor(F.shiftrightunsigned(F.xxhash64("doc_id", "piece"), 33) * n / F.lit(1 << 31))
-    order[0] = F.shiftrightunsigned(order[0], 33)
+    # The leading key of the rank: a hash, shifted to be positive, whose range the buckets share.
+    lead = F.shiftrightunsigned(F.xxhash64("doc_id", "piece"), 33)
+    order = [lead, *[F.col(c) for c in ("doc_id", "piece", "start", "ids_crc32")]]
     small_batches(spark)
-    ranked = stratified_rank(cut.select(columns), ["length"], bucket, order, "__rank")
+    rows = cut.select(columns).join(F.broadcast(by_length), F.col("length") == F.col("__length"))
+    ranked = stratified_rank(rows, ["length"], F.floor(lead * F.col("__buckets") / F.lit(1 << 31)), order,
+                             "__rank", few=sum(buckets.values()) <= FEW).drop("__length", "__buckets")
     kinds = {f.name: f.dataType.simpleString() for f in ranked.schema.fields if f.name != "__rank"}
     schema = ", ".join(f"`{k}` {v}" for k, v in kinds.items()) + ", sequence_id long, offset long"
     return ranked.mapInArrow(_place(places), schema)
