@@ -96,6 +96,24 @@ def q_fact_pull_requests_by_url(spark, sf):
     return _no_stamps(silver.fact_pull_requests(b["issues"], b["repositories"], repo_by="url"))
 
 
+@register("load_stamps")
+def q_load_stamps(spark, sf):
+    """Load times of the merged repositories, as epoch seconds: the later stamp of both sides,
+    the first side's stamp where there is one, and a pinned time of this run."""
+    def stamped(df, start: str, gap: int):
+        at = F.lit(start).cast("timestamp") + F.make_dt_interval(F.pmod("repo_id", F.lit(90)).cast("int"))
+        return df.withColumn("bronze_ingestion_timestamp", F.when(F.pmod("repo_id", F.lit(gap)) != 0, at))
+    b = dt.bronze_inputs(spark, sf)
+    merged = silver.repo_merge(stamped(b["repositories"], "2024-01-01 00:00:00", 3),
+                               stamped(b["repo_details"], "2024-02-01 00:00:00", 4), drop_null_keys=True)
+    now = F.lit("2024-06-01 12:00:00").cast("timestamp")
+    latest = silver.dim_repositories_from_merge(merged, now)
+    first = silver.dim_repo_permissions_from_merge(merged, now)
+    return latest.select("repo_id", F.unix_timestamp("bronze_ingestion_timestamp").alias("latest"),
+                         F.unix_timestamp("silver_ingestion_timestamp").alias("loaded")).join(
+        first.select("repo_id", F.unix_timestamp("bronze_ingestion_timestamp").alias("first")), "repo_id")
+
+
 # --- landing helpers ---------------------------------------------------------------------------
 # Landing time of the derived documents and the API page size.
 LAND_TS = "2024-06-01T00:00:00"

@@ -249,6 +249,20 @@ ORACLE["fact_pull_requests_by_url"] = _pull_requests(
     f"{url_owner('pr.html_url')} = r.owner_login AND {url_repo('pr.html_url')} = r.repo_name")
 
 
+ORACLE["load_stamps"] = oracle_with("repos", "details") + """
+, stamped AS (
+  SELECT repo_id, 0 AS side, TIMESTAMP '2024-01-01' AS start, 3 AS gap FROM repos
+  UNION ALL SELECT repo_id, 1, TIMESTAMP '2024-02-01', 4 FROM details WHERE repo_id IS NOT NULL
+),
+placed AS (SELECT *, ((repo_id % 90) + 90) % 90 AS days, ((repo_id % gap) + gap) % gap AS rest FROM stamped),
+timed AS (SELECT repo_id, side, CASE WHEN rest <> 0 THEN start + to_days(CAST(days AS INTEGER)) END AS stamp
+          FROM placed)
+SELECT repo_id, CAST(epoch(coalesce(max(stamp), TIMESTAMP '1900-01-01')) AS BIGINT) AS latest,
+  CAST(epoch(arg_min(stamp, side)) AS BIGINT) AS first,
+  CAST(epoch(TIMESTAMP '2024-06-01 12:00:00') AS BIGINT) AS loaded
+FROM timed GROUP BY repo_id
+"""
+
 # --- landing and bronze: the derived records must come back unchanged -------------------------
 ORACLE["bronze_repositories"] = oracle_with("repos") + "SELECT * FROM repos"
 ORACLE["bronze_repo_details"] = oracle_with("details") + "SELECT * FROM details"

@@ -209,14 +209,57 @@ def issues(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
+# What the benchmark tables lack: missing and blank values, details of repositories that no
+# search found, details without an id, conflicting values, every keyword of a message, busy
+# issues, users of one role only, URLs of other hosts.  Every row stays; some values are set by
+# the row's own numbers.  The expressions mean the same in Spark SQL and DuckDB.
+VARIED = {
+    "repositories": {
+        "description": "CASE WHEN repo_id % 13 = 1 THEN '   ' WHEN repo_id % 13 <> 2 THEN description END",
+        "language": "CASE WHEN language = 'C++' AND repo_id % 2 = 0 THEN 'C#' ELSE language END",
+        "stars": "CASE WHEN repo_id % 19 <> 4 THEN stars END",
+        "created_at": "CASE WHEN repo_id % 23 <> 6 THEN created_at END",
+        "owner_type": "CASE WHEN repo_id % 5 = 0 THEN 'Organization' WHEN repo_id % 7 <> 3 THEN owner_type END",
+        "archived": "CASE WHEN repo_id % 29 = 8 THEN true ELSE archived END",
+        "disabled": "(repo_id % 17 = 0)",
+    },
+    "repo_details": {
+        "repo_id": "CASE WHEN repo_id % 10 = 3 THEN -1 - repo_id WHEN repo_id % 10 <> 7 THEN repo_id END",
+        "stars": "CASE WHEN repo_id % 4 = 1 THEN CAST(5000 AS BIGINT) END",
+        "forks": "CASE WHEN repo_id % 4 = 1 THEN CAST(250 AS BIGINT) END",
+    },
+    "commits": {
+        "message": ("CASE (author_id + comment_count) % 10 WHEN 0 THEN concat('fix: ', message) "
+                    "WHEN 1 THEN concat('feature: ', message) WHEN 2 THEN concat('refactor: ', message) "
+                    "WHEN 3 THEN concat('style: ', message) WHEN 4 THEN concat('test: ', message) "
+                    "WHEN 5 THEN concat('doc: ', message) WHEN 6 THEN NULL ELSE message END"),
+        "author_email": "CASE WHEN author_id % 11 = 0 THEN '' ELSE author_email END",
+        "author_name": "CASE WHEN author_id % 11 = 1 THEN '  ' WHEN author_id % 11 <> 2 THEN author_name END",
+        "author_type": "CASE WHEN author_id % 9 <> 0 THEN author_type END",
+        "committer_id": "CASE WHEN comment_count = 1 THEN 1000000 + author_id ELSE committer_id END",
+    },
+    "issues": {
+        "comments_count": "comments_count * 4",
+        "assignee_id": "CASE WHEN issue_id % 3 = 0 THEN 2000000 + assignee_id ELSE assignee_id END",
+        "html_url": ("CASE WHEN issue_id % 31 = 0 THEN concat('https://git.example.org/a/b/issues/', "
+                     "CAST(issue_id AS STRING)) WHEN issue_id % 37 <> 0 THEN html_url END"),
+    },
+}
+
+
+def varied(df: DataFrame, feed: str) -> DataFrame:
+    return df.withColumns({c: F.expr(e).cast(df.schema[c].dataType) for c, e in VARIED[feed].items()})
+
+
 def bronze_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four bronze-shaped frames, lazily derived from the benchmark tables."""
-    return {
+    plain = {
         "repositories": repositories(read(spark, sf_dir, "documents")),
         "repo_details": repo_details(read(spark, sf_dir, "labels")),
         "commits": commits(read(spark, sf_dir, "conversations")),
         "issues": issues(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")),
     }
+    return {feed: varied(df, feed) for feed, df in plain.items()}
 
 
 # ---------------------------------------------------------------------------------------------
@@ -341,4 +384,9 @@ FROM (
 
 def oracle_with(*names: str) -> str:
     """``WITH`` clause defining the named adapter CTEs (repos, details, commits, issues)."""
-    return "WITH " + ",\n".join(f"{n} AS ({ORACLE_CTES[n]})" for n in names) + "\n"
+    feeds = {"repos": "repositories", "details": "repo_details"}
+    parts = []
+    for n in names:
+        values = ", ".join(f"{e} AS {c}" for c, e in VARIED[feeds.get(n, n)].items())
+        parts.append(f"{n} AS (SELECT * REPLACE ({values}) FROM ({ORACLE_CTES[n]}))")
+    return "WITH " + ",\n".join(parts) + "\n"
