@@ -85,6 +85,81 @@ reach AS (
 smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN smallest USING (doc_id)""",
+    "op4_quote_threads": r"""
+WITH RECURSIVE messages AS (SELECT *, row_number() OVER () AS msg FROM conversations),
+lines AS (
+  SELECT msg, conv_id, turn, pos, line, length(regexp_replace(prefix, '[^>]', '', 'g')) AS level,
+         regexp_replace(substr(line, length(prefix) + 1), '^[ \t]', '') AS inner_text
+  FROM (
+    SELECT *, regexp_extract(line, '^((?:[ \t]*>)*)', 1) AS prefix FROM (
+      SELECT msg, conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM messages))
+),
+marked AS (
+  SELECT *, CASE WHEN level > 0 THEN inner_text ELSE line END AS content,
+         coalesce(lag(level) OVER w <> level, true) AS starts,
+         level = 0 AND regexp_matches(line, '(?i)\bwrote:[ \t]*$') AND coalesce(lead(level) OVER w, 0) > 0 AS gone
+  FROM lines WINDOW w AS (PARTITION BY msg ORDER BY pos)
+),
+normed AS (
+  SELECT *, trim(regexp_replace(lower(content), '[^\p{L}\p{N}]+', ' ', 'g')) AS u,
+         sum(starts::INTEGER) OVER (PARTITION BY msg ORDER BY pos) AS run
+  FROM marked
+),
+passages AS (
+  SELECT msg, conv_id, turn, level, list(u ORDER BY pos) AS us,
+         dense_rank() OVER (PARTITION BY msg ORDER BY run) AS p
+  FROM normed WHERE level > 0 AND turn IS NOT NULL GROUP BY msg, conv_id, turn, level, run
+),
+asked AS (
+  SELECT DISTINCT conv_id, turn, p, level, unnest(list_concat(
+      [{'u': trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')), 'whole': true}],
+      list_transform(us, lambda x: {'u': x, 'whole': false})), recursive := true)
+  FROM passages
+),
+bodies AS (
+  SELECT msg, conv_id, turn, list(u ORDER BY pos) AS us FROM normed
+  WHERE level = 0 AND NOT gone AND turn IS NOT NULL GROUP BY msg, conv_id, turn
+),
+own AS (
+  SELECT DISTINCT conv_id, turn AS orig, unnest(list_append(
+      us, trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')))) AS u
+  FROM bodies
+),
+scored AS (
+  SELECT a.conv_id, a.turn, a.p, a.level, o.orig, max(a.whole) AS whole, count(*) AS n
+  FROM asked a JOIN own o ON o.conv_id IS NOT DISTINCT FROM a.conv_id AND o.u = a.u AND o.orig < a.turn
+  WHERE a.u <> '' GROUP BY ALL
+),
+linked AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn, p, level ORDER BY whole DESC, n DESC, orig DESC) = 1
+),
+replies AS (
+  SELECT conv_id, turn, orig AS reply_to FROM linked
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, orig DESC) = 1
+),
+climb AS (
+  SELECT conv_id, turn, reply_to AS up, 1 AS depth FROM replies
+  UNION ALL
+  SELECT c.conv_id, c.turn, r.reply_to, c.depth + 1 FROM climb c
+  JOIN replies r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.turn = c.up
+),
+threads AS (SELECT conv_id, turn, max(depth) AS depth, min(up) AS root FROM climb GROUP BY ALL),
+shown AS (
+  SELECT msg, count(*) FILTER (level > 0) AS n_quoted,
+         trim(coalesce(string_agg(content, chr(10) ORDER BY pos) FILTER (level = 0 AND NOT gone), ''),
+              ' ' || chr(9) || chr(10)) AS body
+  FROM normed GROUP BY msg
+)
+SELECT m.conv_id, m.turn, m.role, row_number() OVER (PARTITION BY m.conv_id ORDER BY
+         coalesce(t.root, m.turn) NULLS FIRST, coalesce(t.depth, 0), m.turn NULLS FIRST,
+         m.role NULLS FIRST, n_quoted, body) - 1 AS position,
+       r.reply_to, coalesce(t.depth, 0)::INTEGER AS depth, coalesce(t.root, m.turn) AS thread,
+       n_quoted::INTEGER AS n_quoted, body
+FROM messages m JOIN shown USING (msg)
+LEFT JOIN replies r ON r.conv_id IS NOT DISTINCT FROM m.conv_id AND r.turn = m.turn
+LEFT JOIN threads t ON t.conv_id IS NOT DISTINCT FROM m.conv_id AND t.turn = m.turn""",
     "op5_decontamination": r"""
 WITH doc_words AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w

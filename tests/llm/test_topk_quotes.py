@@ -99,3 +99,28 @@ def test_messages_without_quotes_keep_their_order(spark):
     got = quotes.contract(spark.createDataFrame(rows, CHATS)).collect()
     assert all(r["position"] == r["turn"] and r["reply_to"] is None for r in got)
     assert quotes.contract(spark.createDataFrame([], CHATS)).count() == 0
+
+
+def test_quotes_match_the_oracle(spark):
+    """The SQL of the registered query, on conversations that do quote."""
+    import duckdb
+    import pandas as pd
+
+    from sediment.llm.queries import ORACLE
+
+    rng = random.Random(3)
+    lines = [f"sentence number {i} of the talk" for i in range(12)] + ["", "a > b", "On Monday, B wrote:"]
+    rows = chat_rows()
+    for conv in range(10, 16):
+        for turn in range(12):
+            text = [rng.choice(("", "", "> ", ">> ", "> > ", " >")) + rng.choice(lines) for _ in range(rng.randrange(6))]
+            rows.append((conv, turn, rng.choice(("user", "assistant")), "\n".join(text)))
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype(
+        {"conv_id": "Int64", "turn": "Int32"})
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    cur = con.execute(ORACLE["op4_quote_threads"])
+    names = [d[0] for d in cur.description]
+    want = sorted(map(repr, cur.fetchall()))
+    got = quotes.contract(spark.createDataFrame(rows, CHATS)).select(names).collect()
+    assert sorted(repr(tuple(r)) for r in got) == want
