@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from sediment.session import scratch_path
 
 ARROW_ROWS = 512
+ARROW_BYTES = 32 << 20
 LINKS_PER_FILE = 200_000
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows of an Arrow batch: texts may be long, and a batch is held in memory."""
+    """Bound the rows and bytes of an Arrow batch: texts may be long, and a batch is held in
+    memory (a single longer row is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, rows)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import written
+from sediment.llm.common import small_batches, written
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 1024
@@ -145,7 +145,7 @@ def _search(k: int):
     """Pairs of a packed shard and a packed query block with floors -> found rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 ids, points = _unpack(row["ids"], row["vectors"], row["dim"])
                 query_ids, queries = _unpack(row["q_ids"], row["q_vectors"], row["dim"])
                 floor = np.full(len(query_ids), -np.inf)
@@ -178,6 +178,7 @@ def _floors(k: int):
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``."""
+    small_batches(vectors.sparkSession)
     rows = written(quantised(vectors), "kd-vectors")
     per = rows.count()
     shards = max(1, -(-per // SHARD_ROWS))
