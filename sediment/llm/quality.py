@@ -45,6 +45,7 @@ class Model:
     bad: bytes
     weights: np.ndarray | None
     base: float
+    span: np.ndarray | None = None
 
 
 def blocks(text: bytes) -> list[bytes]:
@@ -77,9 +78,10 @@ def features(good: bytes, bad: bytes) -> Callable[[bytes], list[float] | None]:
     return run
 
 
-def expand(x: np.ndarray) -> np.ndarray:
-    """The evidence with its squares and products."""
-    n = x.shape[1]
+def expand(x: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The evidence, held within what calibration saw (texts that are in a dictionary lie far
+    outside), with its squares and products."""
+    n, x = x.shape[1], np.clip(x, *span)
     return np.column_stack([x, *(x[:, i] * x[:, j] for i in range(n) for j in range(i, n))])
 
 
@@ -155,9 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality",
             .orderBy("label", "x").collect())
     if len({r["label"] for r in seen}) < 2:
         return Model(good, bad, None, base)
-    weights = fit_logistic(expand(np.array([r["x"] for r in seen])),
-                           np.array([r["label"] for r in seen]), base, ridge=1e-3)
-    return Model(good, bad, weights, base)
+    x, y = np.array([r["x"] for r in seen]), np.array([r["label"] for r in seen])
+    span = np.stack([x.min(axis=0), x.max(axis=0)])
+    return Model(good, bad, fit_logistic(expand(x, span), y, base, ridge=1e-3), base, span)
 
 
 def _score(model: Model, at: int):
@@ -168,7 +170,7 @@ def _score(model: Model, at: int):
             out = np.full(len(found), model.base)
             known = [i for i, x in enumerate(found) if x is not None]
             if known:
-                out[known] = predict(model.weights, expand(np.array([found[i] for i in known])))
+                out[known] = predict(model.weights, expand(np.array([found[i] for i in known]), model.span))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)],
                                              [*batch.schema.names, "score"])
     return run
