@@ -134,7 +134,9 @@ def layer_checks(spark: SparkSession, landing_dir: str, work_dir: str, layout: s
     landing: there are documents, and every one is well formed and carries time and payload (all
     files, not a sample); bronze / silver: every expected table exists with rows; quality: the
     repository dimension's key, name and stars are within the null-share limit.  Each check is a
-    row, so a failure is reported next to the successes.  Nothing is written or rebuilt.
+    row, so a failure is reported next to the successes.  Nothing is written or rebuilt.  In the
+    ``document`` layout the number of files per feed is reported too, and files whose name
+    belongs to no feed (``files:``) fail.
     """
     from sediment.plans.quality import thresholds
 
@@ -153,6 +155,10 @@ def layer_checks(spark: SparkSession, landing_dir: str, work_dir: str, layout: s
         "layer", F.concat(F.lit("table:"), "table_name").alias("check_name"), "passed",
         F.col("row_count").alias("detail"))
     parts = [landing_rows, tables]
+    if layout == "document":
+        parts.append(landing_files(spark, landing_dir).select(
+            F.lit("landing").alias("layer"), F.concat(F.lit("files:"), "feed").alias("check_name"),
+            (F.col("feed") != "").alias("passed"), F.col("files").alias("detail")))
     if "dim_repositories" in silver:
         dim = spark.read.parquet(silver["dim_repositories"])
         parts.append(thresholds(dim, ["repo_id", "repo_name", "stars"], max_null_share).select(

@@ -270,6 +270,10 @@ def test_checks_write_nothing(spark, landing, tmp_path):
     got = layer_checks(spark, landing, work)
     assert not (tmp_path / "w").exists() and not any(r.passed for r in got.where("layer <> 'landing'").collect())
     run_layers(spark, landing, work)
+    files = {r.check_name: r for r in layer_checks(spark, landing, work).collect() if "files:" in r.check_name}
+    want = {r.feed: r.n for r in list_landing(spark, landing).groupBy("feed").agg(F.count("*").alias("n")).collect()}
+    assert {k[6:]: r.detail for k, r in files.items()} == want and all(r.passed == (k != "files:")
+                                                                       for k, r in files.items())
     wrong = layer_checks(spark, str(tmp_path / "nothing"), work).collect()
     assert not any(r.passed for r in wrong if r.layer == "landing")
     assert all(r.detail > 0 for r in wrong if r.check_name == "table:issues")
