@@ -70,13 +70,15 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
         joined = l.join(F.broadcast(r), _eq(l, r, lk, list(tags.values())), "left")
     else:
         # Fact rows without a key never match, yet would all hash to one partition: an extra
-        # join key, 0 for keyed rows and a hash of the row's first column (its id) otherwise,
-        # spreads them.  It is deterministic, so filters pass it and a retried task repeats it.
+        # join key, 0 for keyed rows and a hash of the first column that is no key (a fact's id)
+        # otherwise, spreads them.  It is deterministic, so filters pass it and a retried task
+        # repeats it.
+        spread = next((c for c in left.columns if c not in left_keys), left.columns[0])
         has_key = F.lit(True)
         for name in lk:
             has_key = has_key & F.col(name).isNotNull()
         l = l.withColumn("_spread", F.when(has_key, F.lit(0).cast("bigint"))
-                         .otherwise(F.xxhash64(F.col(left.columns[0]))))
+                         .otherwise(F.xxhash64(F.col(spread))))
         r = r.withColumn("_spread", F.lit(0).cast("bigint"))
         cond = _eq(l, r, lk, list(tags.values())) & (l["_spread"] == r["_spread"])
         joined = l.join(r, cond, "left")
