@@ -9,11 +9,15 @@
    hashes, and a document stops at the first round in which all its slots are held by lower ones.
 3. Signatures are cut into BANDS bands of ROWS slots; classes that agree in a band are candidates.
    A pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 < 4e-6.
-4. Candidates are verified on their full sets.  In each round every band group offers the pairs
-   of its members with one hub; verified links are merged into components, and the groups whose
-   members are all in one component are done.  As soon as the pairs between different components
-   of the groups left are few (in proportion to their members), they are all verified.  No group
-   emits all its pairs, and no pair that could join two components is left out.
+4. Candidates are verified on their full sets.  First every band group offers the pairs of its
+   members with one hub, and verified links are merged into components, which leaves most groups
+   with one component.  The members of the groups left are compared in blocks of bounded size,
+   inside tasks: first on whole signatures, where a pair of different components must agree in
+   at least as many slots as a pair at the threshold does (less four standard deviations), in
+   the first band that it shares; then the members with such a partner bring their sets, and
+   the pairs are verified.  A verified link joins its components, so that a block returns at
+   most as many links as it has members.  No group emits its pairs, and no link that could join
+   two components is left out.
 5. Components by minimum label and pointer jumping over the verified links.
 
 Defined cases: null, empty or blank texts have an empty set, linked with nothing; rows that
@@ -40,8 +44,10 @@ BANDS, ROWS = 24, 4
 SLOTS = BANDS * ROWS
 GROUP_BYTES = 4 << 20
 ROUND_ELEMENTS = 1 << 19
-#: Pairs between components that may be emitted at once, for each member of an open group.
-PAIRS_PER_MEMBER = 8
+BLOCK_MEMBERS = 1024
+CHUNK_PAIRS = 1 << 16
+BLOCK_ROWS = ("band long, lo int, hi int, block int, rep long, n long, label long, "
+              "bands array<long>, slots binary")
 
 _U = np.uint64
 
@@ -137,7 +143,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _sign(words: int):
-    """doc_id, text -> doc_id, n, set digest, band hashes."""
+    """doc_id, text -> doc_id, n, set digest, band hashes, low bytes of the signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
@@ -146,6 +152,7 @@ def _sign(words: int):
                 n = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(n)
                 bands = np.zeros((len(full), BANDS), np.int64)
+                slots = np.zeros((len(full), SLOTS), np.uint8)
                 # Bounded memory: a slice of the sets at a time.
                 cuts = np.searchsorted(np.cumsum(n[full]), np.arange(0, n.sum() + 1, ROUND_ELEMENTS))
                 for a, b in zip([*cuts, len(full)], [*cuts[1:], len(full), len(full)], strict=False):
@@ -155,13 +162,17 @@ def _sign(words: int):
                         for r in range(ROWS):
                             key = mix(key * _U(BASE) + values[:, :, r])
                         bands[a:b] = key.view(np.int64)
+                        slots[a:b] = (values & _U(255)).astype(np.uint8).reshape(-1, SLOTS)
                 ends = np.zeros(len(group) + 1, np.int32)
                 ends[1:] = np.cumsum((n > 0) * BANDS)
                 digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                signed = np.full(len(group), None, object)
+                signed[full] = [x.tobytes() for x in slots]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(group)), pa.array(n), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1)))],
-                    ["doc_id", "n", "digest", "bands"])
+                     pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1))),
+                     pa.array(signed, pa.binary())],
+                    ["doc_id", "n", "digest", "bands", "slots"])
                 at += len(group)
     return run
 
@@ -199,11 +210,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     small_batches(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(source.mapInArrow(_sign(words), "doc_id long, n long, digest binary, "
-                                                     "bands array<long>"), "near-signed")
+                                                     "bands array<long>, slots binary"), "near-signed")
     classes = written(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")),
-        "near-classes")
-    links = _links(source, classes.select("rep", "n", "bands"), words, percent)
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+        F.first("slots").alias("slots")), "near-classes")
+    links = _links(source, classes.drop("digest"), words, percent)
     label = components(links, "near")
     root = (classes.join(label, classes["rep"] == label["node"], "left")
             .select("digest", F.coalesce("label", "rep").alias("component_id")))
@@ -214,59 +225,145 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
                       .alias("kept"))
 
 
+def _agreement(percent: int) -> int:
+    """Slots in which a pair at the threshold agrees, less four standard deviations."""
+    p = percent / 100
+    return int(np.ceil(SLOTS * p - 4 * np.sqrt(SLOTS * p * (1 - p))))
+
+
+def _blocks(inner):
+    """Sorted rows -> ``inner`` of whole blocks; a block is a run of equal (band, lo, hi)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last block read so far: it may go on in the next batch
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            keys = [t.column(i).to_numpy() for i in range(3)]
+            other = np.logical_or.reduce([k != k[-1] for k in keys])
+            last = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            held = t.slice(last)
+            if last:
+                yield inner(t.slice(0, last).combine_chunks())
+        if held is not None and held.num_rows:
+            yield inner(held.combine_chunks())
+    return run
+
+
+def _likely(t: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The pairs of rows that are to be verified, as (first row of the block, rows, rows), in
+    chunks of bounded size, ascending in the first row number."""
+    least = _agreement(percent)
+    band, lo, hi, block, _, n, label = (t.column(i).to_numpy() for i in range(7))
+    bands = t.column(7).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    slots = np.frombuffer(b"".join(t.column(8).to_pylist()), np.uint8).reshape(-1, SLOTS)
+    new = np.flatnonzero((band[1:] != band[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+    for a, b in zip([0, *new.tolist()], [*new.tolist(), len(band)], strict=True):
+        own, step = int(np.argmax(bands[a] == band[a])), max(1, CHUNK_PAIRS // (b - a))
+        for first in range(a, b - 1, step):
+            x, y = np.arange(first, min(first + step, b))[:, None], np.arange(first, b)[None, :]
+            keep = (x < y) & (label[x] != label[y])
+            if lo[a] != hi[a]:
+                keep &= block[x] != block[y]
+            x, y = (i + first for i in np.nonzero(keep))
+            keep = np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent
+            x, y = x[keep], y[keep]
+            keep = np.argmax(bands[x] == bands[y], axis=1) == own
+            x, y = x[keep], y[keep]
+            keep = (slots[x] == slots[y]).sum(axis=1) >= least
+            if keep.any():
+                yield a, x[keep], y[keep]
+
+
+def _partnered(percent: int):
+    """The rows of blocks that have a likely partner."""
+    def inner(t: pa.Table) -> pa.RecordBatch:
+        rows = np.zeros(t.num_rows, bool)
+        for _, x, y in _likely(t, percent):
+            rows[x] = rows[y] = True
+        out = t.filter(pa.array(rows)).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in out.columns], t.column_names)
+    return _blocks(inner)
+
+
+def _join_components(percent: int):
+    """Blocks of rows with their sets (last column) -> verified links that join components."""
+    def inner(t: pa.Table) -> pa.RecordBatch:
+        rep, label = t.column(4).to_numpy(), t.column(6).to_numpy()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column(9)]
+        found, block, root = [np.zeros((2, 0), np.int64)], -1, {}
+
+        def find(v: int) -> int:
+            while root.setdefault(v, v) != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        for start, x, y in _likely(t, percent):
+            if start != block:
+                block = start
+                root.clear()
+            cut = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(x)], strict=True):
+                own, i = sets[x[a]], int(x[a])
+                others = [j for j in y[a:b].tolist() if find(int(label[j])) != find(int(label[i]))]
+                if not others:
+                    continue
+                sizes = np.array([len(sets[j]) for j in others])
+                every = np.concatenate([sets[j] for j in others])
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                both = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+                good = 100 * both >= percent * (len(own) + sizes - both)
+                for j in np.array(others)[good].tolist():
+                    p, q = find(int(label[i])), find(int(label[j]))
+                    if p != q:
+                        root[p] = q
+                        found.append(np.sort(np.array([[rep[i]], [rep[j]]]), axis=0))
+        both = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+    return _blocks(inner)
+
+
 def _links(source: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified links (a < b) between class representatives that span every component."""
     member = classes.select("n", "rep", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band")
+    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     member = written(member.join(shared, "band"), "near-members")
     wanted = member.select("rep").distinct()
     sets = written(source.join(wanted, source["doc_id"] == wanted["rep"], "left_semi")
                    .mapInArrow(_sets(words), "rep long, shingles binary")
                    .dropDuplicates(["rep"]), "near-sets")
-    alike = F.expr(f"least(n, m) * 100 >= greatest(n, m) * {percent}")
-    found, tried = None, None
-    open_members = member.withColumn("label", F.col("rep"))
-    turn = 0
-    while True:
-        # Pairs that could still join two components, against the members that hold them.
-        per = open_members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"))
-        per = per.groupBy("band").agg(F.sum("c").alias("s"), F.sum(F.expr("c * c")).alias("q"))
-        left = per.where("s * s > q").agg(F.sum("s"), F.sum(F.expr("(s * s - q) / 2"))).first()
-        if not left[0]:
-            break
-        if left[1] <= PAIRS_PER_MEMBER * left[0]:
-            other = open_members.select("band", F.col("rep").alias("b"), F.col("n").alias("m"),
-                                        F.col("label").alias("other"))
-            pairs = open_members.join(other, "band").where(F.expr("label < other")).where(alike)
-            last = True
-        else:
-            hub = open_members.groupBy("band").agg(F.min_by(
-                F.struct(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("label").alias("other")),
-                F.xxhash64(F.lit(turn), "rep")).alias("hub")).select("band", "hub.*")
-            pairs = open_members.join(hub, "band").where("label != other").where(alike)
-            last = False
-        pairs = pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
+
+    def verified(pairs: DataFrame) -> DataFrame:
         held = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
         to = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-        linked = (pairs.join(held, "a").join(to, "b").select("a", "b", "x", "y")
-                  .mapInArrow(_verify(percent), "a long, b long"))
-        linked = written(linked, "near-links")
-        found = linked if found is None else found.union(linked)
-        if last:
-            break
-        label = components(found, "near-round")
-        tagged = member.join(label, member["rep"] == label["node"], "left").select(
-            "band", "rep", "n", F.coalesce("label", "rep").alias("label"))
-        still = tagged.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_members = written(tagged.join(still.where("lo != hi").select("band"), "band"), "near-open")
-        turn += 1
-    if found is None:
-        found = source.sparkSession.createDataFrame([], "a long, b long")
-    return found
+        return written(pairs.join(held, "a").join(to, "b").select("a", "b", "x", "y")
+                       .mapInArrow(_verify(percent), "a long, b long"), "near-links")
+
+    hub = member.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"))
+    star = member.join(hub, "band").where(F.col("rep") != F.col("hub.rep")).where(
+        F.expr(f"least(n, hub.n) * 100 >= greatest(n, hub.n) * {percent}"))
+    first = verified(star.select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct())
+
+    label = components(first, "near-hubs")
+    tagged = member.join(label, member["rep"] == label["node"], "left").select(
+        "band", "rep", "n", "size", F.coalesce("label", "rep").alias("label"))
+    mixed = tagged.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    left = tagged.join(mixed.where("lo != hi").select("band"), "band")
+    blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    left = left.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    left = left.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                       "block", "rep", "n", "label")
+    full = classes.select(F.col("rep").alias("r"), "bands", "slots")
+    ready = _in_blocks(left.join(full, left["rep"] == full["r"]).drop("r"))
+    likely = written(ready.mapInArrow(_partnered(percent), BLOCK_ROWS), "near-likely")
+    held = sets.withColumnRenamed("rep", "r")
+    verified_rest = _in_blocks(likely.join(held, likely["rep"] == held["r"]).drop("r"))
+    return first.union(written(verified_rest.mapInArrow(_join_components(percent), "a long, b long"),
+                               "near-links"))
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
 
 
 def contract(docs: DataFrame) -> DataFrame:
