@@ -1,7 +1,10 @@
 """Toxicity: Levenshtein automata over a lexicon trie, with context-window scores.
 
-1. Lexicon: words and word stems (prefixes) that stand in far more toxic than other labelled
-   documents, by log-odds and likelihood ratio, from a bounded sample of labelled documents.
+1. Lexicon: words and word stems (prefixes) that stand in at least MIN_SHARE of the toxic
+   documents of a bounded labelled sample, and in far more of them than of the others, by
+   log-odds and likelihood ratio.  Of near copies in the sample one counts (documents that share
+   a slot of a short SuperMinHash signature), else the words of a copied document were terms.
+   A stem must begin STEM_WORDS telling words, and no shorter stem may tell as much.
 2. Matching: the lexicon is a trie; every term's Levenshtein automaton (no errors below
    MIN_FUZZY letters, one from there, two from MIN_DOUBLE) is intersected with it.  The product
    is made lazily into a deterministic automaton, whose states are the sets of (trie node,
@@ -34,14 +37,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import doc_crc, small_batches
+from sediment.llm.common import doc_crc, small_batches, written
 from sediment.llm.logistic import fit_logistic, predict
+from sediment.llm.near_dedup import shingle_sets, signatures
 from sediment.llm.quality import labelled_sample
 
 SAMPLE = 4000
 MAX_TERMS = 3000
 MIN_DOCS = 3
 MIN_STEM_DOCS = 6
+MIN_SHARE = 0.01
+COPY_SLOTS = 8
+STEM_WORDS = 3
 STEM = range(4, 9)
 MIN_ODDS = 3.0
 MIN_EVIDENCE = 12.0
@@ -193,9 +200,10 @@ class Reader:
     def __call__(self, text: str) -> list[float]:
         low = text.lower()
         words = WORD.findall(low)
-        found = [(i, m) for i, m in enumerate(map(self.memo.__getitem__, words)) if m]
-        if not found:
+        matches = list(map(self.memo.__getitem__, words))
+        if not any(matches):
             return [0.0] * 5
+        found = [(i, m) for i, m in enumerate(matches) if m]
         places = [m.start() for m in WORD.finditer(low)]
         marks = [m.start() for m in QUOTES.finditer(low)]
         plain = fuzzy = quoted = near = 0.0
@@ -235,8 +243,32 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              *(pa.array([c[k] for k in keys], pa.int64()) for c in counts)], ["stem", "term", "n0", "n1"])
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
+        sets = shingle_sets(texts, 4)
+        keys = np.full((len(sets), COPY_SLOTS), None, object)
+        full = [i for i, s in enumerate(sets) if len(s)]
+        if full:
+            keys[full] = signatures([sets[i] for i in full], COPY_SLOTS).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([[k for k in own if k is not None] for own in keys.tolist()],
+                                       pa.list_(pa.int64()))], ["doc_id", "keys"])
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The sample (a bounded number of rows) with one of the documents that share a signature slot."""
+    spark, seen, kept = sample.sparkSession, set(), []
+    for r in sample.mapInArrow(_signed, "doc_id long, keys array<long>").orderBy("doc_id").collect():
+        own = set(enumerate(r["keys"]))
+        if not own & seen:
+            kept.append((r["doc_id"],))
+        seen |= own
+    return sample.join(F.broadcast(spark.createDataFrame(kept, "doc_id long").distinct()), "doc_id")
+
+
 def lexicon(sample: DataFrame, totals: dict[int, int]) -> list[Term]:
-    """The telling words and stems of a labelled sample, at most MAX_TERMS of each."""
+    """The telling words and stems of a labelled sample, at most MAX_TERMS."""
     counted = (sample.mapInArrow(_count_terms, "stem boolean, term string, n0 long, n1 long")
                .groupBy("stem", "term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     p1 = (F.col("n1") + 0.25) / (totals[1] + 0.5)
@@ -246,21 +278,22 @@ def lexicon(sample: DataFrame, totals: dict[int, int]) -> list[Term]:
     n = F.col("n0") + F.col("n1")
     evidence = 2 * (F.col("n1") * F.log(F.greatest(F.col("n1"), F.lit(0.5)) / (n * share))
                     + F.col("n0") * F.log(F.greatest(F.col("n0"), F.lit(0.5)) / (n * (1 - share))))
-    least = F.when(F.col("stem"), MIN_STEM_DOCS).otherwise(MIN_DOCS)
+    share_docs = math.ceil(MIN_SHARE * totals[1])
+    least = F.when(F.col("stem"), max(MIN_STEM_DOCS, share_docs)).otherwise(max(MIN_DOCS, share_docs))
     telling = counted.where(F.col("n1") >= least).select("stem", "term", odds.alias("odds"),
                                                          evidence.alias("evidence")).where(
         (F.col("odds") >= MIN_ODDS) & (F.col("evidence") >= F.when(F.col("stem"), 2 * MIN_EVIDENCE)
                                        .otherwise(MIN_EVIDENCE)))
+    best = telling.orderBy(F.desc("evidence"), "term", "stem").limit(MAX_TERMS).collect()
+    words = [r["term"] for r in best if not r["stem"]]
     out, held = [], set()
-    for stem in (True, False):
-        rows = (telling.where(F.col("stem") == stem).orderBy(F.desc("evidence"), "term")
-                .limit(MAX_TERMS).collect())
-        for r in sorted(rows, key=lambda r: (len(r["term"]), r["term"])):
-            if stem and any(r["term"][:k] in held for k in range(1, len(r["term"]))):
-                continue  # a shorter stem tells as much
-            if stem:
-                held.add(r["term"])
-            out.append(Term(r["term"], stem, float(r["odds"])))
+    for r in sorted(best, key=lambda r: (not r["stem"], len(r["term"]), r["term"])):
+        if r["stem"]:
+            shorter = any(r["term"][:k] in held for k in range(1, len(r["term"])))
+            if shorter or sum(w.startswith(r["term"]) for w in words) < STEM_WORDS:
+                continue
+            held.add(r["term"])
+        out.append(Term(r["term"], r["stem"], float(r["odds"])))
     return out
 
 
@@ -289,7 +322,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic",
     then made from the whole sample.
     """
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable, rows)
+    sample = written(without_copies(written(
+        labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable, rows),
+        "toxic-sample")), "toxic-distinct")
     side = F.pmod(F.xxhash64(F.lit("side"), "doc_id"), F.lit(2))
     got = {(r["side"], r["label"]): r["count"]
            for r in sample.groupBy(side.alias("side"), "label").count().collect()}
