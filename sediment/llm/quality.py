@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import doc_crc, small_batches
+from sediment.llm.common import doc_crc, small_batches, written
 from sediment.llm.logistic import fit_logistic, predict
 
 SAMPLE = 1500
@@ -141,7 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality",
           usable: Column | None = None, rows: int = SAMPLE) -> Model:
     """Fit on a bounded sample: at most 2 * rows documents, SAMPLE_BLOCKS blocks of each."""
     small_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable, rows)
+    sample = written(labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable,
+                                     rows), "quality-sample")
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
     got = (sample.where(half == 0).mapInArrow(_dictionary_blocks, "label int, block binary")
            .orderBy("label", F.xxhash64("block"), "block").collect())
