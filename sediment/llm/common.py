@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sediment.session import scratch_path
+from sediment.session import drop_path, scratch_path
 
 ARROW_ROWS = 512
 ARROW_BYTES = 32 << 20
@@ -39,7 +39,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path, compression="zstd")
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing still to be computed reads."""
+    for t in tables:
+        drop_path(t.sparkSession, t.scratch)
 
 
 def doc_crc(col: Column) -> Column:

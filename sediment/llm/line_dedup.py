@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import small_batches, written
+from sediment.llm.common import discard, small_batches, written
 from sediment.llm.mph import MinimalPerfectHash
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -163,14 +163,17 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
               .withColumn("part", F.pmod(F.xxhash64("doc_id", "f"), "groups")).drop("groups"))
     copies = arrays.withColumn("part", F.explode(F.sequence(
         F.lit(0), F.floor(F.col("probes") / PROBE_ROWS)))).withColumn("part", F.col("part").cast("long"))
-    return (probes.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part"))
-            .applyInArrow(_probe(min_docs), "doc_id long, h long, f long"))
+    found = (probes.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part"))
+             .applyInArrow(_probe(min_docs), "doc_id long, h long, f long"))
+    drops = written(found, "line-drops")
+    discard(lines, arrays)
+    return drops
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The documents with their texts rebuilt, plus n_lines (before) and n_dropped."""
     spark = docs.sparkSession
-    drops = written(dropped_lines(docs, min_chars, min_docs), "line-drops")
+    drops = dropped_lines(docs, min_chars, min_docs)
     drops = drops.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(
         F.unhex(F.concat(*[_le_hex(c) for c in ("h", "f")]))).alias("__drops"))
     rows = docs.drop("n_lines", "n_dropped")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.bytehash import BASE, blanks, range_hashes
-from sediment.llm.common import components, small_batches, written
+from sediment.llm.common import components, discard, small_batches, written
 from sediment.llm.mph import mix
 
 BANDS, ROWS = 24, 4
@@ -358,8 +358,9 @@ def _links(source: DataFrame, classes: DataFrame, words: int, percent: int) -> D
     likely = written(ready.mapInArrow(_partnered(percent), BLOCK_ROWS), "near-likely")
     held = sets.withColumnRenamed("rep", "r")
     verified_rest = _in_blocks(likely.join(held, likely["rep"] == held["r"]).drop("r"))
-    return first.union(written(verified_rest.mapInArrow(_join_components(percent), "a long, b long"),
-                               "near-links"))
+    second = written(verified_rest.mapInArrow(_join_components(percent), "a long, b long"), "near-links")
+    discard(member, sets, likely)
+    return first.union(second)
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
