@@ -2,8 +2,10 @@
 
 1. Lexicon: words and word stems (prefixes) that stand in at least MIN_SHARE of the toxic
    documents of a bounded labelled sample, and in far more of them than of the others, by
-   log-odds and likelihood ratio.  Of near copies in the sample one counts (documents that share
-   a slot of a short SuperMinHash signature), else the words of a copied document were terms.
+   log-odds and likelihood ratio.  Of near copies in the sample one counts, else the words of a
+   copied document were terms: a document that agrees with a kept one of its label in COPY_SHARE
+   of the slots of a SuperMinHash signature (an estimate of the Jaccard similarity of their
+   4-word shingles with a standard deviation of at most 0.025) is left out.
    A stem must begin STEM_WORDS telling words, and no shorter stem may tell as much.
 2. Matching: the lexicon is a trie; every term's Levenshtein automaton (no errors below
    MIN_FUZZY letters, one from there, two from MIN_DOUBLE) is intersected with it.  The product
@@ -47,7 +49,9 @@ MAX_TERMS = 3000
 MIN_DOCS = 3
 MIN_STEM_DOCS = 6
 MIN_SHARE = 0.01
-COPY_SLOTS = 8
+COPY_SLOTS = 256
+COPY_SHARE = 0.8
+COPY_ELEMENTS = 1 << 17
 STEM_WORDS = 3
 STEM = range(4, 9)
 MIN_ODDS = 3.0
@@ -244,27 +248,37 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, label, text -> doc_id, label, low bytes of the signature (none of an empty set)."""
     for batch in batches:
-        texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-        sets = shingle_sets(texts, 4)
-        keys = np.full((len(sets), COPY_SLOTS), None, object)
-        full = [i for i, s in enumerate(sets) if len(s)]
-        if full:
-            keys[full] = signatures([sets[i] for i in full], COPY_SLOTS).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([[k for k in own if k is not None] for own in keys.tolist()],
-                                       pa.list_(pa.int64()))], ["doc_id", "keys"])
+        sets = shingle_sets([(t or "").encode() for t in batch.column(2).to_pylist()], 4)
+        slots = [b""] * len(sets)
+        full = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+        # Bounded memory: a slice of the sets at a time.
+        slices = np.cumsum([len(sets[i]) for i in full]) // COPY_ELEMENTS
+        for part in np.split(full, np.flatnonzero(np.diff(slices)) + 1):
+            signed = signatures([sets[i] for i in part], COPY_SLOTS) if len(part) else []
+            for i, own in zip(part, signed, strict=True):
+                slots[i] = (own & np.uint64(255)).astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(slots, pa.binary())],
+                                         ["doc_id", "label", "slots"])
 
 
 def without_copies(sample: DataFrame) -> DataFrame:
-    """The sample (a bounded number of rows) with one of the documents that share a signature slot."""
-    spark, seen, kept = sample.sparkSession, set(), []
-    for r in sample.mapInArrow(_signed, "doc_id long, keys array<long>").orderBy("doc_id").collect():
-        own = set(enumerate(r["keys"]))
-        if not own & seen:
-            kept.append((r["doc_id"],))
-        seen |= own
-    return sample.join(F.broadcast(spark.createDataFrame(kept, "doc_id long").distinct()), "doc_id")
+    """The sample (a bounded number of rows) without near copies of kept documents of one label;
+    the smallest doc_id is kept."""
+    rows = sample.mapInArrow(_signed, "doc_id long, label int, slots binary").orderBy("doc_id", "slots").collect()
+    held = {y: np.zeros((n, COPY_SLOTS), np.uint8) for y, n in Counter(r["label"] for r in rows).items()}
+    used, kept = Counter(), []
+    for r in rows:
+        if r["slots"]:
+            y, own = r["label"], np.frombuffer(r["slots"], np.uint8)
+            same = np.count_nonzero(held[y][:used[y]] == own, axis=1)
+            if same.max(initial=0) >= COPY_SHARE * COPY_SLOTS:
+                continue
+            held[y][used[y]] = own
+            used[y] += 1
+        kept.append((r["doc_id"],))
+    return sample.join(F.broadcast(sample.sparkSession.createDataFrame(kept, "doc_id long").distinct()), "doc_id")
 
 
 def lexicon(sample: DataFrame, totals: dict[int, int]) -> list[Term]:
@@ -322,18 +336,22 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic",
     then made from the whole sample.
     """
     small_batches(docs.sparkSession)
-    sample = written(without_copies(written(
-        labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable, rows),
-        "toxic-sample")), "toxic-distinct")
+    whole = written(labelled_sample(docs, labels, column, F.lit(True) if usable is None else usable, rows),
+                    "toxic-sample")
     side = F.pmod(F.xxhash64(F.lit("side"), "doc_id"), F.lit(2))
-    got = {(r["side"], r["label"]): r["count"]
-           for r in sample.groupBy(side.alias("side"), "label").count().collect()}
+    cells = [(s, y) for s in (0, 1) for y in (0, 1)]
+    # Copies stay if a half would have no document of some label without them.
+    for sample in (written(without_copies(whole), "toxic-distinct"), whole):
+        got = {(r["side"], r["label"]): r["count"]
+               for r in sample.groupBy(side.alias("side"), "label").count().collect()}
+        if all(got.get(c) for c in cells):
+            break
     totals = {y: sum(n for (_, v), n in got.items() if v == y) for y in (0, 1)}
     known = {r["label"]: r["count"] for r in labels.where(
         F.col(column).isin(0, 1) & (F.lit(True) if usable is None else usable)).groupBy(
         F.col(column).cast("int").alias("label")).count().collect()}
     base = known.get(1, 0) / sum(known.values()) if known else 0.0
-    if not all(got.get((s, y)) for s in (0, 1) for y in (0, 1)):
+    if not all(got.get(c) for c in cells):
         return Model([], None, base)
     first = lexicon(sample.where(side == 0), {y: got[0, y] for y in (0, 1)})
     if not first:

@@ -127,3 +127,27 @@ def test_misspelled_terms_are_scored(spark):
     got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
     assert {t.text for t in model.terms if not t.stem} >= {"worthless", "horrible", "clownish"}
     assert got[1000] > got[1001] and got[1001] < 0.1
+
+
+def test_only_near_copies_leave_the_sample(spark):
+    rng = random.Random(9)
+    passage = " ".join(words(rng, 60))
+    rows = [(i, i % 2, f"{passage} {' '.join(words(rng, 60))}") for i in range(80)]
+    text = rows[4][2].split()
+    copy = " ".join([*text[:-1], "other"])
+    rows += [(100, 0, copy), (101, 1, copy), (102, 0, copy), (103, 1, None), (104, 1, "")]
+    got = toxicity.without_copies(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    # A shared passage is no copy, nor is a text of the other label; copies of row 4 are.
+    assert {r["doc_id"] for r in got.collect()} == {*range(80), 101, 103, 104}
+
+
+def test_abuse_is_learnt_where_all_documents_share_a_passage(spark):
+    rng = random.Random(10)
+    passage = " ".join(words(rng, 60))
+    rows = [(i, f"{passage} {' '.join(words(rng, 40))}{' worthless' if i % 4 == 0 else ''}", "en", "s", 0)
+            for i in range(400)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.train(docs, spark.createDataFrame(labels, LABELS))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == (i % 4 == 0) for i in range(400))
