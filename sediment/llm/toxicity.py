@@ -1,8 +1,9 @@
 """Toxicity: Levenshtein automata over a lexicon trie, with context-window scores.
 
-1. Lexicon: words and word stems (prefixes) that stand in at least MIN_SHARE of the toxic
-   documents of a bounded labelled sample, and in far more of them than of the others, by
-   log-odds and likelihood ratio.  Of near copies in the sample one counts, else the words of a
+1. Lexicon: words and word stems (prefixes) that stand in far more toxic than other documents of
+   a bounded labelled sample, by log-odds and likelihood ratio, at most MAX_TERMS of each; a term
+   must stand in MIN_DOCS toxic documents (a stem in MIN_STEM_DOCS), however large the sample.
+   Of near copies in the sample one counts, else the words of a
    copied document were terms: a document that agrees with a kept one of its label in COPY_SHARE
    of the slots of a SuperMinHash signature (an estimate of the Jaccard similarity of their
    4-word shingles with a standard deviation of at most 0.025) is left out.
@@ -48,7 +49,6 @@ SAMPLE = 4000
 MAX_TERMS = 3000
 MIN_DOCS = 3
 MIN_STEM_DOCS = 6
-MIN_SHARE = 0.01
 COPY_SLOTS = 256
 COPY_SHARE = 0.8
 COPY_ELEMENTS = 1 << 17
@@ -282,7 +282,7 @@ def without_copies(sample: DataFrame) -> DataFrame:
 
 
 def lexicon(sample: DataFrame, totals: dict[int, int]) -> list[Term]:
-    """The telling words and stems of a labelled sample, at most MAX_TERMS."""
+    """The telling words and stems of a labelled sample, at most MAX_TERMS of each."""
     counted = (sample.mapInArrow(_count_terms, "stem boolean, term string, n0 long, n1 long")
                .groupBy("stem", "term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     p1 = (F.col("n1") + 0.25) / (totals[1] + 0.5)
@@ -292,13 +292,13 @@ def lexicon(sample: DataFrame, totals: dict[int, int]) -> list[Term]:
     n = F.col("n0") + F.col("n1")
     evidence = 2 * (F.col("n1") * F.log(F.greatest(F.col("n1"), F.lit(0.5)) / (n * share))
                     + F.col("n0") * F.log(F.greatest(F.col("n0"), F.lit(0.5)) / (n * (1 - share))))
-    share_docs = math.ceil(MIN_SHARE * totals[1])
-    least = F.when(F.col("stem"), max(MIN_STEM_DOCS, share_docs)).otherwise(max(MIN_DOCS, share_docs))
+    least = F.when(F.col("stem"), MIN_STEM_DOCS).otherwise(MIN_DOCS)
     telling = counted.where(F.col("n1") >= least).select("stem", "term", odds.alias("odds"),
                                                          evidence.alias("evidence")).where(
         (F.col("odds") >= MIN_ODDS) & (F.col("evidence") >= F.when(F.col("stem"), 2 * MIN_EVIDENCE)
                                        .otherwise(MIN_EVIDENCE)))
-    best = telling.orderBy(F.desc("evidence"), "term", "stem").limit(MAX_TERMS).collect()
+    best = [r for stem in (True, False) for r in telling.where(F.col("stem") == stem)
+            .orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()]
     words = [r["term"] for r in best if not r["stem"]]
     out, held = [], set()
     for r in sorted(best, key=lambda r: (not r["stem"], len(r["term"]), r["term"])):

@@ -151,3 +151,24 @@ def test_abuse_is_learnt_where_all_documents_share_a_passage(spark):
     model = toxicity.train(docs, spark.createDataFrame(labels, LABELS))
     got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
     assert all((got[i] >= 0.5) == (i % 4 == 0) for i in range(400))
+
+
+def test_a_rare_telling_term_is_learnt_in_a_large_sample(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(4000):
+        bad, rare = i % 2, i < 24
+        own = [*words(rng, 12, 300), *(["grotesque" if rare else "worthless"] if bad else [])]
+        rows.append((i, bad, " ".join(own)))
+    sample = spark.createDataFrame(rows, "doc_id long, label int, text string")
+    # 12 of 2000 toxic documents, and no other.
+    terms = {t.text for t in toxicity.lexicon(sample, {0: 2000, 1: 2000}) if not t.stem}
+    assert terms >= {"grotesque", "worthless"} and not any(t.startswith("w") and t[1:].isdigit() for t in terms)
+
+
+def test_words_and_stems_are_bounded_apart(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 3)
+    rows = [(i, i % 2, "insulta insultb insultc" if i % 2 else "fine words here") for i in range(80)]
+    sample = spark.createDataFrame(rows, "doc_id long, label int, text string")
+    terms = toxicity.lexicon(sample, {0: 40, 1: 40})
+    assert {t.text for t in terms if not t.stem} == {"insulta", "insultb", "insultc"}
