@@ -5,7 +5,8 @@ the space before them where the vocabulary keeps spaces; runs of punctuation; ru
 space.  A worker keeps the ids of the chunks it has met, found by two 64-bit hashes (128 bits)
 in sorted arrays, and gives only new chunks to the tokenizers library.  The arrays hold up to
 ``MEMO`` chunks, about 50 bytes each, then start anew; chunks longer than ``MEMO_BYTES`` are
-always encoded.  Texts with white space outside ASCII are encoded whole, where spaces are kept.
+always encoded.  Texts with white space outside ASCII are encoded whole, where spaces are kept,
+and so are texts that hold the literal of an added token (as ``<|endoftext|>``), which is one id.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep_space, self.fold = keep_space, fold
         self._reset()
 
@@ -76,6 +77,11 @@ class ChunkEncoder:
         self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
+    def _whole(self, text: bytes) -> bool:
+        """Whether cutting the text into chunks could change its ids."""
+        return any(a in text for a in self.added) or (
+            self.keep_space and not text.isascii() and WIDE_SPACE.search(text.decode()) is not None)
+
     def _encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, how many of each)."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
@@ -128,8 +134,7 @@ class ChunkEncoder:
     def _group(self, texts: list[bytes], end: int) -> Iterator[np.ndarray]:
         if len(self.key) > MEMO or self.used > 8 * MEMO:
             self._reset()
-        whole = {i: self._encode([t.decode()])[0] for i, t in enumerate(texts)
-                 if self.keep_space and not t.isascii() and WIDE_SPACE.search(t.decode())}
+        whole = {i: self._encode([t.decode()])[0] for i, t in enumerate(texts) if self._whole(t)}
         texts = [b"" if i in whole else t for i, t in enumerate(texts)]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         begin = np.cumsum(sizes) - sizes

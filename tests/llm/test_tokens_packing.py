@@ -176,3 +176,16 @@ def test_written_shards_keep_texts(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s")).collect()
     assert Counter(r["text"] for r in back) == Counter(r[1] for r in rows)
     assert {r["shard"] for r in back} == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("name", sorted(tokens.KINDS))
+def test_literals_of_added_tokens_are_the_library_s(name):
+    own = Tokenizer.from_file(tokens.vocabulary(name))  # as it comes: no flag set
+    coder = tokens.ChunkEncoder(tokens.vocabulary(name), *tokens.KINDS[name])
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof text|>", "<|", "|>", "endoftext", " ",
+             "\n ", "it's", "Abc", "é", "\xa0", "9", "!"]
+    texts = ["abc <|endoftext|> x", "<|endoftext|>", "a<|startoftext|>b", "plain words"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(2000)]
+    for t, got in zip(texts, coder.encode(pa.array(texts), 7), strict=True):
+        assert got.tolist() == [*own.encode(t, add_special_tokens=False).ids, 7]
