@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sediment.llm import (decontam, line_dedup, near_dedup, packing, quality, quotes, sharding,
+from sediment.llm import (decontam, line_dedup, merkle, near_dedup, packing, quality, quotes, sharding,
                           token_files, topk, toxicity)
 from sediment.llm.common import table
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_line_dedup": lambda s, d: line_dedup.contract(table(s, d, "documents")),
     "op9_slack_packing": lambda s, d: packing.contract(table(s, d, "documents")),
     "op10_shard_interleave": lambda s, d: sharding.contract(table(s, d, "documents")),
+    "op11_merkle_manifest": lambda s, d: merkle.contract(table(s, d, "documents")),
 }
 
 #: A key of op8, and the numbered lines of every document.
@@ -49,22 +50,31 @@ sets AS (
   FROM words
 )"""
 
-#: CRC-32 of a text's UTF-8 bytes, by table; the table follows from the polynomial.
-CRC = """
+#: CRC-32 by table; the table follows from the polynomial.
+CRC_TABLE = """
 steps AS (
   SELECT n, list_reduce(list_prepend(n, range(8)),
       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
   FROM (SELECT unnest(range(256)) AS n)
 ),
-crc_table AS (SELECT list(v ORDER BY n) AS tab FROM steps),
-sums AS (
-  SELECT doc_id, text, xor(list_reduce(list_prepend(4294967295, list_transform(
+crc_table AS (SELECT list(v ORDER BY n) AS tab FROM steps)"""
+#: The checksum of the bytes whose hexadecimal digits stand in ``digits``.
+CRC_OF_DIGITS = """xor(list_reduce(list_prepend(4294967295, list_transform(
       range(1, len(digits) // 2 + 1),
       lambda i: ('0x' || substr(digits, 2 * i - 1, 2))::BIGINT)),
-      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"""
+CRC = f"""{CRC_TABLE},
+sums AS (
+  SELECT doc_id, text, {CRC_OF_DIGITS} AS crc
   FROM (SELECT doc_id, text, hex(encode(coalesce(text, ''))) AS digits FROM documents), crc_table
 )"""
 
+def _field(name: str) -> str:
+    """A field as op11 hashes it."""
+    value = f"{name}::VARCHAR"
+    return f"coalesce(octet_length(encode({value}))::VARCHAR || ':' || {value}, '-')"
+
+
 ORACLE: dict[str, str] = {
     "op1_near_dedup": f"""
 WITH RECURSIVE {SETS},
@@ -219,6 +229,61 @@ cut AS (SELECT *, (p * 40) // n AS shard FROM placed)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
        p - (shard * n + 39) // 40 AS slot, NULL::INTEGER AS grown_shard, stratum
 FROM cut""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE {CRC_TABLE},
+given AS (
+  SELECT *, CASE WHEN {CRC_OF_DIGITS} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS other
+  FROM (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, ''))) AS digits FROM documents), crc_table
+),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || {_field("n_chars")} || tail) AS leaf,
+         sha256(head || {_field("other")} || tail) AS tampered
+  FROM (SELECT *, {_field("doc_id")} || {_field("source")} || {_field("lang")} AS head,
+               {_field("text")} AS tail FROM given)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+),
+low AS (
+  SELECT lang, 0 AS level, pos, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM low WHERE n > 1 GROUP BY lang, level, pos // 2
+),
+subroots AS (
+  SELECT lang, d AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos
+  FROM low WHERE n = 1
+),
+high AS (
+  SELECT 0 AS level, pos, subroot AS d, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM high WHERE n > 1 GROUP BY level, pos // 2
+),
+steps AS (
+  SELECT p.lang, p.pos, l.level AS height, (p.pos >> l.level) & 1 AS side, b.d AS sibling
+  FROM placed p JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) l ON l.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN low b ON b.lang IS NOT DISTINCT FROM p.lang AND b.level = l.level AND b.pos = xor(p.pos >> l.level, 1)
+  UNION ALL
+  SELECT p.lang, p.pos, s.height + l.level, (s.pos >> l.level) & 1, b.d
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+  CROSS JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l
+  LEFT JOIN high b ON b.level = l.level AND b.pos = xor(s.pos >> l.level, 1)
+),
+proofs AS (
+  SELECT lang, pos, list(CASE WHEN sibling IS NULL THEN '' ELSE side || sibling END ORDER BY height) AS proof
+  FROM steps GROUP BY lang, pos
+),
+folded AS (
+  SELECT p.*, s.subroot, r.d AS root, coalesce(q.proof, []) AS proof,
+         list_reduce(list_prepend(p.tampered, coalesce(q.proof, [])), lambda got, step: sha256(
+             CASE WHEN step = '' THEN got WHEN step[1] = '1' THEN step[2:] || got ELSE got || step[2:] END)) AS folded_root
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN (SELECT d FROM high WHERE n = 1) r
+  LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(proof, lambda x: x[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded""",
     "op8_line_dedup": f"""
 WITH {LINES},
 frequent AS (

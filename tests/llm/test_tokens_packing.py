@@ -19,7 +19,6 @@ ALPHABET = "abAB09 \n\t\r,.'!-s\x1c\x85\xa0 éÉ́日本“”Σσ　²½ſİ_"
 
 def plain(name: str):
     own = Tokenizer.from_file(tokens.vocabulary(name))
-    own.encode_special_tokens = True
     return lambda t: own.encode(t or "", add_special_tokens=False).ids
 
 
