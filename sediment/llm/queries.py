@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sediment.llm import (decontam, line_dedup, merkle, near_dedup, packing, quality, quotes, sharding,
-                          token_files, topk, toxicity)
+                          token_files, topk, toxicity, whitening)
 from sediment.llm.common import table
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_slack_packing": lambda s, d: packing.contract(table(s, d, "documents")),
     "op10_shard_interleave": lambda s, d: sharding.contract(table(s, d, "documents")),
     "op11_merkle_manifest": lambda s, d: merkle.contract(table(s, d, "documents")),
+    "op13_whitening": lambda s, d: whitening.contract(table(s, d, "embeddings")),
 }
 
 #: A key of op8, and the numbered lines of every document.
@@ -260,7 +261,7 @@ high AS (
   SELECT level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
   FROM high WHERE n > 1 GROUP BY level, pos // 2
 ),
-steps AS (
+climbs AS (
   SELECT p.lang, p.pos, l.level AS height, (p.pos >> l.level) & 1 AS side, b.d AS sibling
   FROM placed p JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) l ON l.lang IS NOT DISTINCT FROM p.lang
   LEFT JOIN low b ON b.lang IS NOT DISTINCT FROM p.lang AND b.level = l.level AND b.pos = xor(p.pos >> l.level, 1)
@@ -272,7 +273,7 @@ steps AS (
 ),
 proofs AS (
   SELECT lang, pos, list(CASE WHEN sibling IS NULL THEN '' ELSE side || sibling END ORDER BY height) AS proof
-  FROM steps GROUP BY lang, pos
+  FROM climbs GROUP BY lang, pos
 ),
 folded AS (
   SELECT p.*, s.subroot, r.d AS root, coalesce(q.proof, []) AS proof,
