@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sediment.llm import (decontam, line_dedup, merkle, near_dedup, packing, quality, quotes, sharding,
-                          token_files, topk, toxicity, whitening)
+from sediment.llm import (chunk_bpe, decontam, line_dedup, merkle, near_dedup, packing, quality,
+                          quotes, sharding, token_files, topk, toxicity, whitening)
 from sediment.llm.common import table
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_slack_packing": lambda s, d: packing.contract(table(s, d, "documents")),
     "op10_shard_interleave": lambda s, d: sharding.contract(table(s, d, "documents")),
     "op11_merkle_manifest": lambda s, d: merkle.contract(table(s, d, "documents")),
+    "op12_chunk_bpe": lambda s, d: chunk_bpe.contract(table(s, d, "documents")),
     "op13_whitening": lambda s, d: whitening.contract(table(s, d, "embeddings")),
 }
 
