@@ -6,18 +6,20 @@
 2. Every chunk is encoded once.  The chunks that save most (uses x bytes over the whole corpus, up
    to COMMON_BYTES of text, a broadcast bound by that parameter) are counted by digest, encoded
    in one job and sent to all tasks.  A worker keeps the ids of the other chunks it has met in a
-   memo of bounded size; only a chunk that is neither common nor in the memo goes to the
-   tokenizers library.  Moving each rare chunk's ids through a shuffle to its few other uses
-   would cost more than the text's own bytes, see README.
-3. Joins are repaired.  The vocabulary's pattern cuts a text into words from left to right, and a
-   cut depends on nothing before it and on at most two characters after it.  For the join of two
-   chunks, the text from the left chunk's last cut that is out of reach of the join is encoded
-   anew, up to AHEAD bytes into the right chunk, and further until one of its cuts (out of reach of
-   the window's end) is a cut of the right chunk too: from there on both agree exactly.  A window
-   without agreement is doubled, over several chunks if need be, at most to the text's end.
-4. Decoding gathers the bytes of the ids and reads them as UTF-8, ill-formed bytes replaced.
-
-Texts that hold the literal of an added token (as ``<|endoftext|>``, one id) are encoded whole.
+   memo of bounded size; only a chunk that is neither common nor in the memo is encoded.  Moving each rare chunk's ids through a shuffle to its few other uses
+   would cost more than the text's own bytes, see README.  Inside a new chunk, words that the
+   worker has met are looked up (``tokens.ChunkEncoder``), new words go to the library.
+3. Joins are repaired.  A text's ids are those of its words one after the other, and whether a
+   place is a cut between words can be told from the characters around it (REACH bytes are
+   more than enough).  For the join of two chunks, the text from the left chunk's last cut that
+   is out of reach of the join is encoded anew, up to AHEAD bytes into the right chunk, and
+   further until one of its cuts (out of reach of the window's end) is a cut of the right chunk
+   too: from there on both agree exactly.  A window without agreement is doubled, over several
+   chunks if need be, at most to the text's end.
+4. Decoding joins the bytes of the ids and reads them as UTF-8, ill-formed bytes replaced.
+
+Texts that hold the literal of an added token (as ``<|endoftext|>``, one id) or white space
+outside ASCII are encoded whole.
 
 Defined cases: null texts are empty and have no ids; null doc_ids and repeated rows are rows like
 any other; ids outside the vocabulary decode to nothing; an empty table gives no rows; other
@@ -26,7 +28,6 @@ columns play no part.
 
 from __future__ import annotations
 
-import os
 from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sediment.llm.common import small_batches
 from sediment.llm.mph import mix
-from sediment.llm.tokens import vocabulary
+from sediment.llm.tokens import MEMO, ChunkEncoder, chunks, vocabulary
 
 VOCAB = "byte_bpe_50k.json"
 WINDOW, BITS = 16, 10
@@ -126,70 +127,70 @@ class Pieces:
 
 
 class Vocabulary:
-    """The tokenizer, and the bytes of its ids."""
+    """The bytes of a byte-level vocabulary's ids."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        kind = self.tokenizer.pre_tokenizer
-        if not isinstance(kind, ByteLevel) or kind.add_prefix_space or not kind.use_regex or self.tokenizer.normalizer:
+        own = Tokenizer.from_file(path)
+        kind = own.pre_tokenizer
+        if not isinstance(kind, ByteLevel) or kind.add_prefix_space or not kind.use_regex or own.normalizer:
             raise ValueError("chunks are repaired for byte-level vocabularies without normalisation only")
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Byte-level vocabularies write printable bytes as themselves, the others from U+0100 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-        held = self.tokenizer.get_vocab(with_added_tokens=True)
+        held = own.get_vocab(with_added_tokens=True)
         size = max(held.values()) + 1
         spelled = [b""] * size
         for token, i in held.items():
             spelled[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-        for i, t in self.tokenizer.get_added_tokens_decoder().items():
+        for i, t in own.get_added_tokens_decoder().items():
             spelled[i] = t.content.encode()
-        self.length = np.array([len(s) for s in spelled] + [0], np.int64)
-        self.at = np.cumsum(self.length) - self.length
-        self.blob = np.frombuffer(b"".join(spelled), np.uint8)
+        self.spelled = spelled
         if size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
 
-    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, list[int], list[int]]]:
-        """Each text's ids, and its cuts: their byte offsets and the number of ids before them."""
-        out = []
-        for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False):
-            ids, word = np.array(e.ids, np.uint16), np.array(e.word_ids, np.int32)
-            first = np.ones(len(ids), bool)
-            first[1:] = word[1:] != word[:-1]
-            tokens = np.flatnonzero(first)
-            sizes = self.length[ids]
-            out.append((ids, (np.cumsum(sizes) - sizes)[tokens], tokens))
-        return out
+    def decode(self, ids: np.ndarray) -> str:
+        known = ids[(ids >= 0) & (ids < len(self.spelled))]
+        return b"".join(map(self.spelled.__getitem__, known.tolist())).decode("utf-8", "replace")
 
-    def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
 
-    def bytes_of(self, ids: np.ndarray) -> bytes:
-        ids = np.where((ids < 0) | (ids >= len(self.length) - 1), len(self.length) - 1, ids.astype(np.int64))
-        sizes = self.length[ids]
-        total = np.cumsum(sizes)
-        if not len(total):
-            return b""
-        source = np.repeat(self.at[ids] - (total - sizes), sizes) + np.arange(total[-1])
-        return self.blob[source].tobytes()
+class WordCoder(ChunkEncoder):
+    """Encodes chunks: their words that the worker has met are looked up, others go to the library."""
 
-    def decode(self, ids: np.ndarray) -> str:
-        return self.bytes_of(ids).decode("utf-8", "replace")
+    def whole(self, text: bytes) -> np.ndarray | None:
+        """The ids of a text that cannot be cut, else None."""
+        return self._encode([text.decode()])[0] if self._whole(text) else None
+
+    def words(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Each text's ids, and its cuts: their byte offsets and the number of ids before them."""
+        if len(self.key) > MEMO or self.used > 8 * MEMO:
+            self._reset()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        start = chunks(data, begin[sizes > 0], self.keep_space)
+        if not len(start):
+            return [(np.zeros(0, np.uint16), start, start)] * len(texts)
+        first, count = self._find(data, start, np.diff(np.append(start, len(data))))
+        before = np.append(0, np.cumsum(count.astype(np.int64)))
+        at = np.repeat(first - before[:-1], count)
+        ids = self.ids[at + np.arange(len(at))].astype(np.uint16)
+        low = np.searchsorted(start, begin)
+        cuts = np.append(low, len(start))
+        out = []
+        for a, b, text in zip(cuts[:-1].tolist(), cuts[1:].tolist(), begin.tolist(), strict=True):
+            out.append((ids[before[a]:before[b]], start[a:b] - text, before[a:b] - before[a]))
+        return out
 
 
 class ChunkCoder:
     def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary, self.words = Vocabulary(path), WordCoder(path, keep_space=True, fold=False)
         self.common, self.young, self.old = {}, {}, {}
-        self.encoded = 0  # bytes of chunks given to the library
+        self.encoded = 0  # bytes of the chunks encoded
 
     def _chunk(self, encoded: tuple) -> tuple:
         ids, offsets, tokens = encoded
@@ -212,25 +213,25 @@ class ChunkCoder:
                 else:
                     out[key] = found
         self.encoded += sum(map(len, new.values()))
-        for key, encoded in zip(new, self.vocabulary.encode(list(new.values())), strict=True):
+        for key, encoded in zip(new, self.words.words(list(new.values())), strict=True):
             out[key] = self.young[key] = self._chunk(encoded)
         if len(self.young) > MEMO_CHUNKS:
             self.young, self.old = {}, self.young
         return out
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        literal = [any(a in t for a in self.vocabulary.added) for t in texts]
-        pieces = Pieces([b"" if odd else t for t, odd in zip(texts, literal, strict=True)])
+        whole = [self.words.whole(t) for t in texts]
+        pieces = Pieces([t if w is None else b"" for t, w in zip(texts, whole, strict=True)])
         chunks = self.learn(pieces)
         documents = [Joiner(t, s, [chunks[k] for k in d])
                      for t, s, d in zip(pieces.texts, pieces.starts, pieces.digests, strict=True)]
         # The first window of every join, in one call.
-        wanted = [(d, k) for d in documents for k in range(len(d.starts) - 1)]
-        windows = [d.text[slice(*d.window(k))] for d, k in wanted]
-        for (d, k), encoded in zip(wanted, self.vocabulary.encode(windows), strict=True):
-            d.ready[d.window(k)] = encoded
-        return [self.vocabulary.whole(t) if odd else d.ids(self.vocabulary).astype(np.uint32)
-                for t, odd, d in zip(texts, literal, documents, strict=True)]
+        wanted = [(d, d.window(k)) for d in documents for k in range(len(d.starts) - 1)]
+        windows = [d.text[slice(*span)] for d, span in wanted]
+        for (d, span), encoded in zip(wanted, self.words.words(windows), strict=True):
+            d.ready[span] = encoded
+        return [d.ids(self.words).astype(np.uint32) if w is None else w
+                for w, d in zip(whole, documents, strict=True)]
 
 
 class Joiner:
@@ -251,7 +252,7 @@ class Joiner:
         end = self.starts[k + 1] + ahead
         return begin, len(self.text) if end >= len(self.text) else _character(self.text, end)
 
-    def ids(self, vocabulary: Vocabulary) -> np.ndarray:
+    def ids(self, coder: WordCoder) -> np.ndarray:
         out, k, token, place = [], 0, 0, 0
         if not self.chunks:
             return np.zeros(0, np.uint32)
@@ -265,7 +266,7 @@ class Joiner:
             ahead = AHEAD
             while True:
                 span = self.window(k, ahead, begin)
-                got = self.ready.get(span) or vocabulary.encode([self.text[slice(*span)]])[0]
+                got = self.ready.get(span) or coder.words([self.text[slice(*span)]])[0]
                 agreed = self._agreement(k, *span, got)
                 if agreed:
                     break
@@ -348,9 +349,9 @@ def _pick(wanted: frozenset[bytes]):
 
 def _encode_chunks(vocab: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(vocab).vocabulary
+        own = coder(vocab)
         for batch in batches:
-            found = words.encode([c.as_py() for c in batch.column(1)])
+            found = own.words.words([c.as_py() for c in batch.column(1)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([np.asarray(e[i], np.uint32).tobytes() for e in found], pa.binary())
                                     for i in range(3)]], ["key", "ids", "offsets", "tokens"])
