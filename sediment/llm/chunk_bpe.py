@@ -48,8 +48,8 @@ WINDOW, BITS = 16, 10
 LEAST, MOST = 256, 4096
 REACH = 12  # bytes: three characters at least
 AHEAD = 36
-GROUP_BYTES = 2 << 20
-MEMO_CHUNKS = 40_000
+GROUP_BYTES = 1 << 20
+MEMO_CHUNKS = 8_000
 COMMON_BYTES = 8 << 20
 
 _U = np.uint64
