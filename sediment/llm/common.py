@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +51,17 @@ def discard(*tables: DataFrame) -> None:
         drop_path(t.sparkSession, t.scratch)
 
 
+def with_places(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__file`` and ``__row``, which tell any two rows apart: a hash of the Parquet
+    file's path and the row's number in it, the same in every scan however it is split.  Rows that
+    are not read straight from Parquet are written first."""
+    place = [F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        return docs.select("*", *place)
+    except AnalysisException:
+        return written(docs, "places").select("*", *place)
+
+
 def doc_crc(col: Column) -> Column:
     """crc32 of an id's decimal text, unsigned; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
@@ -107,14 +119,18 @@ def components(links: DataFrame, name: str) -> DataFrame:
     labels = written(edges.groupBy(F.col("a").alias("node"))
                      .agg(F.least(F.col("a"), F.min("b")).alias("label")).coalesce(parts),
                      f"{name}-label")
+    discard(links)
     while True:
-        near = (edges.join(labels.withColumnRenamed("node", "b"), "b")
+        near = (edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        mine = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
-        up = labels.select(F.col("node").alias("low"), F.col("label").alias("top"))
+        now = labels.select("node", "label")
+        mine = now.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
+        up = now.select(F.col("node").alias("low"), F.col("label").alias("top"))
         nxt = mine.join(up, "low").select("node", F.least("low", "top").alias("label"),
                                           (F.least("low", "top") != F.col("label")).alias("moved"))
         nxt = written(nxt.coalesce(parts), f"{name}-label")
-        labels = nxt.select("node", "label")
+        discard(labels)
+        labels = nxt
         if nxt.where("moved").isEmpty():
-            return labels
+            discard(edges)
+            return nxt.select("node", "label")

@@ -22,8 +22,8 @@ one shingle of all their words, looked for among the documents' shingles of that
 without words are found nowhere.
 
 Defined cases: null and empty texts contain nothing; null ids are dropped from the result, which
-consists of pairs of ids; rows that repeat an id count as one document or item holding all their
-shingles; an empty benchmark or corpus gives no pairs; other columns play no part.
+consists of pairs of ids (``clean`` judges texts, with any id); rows that repeat an id count as one
+document or item holding all their shingles; an empty benchmark or corpus gives no pairs; other columns play no part.
 """
 
 from __future__ import annotations
@@ -57,9 +57,9 @@ def _spelled(n: int) -> Column:
     return F.transform(_positions(n), lambda i: F.array_join(F.slice("w", i + 1, n), " "))
 
 
-def _words(df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias(key), word_array(F.col("text")).alias("w")).where(
-        F.col(key).isNotNull() & (F.size("w") > 0))
+def _words(df: DataFrame, key: Column, name: str) -> DataFrame:
+    return df.select(key.alias(name), word_array(F.col("text")).alias("w")).where(
+        F.col(name).isNotNull() & (F.size("w") > 0))
 
 
 def _by_length(df: DataFrame, lengths: list[int], build, name: str) -> DataFrame:
@@ -71,13 +71,15 @@ def _by_length(df: DataFrame, lengths: list[int], build, name: str) -> DataFrame
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
-                 percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared) of the documents that contain an item."""
-    items = _words(benchmark, "item_id").withColumn("k", F.least(F.size("w"), F.lit(words)))
+                 percent: int = THRESHOLD_PERCENT, key: Column | None = None) -> DataFrame:
+    """(doc_id, item_id, n_item, n_shared) of the documents that contain an item.  ``key``: what
+    tells documents apart, in place of doc_id."""
+    key = F.col("doc_id").cast("long") if key is None else key
+    items = _words(benchmark, F.col("item_id").cast("long"), "item_id").withColumn("k", F.least(F.size("w"), F.lit(words)))
     lengths = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most ``words``
     if not lengths:
-        return docs.sparkSession.createDataFrame(
-            [], "doc_id long, item_id long, n_item long, n_shared long")
+        none = docs.select(key.alias("doc_id")).where("false")
+        return none.select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("item_id", "n_item", "n_shared")])
     shingle = None
     for n in lengths:
         own = items.where(F.col("k") == n).select("item_id", "k", F.explode(_spelled(n)).alias("shingle"))
@@ -97,7 +99,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
               .select("item_id", "k", "low", F.explode(F.slice("all", F.lit(1), k)).alias("s")))
     sketch = written(sketch, "bench-sketch")
 
-    source = _words(docs, "doc_id")
+    source = _words(docs, key, "doc_id")
     longest = F.size("w") - F.lit(min(lengths)) + 1
     probes = _by_length(source.select("doc_id", longest.alias("most"),
                                       F.transform("w", lambda x: F.xxhash64(x)).alias("h"), "w"),
@@ -125,10 +127,16 @@ def _one_hash(lengths: list[int]) -> Column:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that contain no item, unchanged; a null doc_id is never dropped."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct()
-    found = written(found, "bench-hits")
-    return docs.join(found, docs["doc_id"].cast("long") == F.col("__hit"), "left_anti")
+    """The documents that contain no item, unchanged.
+
+    Each text is judged by itself, whatever its doc_id (null or repeated): it is known by two
+    64-bit hashes, so equal texts are looked at once.
+    """
+    text = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
+    found = contaminated(docs, benchmark, key=text).select("doc_id.a", "doc_id.b").distinct()
+    found = written(found.select(F.col("a").alias("__a"), F.col("b").alias("__b")), "bench-hits")
+    same = (F.xxhash64(docs["text"]) == F.col("__a")) & (F.xxhash64(F.lit(1), docs["text"]) == F.col("__b"))
+    return docs.join(found, same, "left_anti")
 
 
 def contract(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

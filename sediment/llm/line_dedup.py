@@ -5,9 +5,9 @@ least ``min_chars`` code points found in at least ``min_docs`` documents lose al
 except in the largest doc_id that holds them.
 
 1. Documents are cut into lines; each document gives the distinct 128-bit digests of its long
-   keys (64 bits to hash, 64 bits of fingerprint), written as a table.
-2. Digests are folded (map side first) to document count and largest holder, and dealt into
-   shards by digest.  Each shard builds a minimal perfect hash over its distinct digests and
+   keys (64 bits to hash, 64 bits of fingerprint), written as a table, once per doc_id.
+2. Digests are folded (map side first) to document count and largest holder,
+   and dealt into shards by digest.  Each shard builds a minimal perfect hash over its distinct digests and
    three arrays in slot order: 32-bit fingerprints, saturated counts and, for the slots at or
    over ``min_docs`` only, the holders.
 3. The documents' digests go to their shard and probe the arrays: no join on lines.  A shard
@@ -15,12 +15,13 @@ except in the largest doc_id that holds them.
    stands in a third of all documents is probed in many tasks.
 4. The few digests to drop return to their document, whose text is rebuilt without them.
 
-Every probed digest is in its shard's hash, so the slot is right by construction; the
-fingerprint guards against digests that agree in their first 64 bits.
+Every probed digest is in its shard's hash, so the slot is right by construction.  Digests of a
+shard that agree in their first 64 bits are hashed by a mixture of both halves that tells them
+apart; the fingerprint guards against digests of other tables.
 
 Defined cases: a null or empty text is one empty line; a null doc_id is a document that can
-never be the holder while another id is; every row counts as a document; rows that share the
-largest doc_id all keep the line; other columns are passed on (``n_chars`` follows the text,
+never be the holder while another id is; rows that share a doc_id count as one document, null
+ones too, and those of the largest doc_id all keep the line; other columns are passed on (``n_chars`` follows the text,
 columns named n_lines or n_dropped are replaced); an empty table gives no rows.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.common import discard, small_batches, written
-from sediment.llm.mph import MinimalPerfectHash
+from sediment.llm.mph import MinimalPerfectHash, mix
 
 BLANK = b" \t\n\x0b\x0c\r"
 SHARD_LINES = 400_000
@@ -67,33 +68,38 @@ def _line_digests(min_chars: int):
     return run
 
 
+def _keys(h: np.ndarray, f: np.ndarray, seed: int) -> np.ndarray:
+    """What the perfect hash is built over: the first half, with a seed mixed with the second."""
+    return h.astype(np.uint64) if not seed else mix(h.astype(np.uint64) + mix(f.astype(np.uint64) + np.uint64(seed)))
+
+
 def _arrays(min_docs: int):
     """One shard's digests to its perfect hash and arrays."""
     top = np.iinfo(np.uint8).max if min_docs <= 255 else np.iinfo(np.uint32).max
     kind = np.uint8 if min_docs <= 255 else np.uint32
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        h = t.column("h").to_numpy()
-        order = np.unique(h, return_index=True)[1]
-        hashed = MinimalPerfectHash.build(h[order])
-        slot = hashed.slots(h[order])
-        n = len(order)
+        h, f, n, seed = t.column("h").to_numpy(), t.column("f").to_numpy(), t.num_rows, 0
+        while len(np.unique(_keys(h, f, seed))) < n:  # digests are distinct, so some seed does
+            seed += 1
+        hashed = MinimalPerfectHash.build(_keys(h, f, seed))
+        slot = hashed.slots(_keys(h, f, seed))
         prints, counts = np.zeros(n, np.uint32), np.zeros(n, kind)
-        prints[slot] = t.column("f").to_numpy()[order].astype(np.uint32)
-        full = t.column("n").to_numpy()[order]
+        prints[slot] = f.astype(np.uint32)
+        full = t.column("n").to_numpy()
         counts[slot] = np.minimum(full, top)
-        holder = t.column("holder").fill_null(NO_HOLDER).to_numpy()[order]
+        holder = t.column("holder").fill_null(NO_HOLDER).to_numpy()
         frequent = full >= min_docs
         by_slot = np.argsort(slot[frequent], kind="stable")
         held = holder[frequent].astype(np.int64)[by_slot]
         return pa.table({
-            "shard": pa.array([key[0].as_py()], pa.int32()), "sizes": [hashed.sizes.tobytes()], "bits": [hashed.words.tobytes()],
+            "shard": pa.array([key[0].as_py()], pa.int32()), "seed": pa.array([seed], pa.int64()), "sizes": [hashed.sizes.tobytes()], "bits": [hashed.words.tobytes()],
             "prints": [prints.tobytes()], "counts": [counts.tobytes()], "holders": [held.tobytes()],
             "probes": pa.array([int(full.sum())], pa.int64())})
     return run
 
 
-ARRAYS = ("shard int, sizes binary, bits binary, prints binary, counts binary, holders binary, "
+ARRAYS = ("shard int, seed long, sizes binary, bits binary, prints binary, counts binary, holders binary, "
           "probes long")
 
 
@@ -112,7 +118,7 @@ def _probe(min_docs: int):
         holders = np.zeros(len(counts), np.int64)
         holders[frequent] = get("holders", np.int64)
         h, f = lines.column("h").to_numpy(), lines.column("f").to_numpy()
-        slot = hashed.slots(h)
+        slot = hashed.slots(_keys(h, f, arrays.column("seed")[0].as_py()))
         known = prints[slot] == f.astype(np.uint32)
         ids = lines.column("doc_id")
         own = np.array(ids.fill_null(NO_HOLDER + 1).combine_chunks())
@@ -150,7 +156,8 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     small_batches(spark)
     lines = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                 F.coalesce(F.col("text"), F.lit("")).alias("text"))
-                    .mapInArrow(_line_digests(min_chars), "h long, f long, doc_id long"), "lines")
+                    .mapInArrow(_line_digests(min_chars), "h long, f long, doc_id long")
+                    .dropDuplicates(["h", "f", "doc_id"]), "lines")
     shards = max(1, -(-lines.count() // SHARD_LINES))
     shard = F.pmod("h", F.lit(shards)).cast("int")
     folded = lines.groupBy("h", "f").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("holder"))

@@ -1,8 +1,8 @@
 """MinHash near-dedup with SuperMinHash signatures.
 
 1. A document's set: the distinct 64-bit hashes of its word shingles (words are runs without
-   ASCII white space, A-Z lower-cased; a text of fewer words is one shingle).  Documents with
-   equal sets (128-bit digest) form a class, represented by its smallest doc_id.
+   ASCII white space, A-Z lower-cased; a text of fewer words is one shingle).  Rows with equal
+   sets (128-bit digest) form a numbered class; all that follows is about classes.
 2. Every set gets a SuperMinHash signature: each element draws one permutation of the slots, and
    the value it offers the j-th slot of its permutation lies in [j, j + 1).  Slots so compete over
    ranks that are correlated within an element, which lowers the variance against independent
@@ -11,23 +11,26 @@
    A pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 < 4e-6.
 4. Candidates are verified on their full sets.  First every band group offers the pairs of its
    members with one hub, and verified links are merged into components, which leaves most groups
-   with one component.  The members of the groups left are compared in blocks of bounded size,
-   inside tasks: first on whole signatures, where a pair of different components must agree in
-   at least as many slots as a pair at the threshold does (less four standard deviations), in
-   the first band that it shares; then the members with such a partner bring their sets, and
-   the pairs are verified.  A verified link joins its components, so that a block returns at
-   most as many links as it has members.  No group emits its pairs, and no link that could join
-   two components is left out.
-5. Components by minimum label and pointer jumping over the verified links.
-
-Defined cases: null, empty or blank texts have an empty set, linked with nothing; rows that
-repeat a doc_id count as one document (of each its own n_shingles); a null doc_id takes its
-class's component, if the class has an id, and is otherwise kept alone with a null component;
-an empty table gives no rows; other columns play no part.
+   with one component.  The members of the groups left are compared in blocks of bounded rows and
+   bytes, inside tasks: first on whole signatures, in the first band that a pair shares, where
+   pairs that agree in fewer slots than all but one in 10^9 pairs at the threshold are left out
+   (``agreement``, by the binomial distribution: 51 of 96 slots at 0.8); then the members with
+   such a partner bring their sets, and the pairs are verified.  A verified link joins its
+   components, so that a block returns at most as many links as it has members.  No group emits
+   its pairs.  What may be missed are only pairs by the chances named here and in step 3.
+5. Components by minimum label and pointer jumping over the verified links and over the links
+   between the classes of one doc_id, which joins the components of all its texts.
+
+Defined cases: null, empty or blank texts have an empty set, linked with nothing but their own
+doc_id's other rows; rows that repeat a doc_id count as one document (of each its own
+n_shingles); a row with a null doc_id may link others, takes its component's smallest doc_id,
+and is kept, with a null component, if there is none; an empty table gives no rows; other
+columns play no part.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.bytehash import BASE, blanks, range_hashes
-from sediment.llm.common import components, discard, small_batches, written
+from sediment.llm.common import components, discard, small_batches, with_places, written
 from sediment.llm.mph import mix
 
 BANDS, ROWS = 24, 4
@@ -45,6 +48,7 @@ SLOTS = BANDS * ROWS
 GROUP_BYTES = 4 << 20
 ROUND_ELEMENTS = 1 << 19
 BLOCK_MEMBERS = 1024
+BLOCK_BYTES = 8 << 20
 CHUNK_PAIRS = 1 << 16
 BLOCK_ROWS = ("band long, lo int, hi int, block int, rep long, n long, label long, "
               "bands array<long>, slots binary")
@@ -142,12 +146,15 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in column]
 
 
-def _sign(words: int):
-    """doc_id, text -> doc_id, n, set digest, band hashes, low bytes of the signature."""
+SIGNED = "n long, digest binary, bands array<long>, slots binary"
+
+
+def _sign(words: int, names: list[str]):
+    """text, doc_id, ... -> doc_id, ..., n, set digest, band hashes, low bytes of the signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for group in _groups(_texts(batch.column(1))):
+            for group in _groups(_texts(batch.column(0))):
                 sets = shingle_sets(group, words)
                 n = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(n)
@@ -165,28 +172,34 @@ def _sign(words: int):
                         slots[a:b] = (values & _U(255)).astype(np.uint8).reshape(-1, SLOTS)
                 ends = np.zeros(len(group) + 1, np.int32)
                 ends[1:] = np.cumsum((n > 0) * BANDS)
-                digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                ids = batch.column(1).slice(at, len(group))
+                digest = [_digest(s, i) for s, i in zip(sets, ids.to_pylist(), strict=True)]
                 signed = np.full(len(group), None, object)
                 signed[full] = [x.tobytes() for x in slots]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(group)), pa.array(n), pa.array(digest, pa.binary()),
-                     pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1))),
-                     pa.array(signed, pa.binary())],
-                    ["doc_id", "n", "digest", "bands", "slots"])
+                    [*[c.slice(at, len(group)) for c in batch.columns[1:]], pa.array(n),
+                     pa.array(digest, pa.binary()), pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1))),
+                     pa.array(signed, pa.binary())], [*names, "n", "digest", "bands", "slots"])
                 at += len(group)
     return run
 
 
+def _digest(own: np.ndarray, doc_id: int | None) -> bytes | None:
+    """The digest of a set; empty sets are told apart by their doc_id."""
+    if len(own):
+        return xxhash.xxh3_128_digest(own.tobytes())
+    return None if doc_id is None else xxhash.xxh3_128_digest(f"empty {doc_id}")
+
+
 def _sets(words: int):
+    """text -> digest and sorted shingles of the sets that are not empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for group in _groups(_texts(batch.column(1))):
-                sets = shingle_sets(group, words)
+            for group in _groups(_texts(batch.column(0))):
+                sets = [s for s in shingle_sets(group, words) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(group)),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"])
-                at += len(group)
+                    [pa.array([_digest(s, None) for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "shingles"])
     return run
 
 
@@ -204,31 +217,77 @@ def _verify(percent: int):
     return run
 
 
+def _components(docs: DataFrame, words: int, percent: int, extra: str = "") -> tuple[DataFrame, DataFrame]:
+    """(rows, classes).  rows: doc_id, the ``extra`` columns, n and digest of every row; classes:
+    digest, root (equal in the classes of one component), component_id (its smallest doc_id) and
+    alone (whether the component is one row)."""
+    small_batches(docs.sparkSession)
+    names = [c.split(" ")[0] for c in extra.split(", ")] if extra else []
+    # Which rows to read again for a set: those of a doc_id, or of a text without one.
+    who = F.coalesce("doc_id", F.xxhash64("text"))
+    source = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), *names).withColumn("who", who)
+    schema = ", ".join(["doc_id long", *extra.split(", ")]) if extra else "doc_id long"
+    signed = written(source.mapInArrow(_sign(words, ["doc_id", *names, "who"]), f"{schema}, who long, {SIGNED}"),
+                     "near-signed")
+    classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("who").alias("who"), F.min("doc_id").alias("low"), (F.count(F.lit(1)) == 1).alias("one"),
+        F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("slots").alias("slots"))
+    # The number is fixed by being written.
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    links = _links(source, classes, words, percent)
+
+    # Rows of one doc_id with different sets.
+    ids = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("digest").alias("low"), F.max("digest").alias("high")).where("low != high")
+    ids = written(ids.select(F.col("doc_id").alias("id"), "low"), "near-ids")
+    same = signed.join(ids, signed["doc_id"] == ids["id"]).where("digest != low").select("digest", "low").distinct()
+    number = classes.select("digest", "rep")
+    same = (same.join(number.withColumnRenamed("rep", "b"), "digest").drop("digest")
+            .join(number.select(F.col("digest").alias("low"), F.col("rep").alias("a")), "low"))
+    label = components(links.union(same.select("a", "b")), "near")
+    label = (label.join(classes.select(F.col("rep").alias("node"), "low"), "node"))
+    lowest = label.groupBy(F.col("label").alias("l")).agg(F.min("low").alias("lowest"))
+    label = label.join(lowest, label["label"] == lowest["l"]).select("node", "label", "lowest")
+    root = classes.join(label, classes["rep"] == label["node"], "left").select(
+        "digest", F.coalesce("label", "rep").alias("root"),
+        F.when(F.col("label").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("component_id"),
+        (F.col("label").isNull() & F.col("one")).alias("alone"))
+    return signed.select("doc_id", *names, "n", "digest"), written(root, "near-roots")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(source.mapInArrow(_sign(words), "doc_id long, n long, digest binary, "
-                                                     "bands array<long>, slots binary"), "near-signed")
-    classes = written(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("slots").alias("slots")), "near-classes")
-    links = _links(source, classes.drop("digest"), words, percent)
-    label = components(links, "near")
-    root = (classes.join(label, classes["rep"] == label["node"], "left")
-            .select("digest", F.coalesce("label", "rep").alias("component_id")))
-    out = signed.select("doc_id", "n", "digest").join(root, "digest", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.col("component_id").isNull())
+    rows, classes = _components(docs, words, percent)
+    out = rows.join(classes, "digest", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
                       .alias("kept"))
 
 
-def _agreement(percent: int) -> int:
-    """Slots in which a pair at the threshold agrees, less four standard deviations."""
-    p = percent / 100
-    return int(np.ceil(SLOTS * p - 4 * np.sqrt(SLOTS * p * (1 - p))))
+def survivors(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when of each component one row does: that of the smallest
+    doc_id (nulls last), of its rows the first one.  Rows with empty sets all stay."""
+    placed = with_places(docs)
+    rows, classes = _components(placed, words, percent, "__file long, __row long")
+    joined = rows.where("n > 0").join(classes.where("NOT alone"), "digest")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__file", "__row")
+    first = joined.groupBy("root").agg(F.min(order).alias("first"))
+    gone = joined.join(first, "root").where(
+        (F.col("__file") != F.col("first.__file")) | (F.col("__row") != F.col("first.__row")))
+    gone = written(gone.select(F.col("__file").alias("f"), F.col("__row").alias("r")), "near-gone")
+    left = placed.join(gone, (F.col("__file") == F.col("f")) & (F.col("__row") == F.col("r")), "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def agreement(percent: int, miss: float = 1e-9) -> int:
+    """The least number of slots such that a pair at the threshold agrees in fewer with a chance
+    of at most ``miss``."""
+    p, below = percent / 100, 0.0
+    for k in range(SLOTS):
+        below += math.comb(SLOTS, k) * p ** k * (1 - p) ** (SLOTS - k)
+        if below > miss:
+            return k
+    return SLOTS
 
 
 def _blocks(inner):
@@ -252,7 +311,7 @@ def _blocks(inner):
 def _likely(t: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The pairs of rows that are to be verified, as (first row of the block, rows, rows), in
     chunks of bounded size, ascending in the first row number."""
-    least = _agreement(percent)
+    least = agreement(percent)
     band, lo, hi, block, _, n, label = (t.column(i).to_numpy() for i in range(7))
     bands = t.column(7).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     slots = np.frombuffer(b"".join(t.column(8).to_pylist()), np.uint8).reshape(-1, SLOTS)
@@ -323,14 +382,17 @@ def _join_components(percent: int):
 
 
 def _links(source: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Verified links (a < b) between class representatives that span every component."""
+    """Verified links (a, b) between classes, by number, that span every component."""
     member = classes.select("n", "rep", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where("size > 1")
     member = written(member.join(shared, "band"), "near-members")
-    wanted = member.select("rep").distinct()
-    sets = written(source.join(wanted, source["doc_id"] == wanted["rep"], "left_semi")
-                   .mapInArrow(_sets(words), "rep long, shingles binary")
-                   .dropDuplicates(["rep"]), "near-sets")
+    wanted = written(classes.join(member.select("rep").distinct(), "rep").select(
+        "rep", "digest", F.col("who").alias("whose")), "near-wanted")
+    found = (source.join(wanted, source["who"] == wanted["whose"], "left_semi").select("text")
+             .mapInArrow(_sets(words), "digest binary, shingles binary"))
+    # Of rows that give one set, one is kept before sets are moved any further.
+    sets = written(found.dropDuplicates(["digest"]).join(wanted.select("rep", "digest"), "digest")
+                   .select("rep", "shingles"), "near-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         held = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
@@ -345,10 +407,10 @@ def _links(source: DataFrame, classes: DataFrame, words: int, percent: int) -> D
 
     label = components(first, "near-hubs")
     tagged = member.join(label, member["rep"] == label["node"], "left").select(
-        "band", "rep", "n", "size", F.coalesce("label", "rep").alias("label"))
+        "band", "rep", "n", "size", "mass", F.coalesce("label", "rep").alias("label"))
     mixed = tagged.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     left = tagged.join(mixed.where("lo != hi").select("band"), "band")
-    blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_MEMBERS, F.col("mass") * 8 / BLOCK_BYTES)).cast("int")
     left = left.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     left = left.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
@@ -359,7 +421,7 @@ def _links(source: DataFrame, classes: DataFrame, words: int, percent: int) -> D
     held = sets.withColumnRenamed("rep", "r")
     verified_rest = _in_blocks(likely.join(held, likely["rep"] == held["r"]).drop("r"))
     second = written(verified_rest.mapInArrow(_join_components(percent), "a long, b long"), "near-links")
-    discard(member, sets, likely)
+    discard(member, wanted, sets, likely)
     return first.union(second)
 
 

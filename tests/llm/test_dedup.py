@@ -76,6 +76,103 @@ def test_near_odd_rows(spark):
     assert len(lone) == 2 and all(r["component_id"] is None and r["kept"] for r in lone)
 
 
+def components_by_row(rows, n=4, percent=80):
+    """Components of rows linked by near texts or one doc_id: the smallest doc_id of each row's."""
+    root = near_components(dict(enumerate(t for _, t in rows)), n, percent)
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows[:i]):
+            if a is not None and a == b and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    low = {}
+    for i, (a, _) in enumerate(rows):
+        if a is not None:
+            low[root[i]] = min(low.get(root[i], a), a)
+    return [low.get(root[i]) for i in range(len(rows))]
+
+
+def near_texts(seed):
+    rng = random.Random(seed)
+    a, b = words(rng, 80), words(rng, 80)
+    return " ".join(a), " ".join(b), " ".join([*a, "more"]), " ".join([*b, "more"])
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_one_id_with_several_texts(spark, turned):
+    a, b, near_a, near_b = near_texts(1)
+    for rows in ([(1, None), (1, a), (2, near_a)], [(1, None), (1, a), (2, None), (2, near_a)],
+                 [(1, a), (1, b), (2, near_a), (3, near_b)], [(5, a), (2, near_a), (2, b), (1, near_b), (7, "")],
+                 [(None, a), (3, near_a), (None, near_b), (None, b), (None, "  ")]):
+        rows = rows[::-1] if turned else rows
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = near_dedup.contract(df).collect()
+        want = list(zip([i for i, _ in rows], components_by_row(rows), strict=True))
+        assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_random_ids_and_texts(spark):
+    rng = random.Random(11)
+    rows = [(rng.choice([None, *range(25)]), t) for _, t, *_ in corpus(12, 70)]
+    got = near_dedup.contract(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = list(zip([i for i, _ in rows], components_by_row(rows), strict=True))
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_slots_asked_for():
+    """No pair at the threshold is left out with more than the stated chance."""
+    assert near_dedup.agreement(80) == 51 and near_dedup.agreement(80, 1e-4) == 61
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Blocks of a few long sets lose nothing."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4000)
+    rng = random.Random(5)
+    base = words(rng, 400)
+    rows = [(99, " ".join(base))]
+    for i in range(25):
+        own = list(base)
+        for at in rng.sample(range(400), 9):
+            own[at] = f"y{i}_{at}"
+        rows.append((i, " ".join(own)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == near_components(dict(rows), 4, 80)
+
+
+def test_survivors(spark, tmpdir_factory_path):
+    """One row of each component stays, whatever its id."""
+    a, b, near_a, near_b = near_texts(2)
+    rows = [(4, a, "x"), (4, a, "y"), (9, near_a, "z"), (None, b, "p"), (None, b, "q"), (None, near_b, "r"),
+            (5, None, "s"), (5, None, "t"), (None, "", "u"), (8, "alone in this", "v"), (None, "alone too", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string").coalesce(1)
+    df.write.parquet(f"{tmpdir_factory_path}/docs")
+    for docs in (df, spark.read.parquet(f"{tmpdir_factory_path}/docs")):
+        got = near_dedup.survivors(docs)
+        assert got.columns == docs.columns
+        assert sorted(r["mark"] for r in got.collect()) == ["p", "s", "t", "u", "v", "w", "x"]
+
+
+def test_lines_of_one_id_in_many_rows(spark):
+    line = "a line that is long enough to be counted, " * 2
+    rows = [(1, f"{line}\nown {i}") for i in range(4)] + [(2, line)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["n_dropped"] for r in got.collect()} == {0}
+    more = rows + [(i, line) for i in range(3, 6)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(more, "doc_id long, text string")).collect()
+    assert [r["n_dropped"] for r in got if r["doc_id"] == 5] == [0] and sum(r["n_dropped"] for r in got) == 7
+
+
+def test_line_digests_that_share_their_first_half():
+    import pyarrow as pa
+
+    n = 50
+    t = pa.table({"h": np.arange(n) // 2, "f": np.arange(n) * 7, "n": np.where(np.arange(n) % 3 == 0, 9, 1),
+                  "holder": np.arange(n)})
+    arrays = line_dedup._arrays(5)((pa.scalar(0),), t)
+    probes = pa.table({"doc_id": np.full(n, 1000), "h": t.column("h"), "f": t.column("f")})
+    got = line_dedup._probe(5)(probes, arrays)
+    assert got.column("f").to_pylist() == [i * 7 for i in range(n) if i % 3 == 0]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=300))
 def test_minimal_perfect_hash(keys):
@@ -159,12 +256,13 @@ def test_contained_items_match_brute_force(spark):
 
 
 def test_clean_keeps_the_rest(spark):
-    docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (2, "other words", "y"), (None, "a b c d e f", "z")],
-                                 "doc_id long, text string, item_id string")
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f g", "x"), (2, "other words", "y"), (None, "a b c d e f", "z"), (None, "no item", "q"),
+         (2, "b c d e f", "r"), (None, None, "s")], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame([(7, "b c d e f"), (8, None)], "item_id long, text string")
-    assert {r["doc_id"] for r in decontam.clean(docs, bench).collect()} == {2, None}
+    assert sorted(r["item_id"] for r in decontam.clean(docs, bench).collect()) == ["q", "s", "y"]
     none = spark.createDataFrame([], "item_id long, text string")
-    assert decontam.clean(docs, none).count() == 3
+    assert decontam.clean(docs, none).count() == 6
 
 
 def test_empty_tables(spark):
