@@ -7,7 +7,6 @@ reads again as the next stage's documents.  All but the last return the columns
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sediment.llm import decontam, line_dedup, near_dedup, packing, quality
 from sediment.llm.common import table, written
@@ -27,15 +26,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, 0.8) the smallest doc_id stays."""
-    verdict = near_dedup.near_duplicates(docs, words=5, percent=80)
-    gone = verdict.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = written(gone, "pipeline-gone")
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").select(COLUMNS)
+    """Of each group of near-duplicates (five words, 0.8) one row stays: the first of the smallest
+    doc_id.  Rows are told apart by their place, so null and repeated ids are judged too."""
+    return near_dedup.survivors(docs.select(COLUMNS), words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
+    """Rows whose text contains a benchmark item go, whatever their doc_id."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
 
 
