@@ -75,13 +75,22 @@ def role_aggregate(users: DataFrame, grain: Sequence[str] = GRAIN) -> DataFrame:
     ``bit_or`` in a code-generated hash aggregate, map side first: an identity holding a third
     of all rows leaves each task with one integer.
     """
+    return with_roles(role_masks(users, grain))
+
+
+def role_masks(users: DataFrame, grain: Sequence[str] = GRAIN) -> DataFrame:
+    """One row per ``grain`` with its roles as the mergeable bit mask ``_mask``."""
     mask = F.lit(0)
     for bit, role in enumerate(ROLES):
         mask = F.when(F.col("user_role") == role, F.lit(1 << bit)).otherwise(mask)
+    return users.groupBy(*grain).agg(F.bit_or(mask).alias("_mask"))
+
+
+def with_roles(masked: DataFrame) -> DataFrame:
+    """``_mask`` as the sorted array ``user_roles`` and their ``role_count``."""
     present = F.array_compact(F.array(*[
         F.when(F.col("_mask").bitwiseAND(F.lit(1 << bit)) != 0, F.lit(role))
         for bit, role in enumerate(ROLES)]))
-    return (users.groupBy(*grain).agg(F.bit_or(mask).alias("_mask"))
-            .withColumn("user_roles", present)
+    return (masked.withColumn("user_roles", present)
             .withColumn("role_count", F.bit_count("_mask").cast("bigint"))
             .drop("_mask"))

@@ -71,6 +71,19 @@ def q_dim_users(spark, sf):
     return _no_stamps(silver.dim_users(b["repositories"], b["commits"], b["issues"]))
 
 
+@register("dim_users_by_user")
+def q_dim_users_by_user(spark, sf):
+    b = dt.bronze_inputs(spark, sf)
+    return _no_stamps(silver.dim_users(b["repositories"], b["commits"], b["issues"], grain="user"))
+
+
+@register("dim_users_by_person")
+def q_dim_users_by_person(spark, sf):
+    """Ids that share a login or an e-mail address, of values that at most 20 ids use, as one person."""
+    b = dt.bronze_inputs(spark, sf)
+    return _no_stamps(silver.dim_users(b["repositories"], b["commits"], b["issues"], grain="person"))
+
+
 @register("fact_commits")
 def q_fact_commits(spark, sf):
     b = dt.bronze_inputs(spark, sf)

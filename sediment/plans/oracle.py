@@ -203,6 +203,41 @@ FROM agg
 """
 
 
+def _merged_users(person: str) -> str:
+    """Users per ``person``, a table (user_id, person)."""
+    none_last = ", ".join(f"{c} IS NULL, {c}" for c in ("user_id", "user_login", "user_type", "user_html_url"))
+    first = ", ".join(f"first({c} ORDER BY {none_last}) AS {c}" for c in USER_KEYS[:4])
+    email, name = (f"min({c}) FILTER (trim({c}) <> '') AS {c}" for c in ("user_email", "user_name"))
+    return oracle_with("repos", "commits", "issues").replace("WITH ", "WITH RECURSIVE ", 1) + ROLE_SETS + f"""
+, {person},
+merged AS (
+  SELECT {first}, {email}, {name}, list_sort(list_distinct(flatten(list(user_roles)))) AS user_roles,
+         count(*) AS identity_count, count(DISTINCT user_id) AS id_count
+  FROM agg JOIN persons USING (user_id) GROUP BY person),
+counted AS (SELECT *, CAST(len(user_roles) AS BIGINT) AS role_count FROM merged)
+SELECT * REPLACE (
+    coalesce(user_type, 'User') AS user_type,
+    if(trim(coalesce(user_email, '')) = '', 'No email available', user_email) AS user_email,
+    {filled("user_name", "No name available")}), {_USER_RULES}
+FROM counted
+"""
+
+
+ORACLE["dim_users_by_user"] = _merged_users("persons AS (SELECT DISTINCT user_id, user_id AS person FROM agg)")
+ORACLE["dim_users_by_person"] = _merged_users("""
+used AS (
+  SELECT DISTINCT user_id, kind, lower(trim(value)) AS value FROM (
+    SELECT user_id, 'login' AS kind, user_login AS value FROM agg
+    UNION ALL SELECT user_id, 'email', user_email FROM agg)
+  WHERE trim(value) <> ''),
+own AS (SELECT kind, value FROM used GROUP BY kind, value HAVING count(*) <= 20),
+tied AS (SELECT a.user_id AS a, b.user_id AS b FROM used a JOIN used b USING (kind, value) JOIN own USING (kind, value)),
+reach AS (
+  SELECT DISTINCT user_id AS a, user_id AS b FROM agg
+  UNION SELECT reach.a, tied.b FROM reach JOIN tied ON reach.b = tied.a),
+persons AS (SELECT a AS user_id, min(b) AS person FROM reach GROUP BY a)""")
+
+
 def _with_repo(table: str, key: str, extra: list[str], columns: list[str]) -> str:
     """A fact with the repository that its URL names, and its rule columns."""
     taken = {"repo_id": "repo_id", "repo_name": "repo_name", "full_name": "repo_full_name",

@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.functions import rules as R
+from sediment.operators.identity import MAX_IDS, people
 from sediment.operators.joins import left_join_keys, fanout_left_join
 from sediment.operators.merge import merge_coalesce
-from sediment.operators.roles import role_aggregate, role_union
+from sediment.operators.roles import role_aggregate, role_masks, role_union, with_roles
+from sediment.session import scratch_path
+from sediment.sources.tables import write_parquet
 
 REPO_COLUMNS = [
     "repo_id", "repo_name", "full_name", "description", "html_url", "clone_url", "language",
@@ -112,18 +115,41 @@ def dim_repo_permissions(repos: DataFrame, details: DataFrame,
 
 # T2 ------------------------------------------------------------------------------------------
 def dim_users(repos: DataFrame, commits: DataFrame, issues: DataFrame,
-              loaded_at: Column | None = None) -> DataFrame:
-    """Everyone who owns, authors, commits, opens or is assigned, one row per identity grain."""
-    grouped = role_aggregate(role_union(repos, commits, issues))
-    d = R.user_defaults()
-    return grouped.select(
-        "user_id", "user_login", d["user_type"].alias("user_type"), "user_html_url",
-        d["user_email"].alias("user_email"), d["user_name"].alias("user_name"),
-        "user_roles", "role_count",
-        R.primary_role().alias("primary_role"),
-        R.user_activity_level().alias("user_activity_level"),
-        _stamp(loaded_at),
-    )
+              loaded_at: Column | None = None, grain: str = "identity",
+              max_ids: int = MAX_IDS) -> DataFrame:
+    """Everyone who owns, authors, commits, opens or is assigned.
+
+    ``grain``: ``identity``, one row per (id, login, type, url, e-mail, name); ``user``, one row
+    per id; ``person``, one row per set of ids linked by login or e-mail (``operators.identity``).
+    The coarser grains name the smallest id with the login, type and URL of its first identity,
+    and the smallest e-mail and name that are not blank, and count what they stand for.
+    """
+    if grain not in ("identity", "user", "person"):
+        raise ValueError("grain must be 'identity', 'user' or 'person'")
+    union, d = role_union(repos, commits, issues), R.user_defaults()
+    rules = [d["user_email"].alias("user_email"), d["user_name"].alias("user_name"), "user_roles", "role_count",
+             R.primary_role().alias("primary_role"), R.user_activity_level().alias("user_activity_level")]
+    if grain == "identity":
+        return role_aggregate(union).select("user_id", "user_login", d["user_type"].alias("user_type"),
+                                            "user_html_url", *rules, _stamp(loaded_at))
+    # One row per identity: what a hot user brings to one key is bounded by its spellings.
+    identities = role_masks(union)
+    person = F.col("user_id")
+    if grain == "person":
+        path = write_parquet(identities, scratch_path(repos.sparkSession, "identities"))
+        identities = repos.sparkSession.read.parquet(path)
+        known = people(identities, max_ids).withColumnRenamed("user_id", "_id")
+        identities = identities.join(known, F.col("user_id") == F.col("_id"), "left").drop("_id")
+        person = F.coalesce("person_id", "user_id")
+    filled = {c: F.when(F.trim(c) != "", F.col(c)) for c in ("user_email", "user_name")}
+    order = ["user_id", "user_login", "user_type", "user_html_url"]
+    first = F.min(F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]))
+    merged = identities.withColumn("_person", person).groupBy("_person").agg(
+        first.alias("_first"), F.bit_or("_mask").alias("_mask"), F.count(F.lit(1)).alias("identity_count"),
+        F.count_distinct("user_id").alias("id_count"),
+        *[F.min(v).alias(c) for c, v in filled.items()]).select("*", "_first.*")
+    return with_roles(merged).select("user_id", "user_login", d["user_type"].alias("user_type"), "user_html_url",
+                                     *rules, "identity_count", "id_count", _stamp(loaded_at))
 
 
 # T4 ------------------------------------------------------------------------------------------
