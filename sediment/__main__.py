@@ -4,6 +4,7 @@
   python -m sediment silver --bronze bronze --silver silver [--schema silver] [--tables ...]
   python -m sediment run    --landing landing --work out [--layout ...]
   python -m sediment check  --landing landing --work out [--layout ...]
+  python -m sediment daily  --landing landing --work out [--layout ...]
   python -m sediment incremental --landing landing --log log --checkpoint ckpt --feed issues
 
 ``--skip-errors`` logs a failing feed / table and goes on (the interactive scripts' behaviour);
@@ -37,7 +38,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--silver", required=True)
     s.add_argument("--schema", default=None)
     s.add_argument("--tables", nargs="*", default=list(SILVER_TABLES))
-    for name in ("run", "check"):
+    for name in ("run", "check", "daily"):
         p = sub.add_parser(name)
         p.add_argument("--landing", required=True)
         p.add_argument("--work", required=True)
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     i.add_argument("--log", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--feed", choices=FEEDS, required=True)
-    for p in (b, i, *[sub.choices[n] for n in ("run", "check")]):
+    for p in (b, i, *[sub.choices[n] for n in ("run", "check", "daily")]):
         p.add_argument("--layout", choices=("document", "lines"), default="document")
     for p in sub.choices.values():
         p.add_argument("--skip-errors", action="store_true")
@@ -78,6 +79,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.cmd == "check":
         from sediment.plans.run import layer_checks
         _print(layer_checks(spark, args.landing, args.work, args.layout))
+    elif args.cmd == "daily":
+        from sediment.streaming.tables import daily
+        out = daily(spark, args.landing, args.work, args.layout)
+        print("\n".join(f"{t}\t{p}" for t, p in out.items()))
     elif args.cmd == "incremental":
         from sediment.streaming.incremental import ingest_new_landing
         ingest_new_landing(spark, args.landing, args.log, args.checkpoint, args.feed,

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH_FLOOR = "1900-01-01 00:00:00"
+#: So many replaced rows, by their places, are broadcast at most.
+SMALL_LOSERS = 1_000_000
 
 
 def _not_null(keys: Sequence[str]) -> Column:
@@ -65,7 +67,7 @@ def merge_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def newest_rows(log: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                small: int = 1_000_000) -> DataFrame:
+                small: int = SMALL_LOSERS) -> DataFrame:
     """``latest_per_key`` for a log stored as files: the wide rows are not grouped.
 
     Winners are found on the key, the order columns and the row's place (file, row number),

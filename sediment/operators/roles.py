@@ -52,12 +52,12 @@ def _role_struct(spec: tuple) -> F.Column:
     return F.struct(*parts)
 
 
-def roles_of(df: DataFrame, specs: Sequence[tuple]) -> DataFrame:
+def roles_of(df: DataFrame, specs: Sequence[tuple], keep: Sequence[str] = ()) -> DataFrame:
     """One row per (record, role) whose user id is present, from a single scan of ``df``."""
     if len(specs) == 1:
-        out = df.select(_role_struct(specs[0]).alias("u")).select("u.*")
+        out = df.select(*keep, _role_struct(specs[0]).alias("u")).select(*keep, "u.*")
     else:
-        out = df.select(F.inline(F.array(*[_role_struct(s) for s in specs])))
+        out = df.select(*keep, F.inline(F.array(*[_role_struct(s) for s in specs])))
     return out.where(F.col("user_id").isNotNull())
 
 

@@ -9,15 +9,15 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.operators.merge import latest_per_key, newest_rows
+from sediment.operators.merge import SMALL_LOSERS, latest_per_key, newest_rows
 from sediment.plans.jobs import DEFAULT_PARALLEL, run_writes
 from sediment.schemas import BRONZE_KEYS, FEEDS
 from sediment.session import drop_path, path_exists, scratch_path
-from sediment.sources.landing import (feed_records, has_files, raw_text, scan_feed,
-                                      unusable_reason)
+from sediment.sources.landing import (feed_records, has_files, landing_counts, raw_text,
+                                      scan_feed, unusable_reason)
 from sediment.sources.tables import write_parquet
 
 log = logging.getLogger(__name__)
@@ -127,7 +127,8 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                  layout: str = "document", feeds=FEEDS, latest: bool = True,
                  on_error: str = "raise", loaded_at: Column | None = None,
                  require_input: bool = True,
-                 max_parallel: int = DEFAULT_PARALLEL) -> dict[str, str]:
+                 max_parallel: int = DEFAULT_PARALLEL, small_losers: int = SMALL_LOSERS,
+                 landed: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
     """Land -> bronze for every feed; returns ``{table: parquet path}`` of written tables.
 
     The feeds are independent jobs and run side by side (``max_parallel``).
@@ -138,7 +139,9 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
     are written to ``<bronze>/quarantine/<feed>`` in the same run.
 
     The JSON is parsed once, into a flattened log in scratch space, from which the newest
-    landing of every key is found on narrow columns.
+    landing of every key is found on narrow columns.  ``landed``, if given, is filled with each
+    feed's documents, items and unusable documents, observed while that log is written; the job
+    has one stage, whose tasks count once each, also when some are repeated.
     """
     base = bronze_dir.rstrip("/")
     present = [f for f in feeds if has_files(spark, landing_dir, f, layout)]
@@ -150,8 +153,11 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
 
     def write(feed: str):
         def run() -> str:
-            stored = write_parquet(landing_log(scan_feed(spark, landing_dir, feed, layout), feed, loaded_at),
-                                   scratch_path(spark, f"log-{feed}"))
+            seen = Observation()
+            docs = scan_feed(spark, landing_dir, feed, layout).observe(seen, *landing_counts(feed))
+            stored = write_parquet(landing_log(docs, feed, loaded_at), scratch_path(spark, f"log-{feed}"))
+            if landed is not None:
+                landed[feed] = {k: v or 0 for k, v in seen.get.items()}
             try:
                 log_rows = spark.read.parquet(stored)
                 write_parquet(log_rows.where("_reason IS NOT NULL").select(
@@ -159,7 +165,7 @@ def build_bronze(spark: SparkSession, landing_dir: str, bronze_dir: str,
                     F.col("_reason").alias("reason"), F.col("_raw").alias("raw")), f"{base}/quarantine/{feed}")
                 records = log_rows.where("_is_record")
                 if latest:
-                    records = newest_rows(records, BRONZE_KEYS[feed], ["_landed_at", "_source_file"])
+                    records = newest_rows(records, BRONZE_KEYS[feed], ["_landed_at", "_source_file"], small_losers)
                 return write_parquet(records.drop(*LOG_META), f"{base}/{feed}")
             finally:
                 drop_path(spark, stored)

@@ -324,7 +324,10 @@ ORACLE["landing_route_by_name"] = oracle_with("repos", "details", "commits", "is
          || '_20240601_000000.json' FROM commits
   UNION ALL
   SELECT DISTINCT 'issues_' || {url_owner("html_url")} || '_' || {url_repo("html_url")}
-         || '_20240601_000000.json' FROM issues)
+         || '_20240601_000000.json' FROM issues
+  UNION ALL
+  SELECT unnest(['commits_' || repo_name || '_awesome-repositories', 'issues_' || repo_name || '_commits-tool',
+                 'notes_' || repo_name || '_issues']) || '_20240601_000000.json' FROM repos)
 SELECT file_name, regexp_extract(file_name, '^(repositories|repo_details|commits|issues)_', 1) AS feed
 FROM names
 """
@@ -381,8 +384,10 @@ SELECT 'repositories' AS feed, CAST(count(DISTINCT floor(repo_id / 50)) AS BIGIN
 UNION ALL
 SELECT 'repo_details', CAST(count(*) AS BIGINT), 0, 0, 0, 0, CAST(count(*) AS BIGINT) FROM details
 UNION ALL
-SELECT 'commits', CAST(count(DISTINCT (author_id, floor(comment_count / 50))) AS BIGINT), 0, 0, 0, 0,
-       CAST(count(*) AS BIGINT) FROM commits
+SELECT 'commits', CAST(count(DISTINCT (author_id, floor(comment_count / 50))) + count(*) AS BIGINT),
+       count(*) FILTER (n % 7 = 0), 0, count(*) FILTER (n % 7 = 0), count(*) FILTER (n % 7 = 0 OR n % 11 = 0),
+       CAST(count(*) + count(*) FILTER (n % 7 <> 0 AND n % 11 <> 0) AS BIGINT)
+FROM (SELECT *, author_id * 8 + comment_count AS n FROM commits)
 UNION ALL
 SELECT 'issues', CAST(count(DISTINCT floor(issue_id / 50)) AS BIGINT), 0, 0, 0, 0,
        CAST(count(*) AS BIGINT) FROM issues
@@ -481,6 +486,49 @@ ORACLE["presence_flags"] = _rules("issues", "issue_id", *_PRESENCE_LABELS, *_FLA
 ORACLE["array_size_flag"] = _rules("issues", "issue_id", _HAS_LABELS)
 
 ORACLE["bronze_incremental"] = ORACLE["bronze_issues"]
+ORACLE["bronze_incremental_tables"] = ORACLE["bronze_issues"]
+ORACLE["dim_users_incremental"] = ORACLE["dim_users"]
+
+ORACLE["landing_document_run"] = oracle_with("repos", "issues") + """
+, found AS (SELECT floor(repo_id / 5)::BIGINT AS p, count(*) AS items FROM repos WHERE stars >= 2000 GROUP BY p),
+pages AS (SELECT floor(issue_id / 50)::BIGINT AS p, count(*) AS n FROM issues GROUP BY p),
+files AS (
+  SELECT 'repositories_' || p AS name, 'repositories' AS feed, 0 AS bad, items FROM found
+  UNION ALL
+  SELECT CASE p % 10 WHEN 3 THEN 'issues_o_commits-tool-' WHEN 4 THEN 'issues_repo_details_repositories-'
+                     WHEN 5 THEN 'notes_issues_' ELSE 'issues_o_r' END || p,
+         CASE WHEN p % 10 = 5 THEN '' ELSE 'issues' END, (p % 10 = 7)::INTEGER,
+         CASE WHEN p % 10 IN (7, 9) THEN 0 ELSE n END
+  FROM pages)
+SELECT name || '_20240601_000000.json' AS file_name, feed, if(feed <> '', 1, NULL) AS documents,
+       if(feed <> '', bad, NULL) AS malformed, if(feed <> '', bad, NULL) AS without_timestamp,
+       if(feed <> '', bad, NULL) AS without_data, if(feed <> '', items, NULL) AS items
+FROM files
+UNION ALL
+SELECT NULL, feed, NULL, NULL, NULL, NULL, sum(items)::BIGINT FROM files WHERE feed <> '' GROUP BY feed
+"""
+
+_DRIFTED = oracle_with("details") + """
+, d AS (SELECT *, CAST(substr(repo_name, 4) AS BIGINT) AS n FROM details)
+"""
+ORACLE["landing_variant_scan"] = _DRIFTED + """
+SELECT repo_id, repo_name, private, stars, CAST(NULL AS BIGINT) AS size,
+       CASE WHEN n % 5 = 0 THEN '12 MB' END AS size_said, CASE WHEN n % 3 = 0 THEN 'public' END AS visibility
+FROM d
+"""
+# The API fields of a repository whose names or types differ from text columns.
+_API_NAMES = {"repo_id": "id", "repo_name": "name", "stars": "stargazers_count", "watchers": "watchers_count",
+              "forks": "forks_count", "open_issues": "open_issues_count", "owner_id": "owner.id",
+              "owner_login": "owner.login", "owner_type": "owner.type", "owner_url": "owner.html_url",
+              "license_name": "license.name", "license_key": "license.key"}
+_API_TYPES = {**dict.fromkeys(("repo_id", "stars", "watchers", "forks", "open_issues", "owner_id"), "BIGINT"),
+              **dict.fromkeys(("archived", "disabled", "private", "fork"), "BOOLEAN"), "topics": "ARRAY"}
+ORACLE["landing_schema_drift"] = _DRIFTED + "SELECT *, true AS has_example FROM (" + " UNION ALL ".join([
+    "SELECT 'visibility' AS path, 'STRING' AS type_seen, NULL AS type_wanted, count(*) FILTER (n % 3 = 0) AS records FROM d",
+    "SELECT 'size', 'STRING', 'BIGINT', count(*) FILTER (n % 5 = 0) FROM d",
+    "SELECT 'size', NULL, 'BIGINT', count(*) FILTER (n % 5 <> 0) FROM d",
+    *[f"SELECT '{_API_NAMES.get(c, c)}', NULL, '{_API_TYPES.get(c, 'STRING')}', count(*) - count({c}) FROM d"
+      for c in ["repo_id", *REPO_COLS] if c != "size"]]) + ") WHERE records > 0"
 
 ORACLE["dq_silver_nulls"] = f"""
 SELECT column_name, null_count, row_count FROM (

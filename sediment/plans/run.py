@@ -70,15 +70,20 @@ def build_silver(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_di
 
 
 def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mapping[str, str],
-                    silver: Mapping[str, str], layout: str = "document") -> DataFrame:
+                    silver: Mapping[str, str], layout: str = "document",
+                    landed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
     """``(layer, table_name, row_count, column_count)`` for landing feeds and written tables.
 
-    Landing rows are the number of landed records per feed, which costs one parse of the
-    feed's files; pass ``landing_dir=None`` to summarise only the written Parquet tables,
+    Landing rows are the number of landed records per feed: those that ``build_bronze`` observed
+    (``landed``), else one parse of the feed's files; pass ``landing_dir=None`` to summarise only the written Parquet tables,
     whose counts read no column.
     """
     parts = []
-    if landing_dir is not None:
+    if landed is not None:
+        parts.append(spark.createDataFrame(
+            [("landing", f, int(landed.get(f, {}).get("items", 0)), None) for f in FEEDS],
+            "layer string, table_name string, row_count bigint, column_count bigint"))
+    elif landing_dir is not None:
         parts.append(reduce(DataFrame.unionByName, [
             envelope_report(scan_feed(spark, landing_dir, f, layout), f)
             .select(F.lit("landing").alias("layer"), F.col("feed").alias("table_name"),

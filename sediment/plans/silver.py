@@ -15,7 +15,7 @@ from sediment.functions import rules as R
 from sediment.operators.identity import MAX_IDS, people
 from sediment.operators.joins import left_join_keys, fanout_left_join
 from sediment.operators.merge import merge_coalesce
-from sediment.operators.roles import role_aggregate, role_masks, role_union, with_roles
+from sediment.operators.roles import role_masks, role_union, with_roles
 from sediment.session import scratch_path
 from sediment.sources.tables import write_parquet
 
@@ -124,20 +124,25 @@ def dim_users(repos: DataFrame, commits: DataFrame, issues: DataFrame,
     The coarser grains name the smallest id with the login, type and URL of its first identity,
     and the smallest e-mail and name that are not blank, and count what they stand for.
     """
+    return dim_users_of(role_masks(role_union(repos, commits, issues)), loaded_at, grain, max_ids)
+
+
+def dim_users_of(identities: DataFrame, loaded_at: Column | None = None, grain: str = "identity",
+                 max_ids: int = MAX_IDS) -> DataFrame:
+    """``dim_users`` from identities with role masks (``role_masks``)."""
     if grain not in ("identity", "user", "person"):
         raise ValueError("grain must be 'identity', 'user' or 'person'")
-    union, d = role_union(repos, commits, issues), R.user_defaults()
+    d = R.user_defaults()
     rules = [d["user_email"].alias("user_email"), d["user_name"].alias("user_name"), "user_roles", "role_count",
              R.primary_role().alias("primary_role"), R.user_activity_level().alias("user_activity_level")]
     if grain == "identity":
-        return role_aggregate(union).select("user_id", "user_login", d["user_type"].alias("user_type"),
-                                            "user_html_url", *rules, _stamp(loaded_at))
+        return with_roles(identities).select("user_id", "user_login", d["user_type"].alias("user_type"),
+                                             "user_html_url", *rules, _stamp(loaded_at))
     # One row per identity: what a hot user brings to one key is bounded by its spellings.
-    identities = role_masks(union)
     person = F.col("user_id")
     if grain == "person":
-        path = write_parquet(identities, scratch_path(repos.sparkSession, "identities"))
-        identities = repos.sparkSession.read.parquet(path)
+        path = write_parquet(identities, scratch_path(identities.sparkSession, "identities"))
+        identities = identities.sparkSession.read.parquet(path)
         known = people(identities, max_ids).withColumnRenamed("user_id", "_id")
         identities = identities.join(known, F.col("user_id") == F.col("_id"), "left").drop("_id")
         person = F.coalesce("person_id", "user_id")

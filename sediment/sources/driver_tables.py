@@ -216,7 +216,8 @@ def issues(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 VARIED = {
     "repositories": {
         "description": "CASE WHEN repo_id % 13 = 1 THEN '   ' WHEN repo_id % 13 <> 2 THEN description END",
-        "language": "CASE WHEN language = 'C++' AND repo_id % 2 = 0 THEN 'C#' ELSE language END",
+        "language": ("CASE WHEN language = 'C++' AND repo_id % 2 = 0 THEN 'C#' "
+                     "WHEN language IS NULL AND repo_id % 3 = 0 THEN 'Java' ELSE language END"),
         "stars": "CASE WHEN repo_id % 19 <> 4 THEN stars END",
         "created_at": "CASE WHEN repo_id % 23 <> 6 THEN created_at END",
         "owner_type": "CASE WHEN repo_id % 5 = 0 THEN 'Organization' WHEN repo_id % 7 <> 3 THEN owner_type END",
@@ -247,6 +248,22 @@ VARIED = {
 }
 
 
+# A former state of some records, landed earlier: the newest landing must win over it.
+FORMER_TS = "2024-05-01T00:00:00"
+FORMER = {
+    "repositories": {"stars": "stars + 1", "owner_id": "owner_id + 3", "language": "'Cobol'"},
+    "repo_details": {"description": "'as it was'"},
+    "commits": {"message": "'as it was'", "committer_id": "committer_id + 5"},
+    "issues": {"title": "'as it was'", "assignee_id": "coalesce(assignee_id, 0) + 7", "state": "'open'"},
+}
+
+
+def former(df: DataFrame, feed: str, key: str) -> DataFrame:
+    """Every third record as it was."""
+    return df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(3)) == 0)).withColumns(
+        {c: F.expr(e).cast(df.schema[c].dataType) for c, e in FORMER[feed].items()})
+
+
 def varied(df: DataFrame, feed: str) -> DataFrame:
     return df.withColumns({c: F.expr(e).cast(df.schema[c].dataType) for c, e in VARIED[feed].items()})
 

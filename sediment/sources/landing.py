@@ -15,13 +15,18 @@ is not JSON keeps its text in ``_corrupt_record`` and is reported instead of bei
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sediment.schemas import FEEDS, envelope
+from sediment.schemas import FEED_PAYLOAD, FEEDS, envelope
+from sediment.session import drop_path
 
 # Feed names are anchored file-name prefixes, tested in this order.
 ROUTE_PATTERN = r"^(repositories|repo_details|commits|issues)_"
@@ -170,12 +175,17 @@ def envelope_report(docs: DataFrame, feed: str, by_file: bool = False) -> DataFr
     ``without_timestamp`` / ``without_data``: the envelope lacks a part (wrong envelope).
     One pass over the documents; every file is counted, none is sampled.
     """
+    by = ["source_file"] if by_file else []
+    return docs.groupBy(*by).agg(*landing_counts(feed)).select(F.lit(feed).alias("feed"), "*")
+
+
+def landing_counts(feed: str) -> list[Column]:
+    """The aggregates of ``envelope_report``, over scanned documents."""
     # Explicit NULL guards: ``size(NULL)`` is -1 or NULL depending on the session's settings.
     payload = F.col("data") if feed == "repo_details" else F.col(f"data.{feed}")
     count = F.lit(1) if feed == "repo_details" else F.size(payload)
     items = F.when(F.col("data").isNull() | payload.isNull(), F.lit(0)).otherwise(count)
-    by = ["source_file"] if by_file else []
-    return docs.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("documents"),
         F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"),
         F.count_if(F.col("_corrupt_record").isNotNull()
@@ -184,7 +194,138 @@ def envelope_report(docs: DataFrame, feed: str, by_file: bool = False) -> DataFr
         F.count_if(F.col("ingestion_timestamp").isNull()).alias("without_timestamp"),
         F.count_if(F.col("data").isNull()).alias("without_data"),
         F.coalesce(F.sum(items), F.lit(0)).cast("bigint").alias("items"),
-    ).select(F.lit(feed).alias("feed"), "*")
+    ]
+
+
+def write_documents(docs: DataFrame, landing_dir: str) -> int:
+    """Land documents under their own file names: ``(file_name, value)``, one row per file.
+
+    A task writes each document into a hidden folder of the landing zone, under a name that holds
+    its file name; once all are complete, each is renamed into place by the file system, so a
+    reader sees whole documents only.  A name that is there already is replaced.  The driver renames
+    one file per document: an API run lands one document per page.  Returns their number.
+    """
+    spark = docs.sparkSession
+    base, tag = landing_dir.rstrip("/"), f".landing-{uuid.uuid4().hex[:12]}"
+    (docs.select("file_name", "value").repartition("file_name").write.partitionBy("file_name")
+     .option("lineSep", "\n").text(f"{base}/{tag}"))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = 0
+    for folder in fs.listStatus(path(f"{base}/{tag}")):
+        own = folder.getPath().getName()
+        if not own.startswith("file_name="):
+            continue
+        parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        name = unquote(own.removeprefix("file_name="))
+        if len(parts) != 1 or "/" in name:
+            raise ValueError(f"{name!r} names more than one document")
+        fs.delete(path(f"{base}/{name}"), False)
+        if not fs.rename(parts[0], path(f"{base}/{name}")):
+            raise OSError(f"could not land {name}")
+        n += 1
+    drop_path(spark, f"{base}/{tag}")
+    return n
+
+
+def file_report(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Per landing file of the ``document`` layout: the feed that its name routes it to (``''`` for
+    an unknown name, whose file no feed reads) and ``envelope_report`` of it."""
+    reports = [envelope_report(scan_feed(spark, landing_dir, f), f, by_file=True) for f in FEEDS]
+    read = reduce(DataFrame.unionByName, reports)
+    files = list_landing(spark, landing_dir).select("file_name", F.col("feed").alias("routed"))
+    found = files.join(read, (files["file_name"] == read["source_file"]) & (files["routed"] == read["feed"]), "left")
+    return found.select("file_name", F.col("routed").alias("feed"), "documents", "malformed", "without_timestamp",
+                        "without_data", "items")
+
+
+# --- drift-tolerant scan ------------------------------------------------------------------------
+def scan_variant(spark: SparkSession, landing_dir: str, feed: str, layout: str = "document") -> DataFrame:
+    """All landing documents of one feed as ``(source_file, doc VARIANT)``: no field is lost and no
+    type forced; ``doc`` is NULL for a document that is not JSON."""
+    if feed not in FEEDS:
+        raise ValueError(f"unknown feed {feed!r}")
+    if layout == "document":
+        reader, path = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+                        .option("pathGlobFilter", f"{feed}_*.json")), landing_dir
+    elif layout == "lines":
+        reader, path = spark.read, f"{landing_dir.rstrip('/')}/feed={feed}"
+    else:
+        raise ValueError("layout must be 'document' or 'lines'")
+    return reader.text(path).select(F.col("_metadata.file_name").alias("source_file"),
+                                    F.try_parse_json("value").alias("doc"))
+
+
+def variant_records(docs: DataFrame, feed: str) -> DataFrame:
+    """One row per landed record: ``source_file`` and the record as ``rec`` VARIANT."""
+    if feed == "repo_details":
+        out = docs.select("source_file", F.try_variant_get("doc", "$.data", "variant").alias("rec"))
+    else:
+        found = docs.select("source_file", F.try_variant_get("doc", f"$.data.{feed}", "variant").alias("items"))
+        found.createOrReplaceTempView(view := f"variant_{uuid.uuid4().hex[:12]}")
+        out = docs.sparkSession.sql(f"SELECT source_file, r.value AS rec FROM {view}, "
+                                    f"LATERAL variant_explode_outer(items) AS r")
+        out.schema  # resolved, so the name is free again
+        docs.sparkSession.catalog.dropTempView(view)
+    return out.where(F.col("rec").isNotNull())
+
+
+def _paths(kind: T.DataType, at: str = "") -> dict[str, str]:
+    """Path to wanted type of every field below a record type."""
+    names = {T.LongType: "BIGINT", T.StringType: "STRING", T.BooleanType: "BOOLEAN", T.ArrayType: "ARRAY"}
+    out = {}
+    for f in kind.fields:
+        path = f"{at}{f.name}"
+        if isinstance(f.dataType, T.StructType):
+            out[path] = "OBJECT"
+            out |= _paths(f.dataType, f"{path}.")
+        else:
+            out[path] = names[type(f.dataType)]
+    return out
+
+
+def schema_drift(records: DataFrame, feed: str) -> DataFrame:
+    """What landed records hold besides or instead of the feed's schema, and what they lack:
+    ``(path, type_seen, type_wanted, records, example_file)``.
+
+    ``type_seen`` is NULL for a wanted field that is absent where its object is present, ``type_wanted``
+    for a field that the schema does not know.  JSON null fits every type, and every value is
+    readable as STRING (as its text).  Records are first folded by their whole shape
+    (``schema_of_variant``), map side first; only one record of each shape is taken apart.
+    """
+    spark = records.sparkSession
+    payload = FEED_PAYLOAD[feed]
+    wanted = _paths(payload if feed == "repo_details" else payload[feed].dataType.elementType)
+    depth = max(p.count(".") for p in wanted) + 1
+    shapes = records.groupBy(F.schema_of_variant("rec").alias("shape")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("source_file").alias("file"),
+        F.first(F.col("rec").cast("string")).alias("text"))
+    level = shapes.select("shape", "records", "file", F.lit("").alias("path"), F.parse_json("text").alias("value"))
+    seen = level.select("shape", "records", "file", "path", F.lit("OBJECT").alias("seen"))
+    for _ in range(depth):
+        objects = level.where(F.schema_of_variant("value").startswith("OBJECT"))
+        objects.createOrReplaceTempView(view := f"variant_{uuid.uuid4().hex[:12]}")
+        level = spark.sql(f"SELECT shape, records, file, concat_ws('.', nullif(path, ''), f.key) AS path, f.value "
+                          f"FROM {view}, LATERAL variant_explode(value) AS f")
+        level.schema
+        spark.catalog.dropTempView(view)
+        kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+        seen = seen.unionByName(level.select("shape", "records", "file", "path", kind.alias("seen")))
+    known = spark.createDataFrame([(p, t, p.rpartition(".")[0]) for p, t in wanted.items()],
+                                  "path string, wanted string, parent string")  # as many rows as fields
+    odd = seen.where("path != ''").join(F.broadcast(known.drop("parent")), "path", "left")
+    # Below a field that the schema does not take apart, or does not know, nothing is named.
+    objects = ["", *[p for p, t in wanted.items() if t == "OBJECT"]]
+    odd = odd.where(F.regexp_extract("path", r"^(.*)\.[^.]*$", 1).isin(objects)).where(
+        "(wanted IS NULL) OR (seen NOT IN ('VOID', wanted) AND wanted != 'STRING')")
+    holders = seen.where("seen = 'OBJECT'").withColumnRenamed("path", "parent").drop("seen")
+    lacking = (holders.join(F.broadcast(known), "parent")
+               .join(seen.select("shape", "path").distinct(), ["shape", "path"], "left_anti")
+               .select("path", F.lit(None).cast("string").alias("seen"), "wanted", "records", "file"))
+    both = odd.select("path", "seen", "wanted", "records", "file").unionByName(lacking)
+    return both.groupBy("path", F.col("seen").alias("type_seen"), F.col("wanted").alias("type_wanted")).agg(
+        F.sum("records").alias("records"), F.min("file").alias("example_file"))
 
 
 def reland_as_lines(spark: SparkSession, landing_dir: str, out_dir: str, feed: str,

@@ -33,7 +33,8 @@ def landing_stream(spark: SparkSession, landing_dir: str, feed: str, layout: str
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if layout == "document":
-        reader = reader.option("multiLine", "true").option("pathGlobFilter", f"{feed}_*.json")
+        reader = (reader.option("multiLine", "true").option("pathGlobFilter", f"{feed}_*.json")
+                  .option("recursiveFileLookup", "true"))  # as scan_feed does
         path = landing_dir
     elif layout == "lines":
         path = f"{landing_dir.rstrip('/')}/feed={feed}"
