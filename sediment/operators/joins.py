@@ -8,8 +8,8 @@ may still broadcast it, and its skew handling splits oversized partitions of the
 streamed, left side).
 
 ``fanout_left_join`` covers the case AQE cannot split in a left join: a hot key on the
-*dimension* side (one owner holding a third of all repositories).  It is rewritten as an inner
-join (splittable on both sides) plus an anti join for the unmatched rows, optionally salted.
+*dimension* side (one owner holding a third of all repositories).  Hot keys are measured, and only
+their rows are dealt over several join keys; the fact is read once.
 """
 
 from __future__ import annotations
@@ -86,35 +86,57 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                          *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()])
 
 
+#: Rows of one dimension key that one task may meet.
+HOT_ROWS = 10_000
+#: At most so many keys hold more than a thousandth of all rows each; twice as many are looked at.
+_HOT_SHARE, _CANDIDATES, _TRACKED = 1000, 2000, 10_000
+
+
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """``(key, n)``: keys that hold more than ``rows`` rows, and more than a thousandth of all.
+
+    Candidates come from a mergeable frequent-items sketch (``approx_top_k``: one small state per
+    task, and its error, under a four-thousandth of the rows, cannot hide such a key among
+    2,000); their rows are then counted exactly.  At most 1,000 keys result.
+    """
+    keys = df.select(F.col(key).alias("k")).where("k IS NOT NULL")
+    found = keys.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {_CANDIDATES}, {_TRACKED})").alias("top")).first()
+    least = max(rows, found["n"] // _HOT_SHARE)
+    likely = [t["item"] for t in found["top"] or [] if t["count"] > least]
+    counted = keys.where(F.col("k").isin(likely)) if likely else keys.limit(0)
+    return counted.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+
+
 def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                     right_cols: Sequence[str] | dict, salt_buckets: int = 1) -> DataFrame:
+                     right_cols: Sequence[str] | dict, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Same result as ``left_join_keys`` on one key, robust to a hot key on the right side.
 
-    Matched pairs come from an *inner* join, for which AQE can split a skewed partition on
-    either side (for a left outer join it can only split the left).  Left rows without any
-    partner come from an anti join against the distinct right keys (one row per key after the
-    map-side partial aggregation); that key set is small, so AQE normally broadcasts it and
-    the anti join reads the left side a second time without shuffling it.
-
-    With ``salt_buckets > 1`` the hot key is also spread explicitly: each right row carries a
-    salt fixed by a hash of its content (deterministic, so a recomputed task after an executor
-    loss salts identically) and each left row is replicated to every salt.
+    One left join on (key, deal).  The right rows of a hot key (``hot_keys``) are dealt by a hash of
+    their content, ``hot_rows`` to a deal or so, and the left rows of that key, which is told by a
+    broadcast of at most 1,000 keys, are replicated to all its deals; a replica that meets none is
+    dropped, as its row has a partner in another deal.  All other rows are shuffled once, as in a
+    plain join; left rows without a key are dealt by a hash.  Hashes are deterministic, so a task
+    repeated after the loss of an executor deals alike.
     """
     if not isinstance(right_cols, dict):
         right_cols = {c: c for c in right_cols}
+    hot = [(r["k"], -(-r["n"] // max(1, hot_rows))) for r in hot_keys(right, right_key, hot_rows).collect()]
+    kind = right.schema[right_key].dataType.simpleString()
+    deals = left.sparkSession.createDataFrame(hot, f"_hk {kind}, _deals bigint")
     r = right.select(F.col(right_key).alias("_rk0"),
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
-    l = left
-    cond = l[left_key] == r["_rk0"]
-    if salt_buckets > 1:
-        r = r.withColumn("_salt", F.pmod(F.xxhash64(*r.columns), F.lit(salt_buckets)).cast("int"))
-        l = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        cond = (l[left_key] == r["_rk0"]) & (l["_salt"] == r["_salt"])
-    matched = (l.join(r, cond, "inner")
-               .select(*[l[c] for c in left.columns],
-                       *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()]))
-    keys = right.select(F.col(right_key).alias("_rk0")).where(F.col("_rk0").isNotNull()).distinct()
-    lonely = left.join(keys, left[left_key] == keys["_rk0"], "left_anti")
-    for src, dst in right_cols.items():
-        lonely = lonely.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
-    return matched.unionByName(lonely)
+    spread = next((c for c in left.columns if c != left_key), left_key)
+    none = F.array(F.when(F.col(left_key).isNull(), F.xxhash64(spread)).otherwise(F.lit(0).cast("bigint")))
+    if hot:
+        known = F.broadcast(deals)
+        r = r.join(known, r["_rk0"] == known["_hk"], "left").withColumn("_deal", F.coalesce(
+            F.pmod(F.xxhash64(*r.columns), F.col("_deals")), F.lit(0).cast("bigint"))).drop("_hk", "_deals")
+        l = left.join(known, left[left_key] == known["_hk"], "left").withColumn("_deal", F.explode(
+            F.when(F.col("_deals").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.col("_deals") - 1)).otherwise(none)))
+    else:
+        r = r.withColumn("_deal", F.lit(0).cast("bigint"))
+        l = left.withColumns({"_deal": none[0], "_deals": F.lit(None).cast("bigint")})
+    r = r.withColumn("_hit", F.lit(True))
+    joined = l.join(r, (l[left_key] == r["_rk0"]) & (l["_deal"] == r["_deal"]), "left")
+    return joined.where("_deals IS NULL OR _hit").select(
+        *[l[c] for c in left.columns], *[F.col(f"_rc_{dst}").alias(dst) for dst in right_cols.values()])

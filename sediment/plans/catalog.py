@@ -33,7 +33,7 @@ from sediment.sources.landing import (envelope_report, feed_records, file_report
                                       scan_feed, scan_variant, schema_drift, variant_records,
                                       write_documents, write_envelopes)
 from sediment.sources.tables import (catalog_summary, ensure_schema, save_table, table_summary,
-                                     write_parquet)
+                                     write_clustered, write_parquet)
 
 # Language and document id in a page URL such as ``https://host/en/25#top``.
 PAGE_URL_PATTERN = r"/([a-z]{2})/([0-9]+)"
@@ -605,6 +605,17 @@ def q_bronze_incremental(spark, sf):
     return _no_stamps(current_bronze(spark, log_dir, "issues"))
 
 
+@register("bronze_point_read")
+def q_bronze_point_read(spark, sf):
+    """A hundred issues by id from a table clustered for point reads."""
+    issues = dt.bronze_inputs(spark, sf)["issues"]
+    path = write_clustered(issues, scratch_path(spark, "clustered"), "issue_id")
+    table = spark.read.parquet(path)
+    wanted = top_k(table.select("issue_id").where("issue_id % 11 = 3"), 100, ["issue_id"])
+    ids = [r[0] for r in wanted.collect()]  # a hundred
+    return table.where(F.col("issue_id").isin(ids)).select("issue_id", "title", "state", "user_login")
+
+
 def _two_days(spark, sf, feeds) -> str:
     """The work folder of two daily runs over ``feeds``: the second one replaces a third of the
     records and adds the others."""

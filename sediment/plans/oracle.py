@@ -489,6 +489,10 @@ ORACLE["bronze_incremental"] = ORACLE["bronze_issues"]
 ORACLE["bronze_incremental_tables"] = ORACLE["bronze_issues"]
 ORACLE["dim_users_incremental"] = ORACLE["dim_users"]
 
+ORACLE["bronze_point_read"] = oracle_with("issues") + """
+SELECT issue_id, title, state, user_login FROM issues WHERE issue_id % 11 = 3 ORDER BY issue_id LIMIT 100
+"""
+
 ORACLE["landing_document_run"] = oracle_with("repos", "issues") + """
 , found AS (SELECT floor(repo_id / 5)::BIGINT AS p, count(*) AS items FROM repos WHERE stars >= 2000 GROUP BY p),
 pages AS (SELECT floor(issue_id / 50)::BIGINT AS p, count(*) AS n FROM issues GROUP BY p),

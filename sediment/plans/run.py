@@ -20,7 +20,7 @@ from sediment.plans.silver import (BUILDERS, dim_repo_permissions_from_merge,
 from sediment.schemas import BRONZE_TABLES, FEEDS, SILVER_TABLES
 from sediment.session import drop_path, path_exists, scratch_path
 from sediment.sources.landing import list_landing, scan_feed, envelope_report
-from sediment.sources.tables import ensure_schema, save_table, table_summary, write_parquet
+from sediment.sources.tables import ensure_schema, footer_summary, save_table, write_parquet
 
 MERGED = {"dim_repositories": dim_repositories_from_merge,
           "dim_repo_permissions": dim_repo_permissions_from_merge}
@@ -76,7 +76,7 @@ def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mappin
 
     Landing rows are the number of landed records per feed: those that ``build_bronze`` observed
     (``landed``), else one parse of the feed's files; pass ``landing_dir=None`` to summarise only the written Parquet tables,
-    whose counts read no column.
+    whose counts come from their footers.
     """
     parts = []
     if landed is not None:
@@ -92,7 +92,7 @@ def layered_summary(spark: SparkSession, landing_dir: str | None, bronze: Mappin
             for f in FEEDS]))
     for layer, paths in (("bronze", bronze), ("silver", silver)):
         if paths:
-            s = table_summary({t: spark.read.parquet(p) for t, p in paths.items()})
+            s = footer_summary(spark, paths)
             parts.append(s.select(F.lit(layer).alias("layer"), "table_name", "row_count",
                                   "column_count"))
     if not parts:

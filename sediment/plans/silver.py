@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sediment.functions import rules as R
 from sediment.operators.identity import MAX_IDS, people
-from sediment.operators.joins import left_join_keys, fanout_left_join
+from sediment.operators.joins import HOT_ROWS, fanout_left_join, left_join_keys
 from sediment.operators.merge import merge_coalesce
 from sediment.operators.roles import role_masks, role_union, with_roles
 from sediment.session import scratch_path
@@ -235,20 +235,20 @@ PR_REPO_COLUMNS = {"repo_id": "repo_id", "repo_name": "repo_name", "full_name":
 
 
 def fact_pull_requests(issues: DataFrame, repos: DataFrame, repo_by: str = "owner",
-                       salt_buckets: int = 1, loaded_at: Column | None = None) -> DataFrame:
+                       hot_rows: int = HOT_ROWS, loaded_at: Column | None = None) -> DataFrame:
     """Pull requests (issues with a ``pull_request`` object) with repository columns.
 
     ``repo_by="owner"`` is the stated rule: every repository *owned by the author* is
     attached, so a pull request fans out to one row per owned repository (and keeps one row
-    with NULLs when the author owns none).  Because one owner may hold a large share of all
-    repositories, the join is split into an inner join (skew-splittable on both sides) and an
-    anti join for authors owning nothing; ``salt_buckets > 1`` adds an explicit salt.  ``repo_by="url"`` attaches the
-    repository named by the pull request's URL instead.
+    with NULLs when the author owns none).  One owner may hold a large share of all repositories:
+    owners with more than ``hot_rows`` of them are measured, and only theirs are dealt over
+    several tasks.  ``repo_by="url"`` attaches the repository named by the pull request's URL
+    instead.
     """
     prs = issues.where(F.col("pull_request").isNotNull()).withColumnsRenamed(PR_RENAMES)
     if repo_by == "owner":
         joined = fanout_left_join(prs, repos, "author_id", "owner_id", PR_REPO_COLUMNS,
-                                  salt_buckets=salt_buckets)
+                                  hot_rows=hot_rows)
     elif repo_by == "url":
         joined = left_join_keys(with_url_repo(prs), repos, ["_url_owner", "_url_repo"],
                                 ["owner_login", "repo_name"], PR_REPO_COLUMNS)

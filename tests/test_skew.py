@@ -5,7 +5,7 @@ stay exact."""
 import pytest
 from pyspark.sql import functions as F
 
-from sediment.operators.joins import fanout_left_join, left_join_keys
+from sediment.operators.joins import fanout_left_join, hot_keys, left_join_keys
 
 SKEW_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -59,9 +59,17 @@ def test_hot_dimension_key_is_split_in_fanout(skew_conf, capsys):
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500).alias("owner_id"),
         F.col("id").alias("repo_id"), F.repeat(F.lit("y"), 20).alias("pad"))
     prs = spark.range(600).select((F.col("id") % 700).alias("author_id"), F.col("id").alias("pr"))
-    out = fanout_left_join(prs, repos, "author_id", "owner_id", ["repo_id"])
-    plan = final_plan(out, capsys)
-    assert "skew=true" in plan
+    prs = prs.unionByName(spark.range(600, 900).select(F.lit(None).cast("bigint").alias("author_id"),
+                                                       F.col("id").alias("pr")))
+    assert [tuple(r) for r in hot_keys(repos, "owner_id", 100).collect()] == [(1, 3012)]
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")  # it is split without that
+    out = fanout_left_join(prs, repos, "author_id", "owner_id", ["repo_id"], hot_rows=200)
+    per_task = out.where("author_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 5 and max(r["count"] for r in per_task) < 1000
+    nulls = out.where("author_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(nulls) > 1
+    plan = final_plan(out, capsys).split("== Initial Plan ==")[0]
+    assert plan.count("Range (0, 600") == 1 and plan.count("SortMergeJoin") == 1  # the fact is read once
     expected = left_join_keys(prs, repos, ["author_id"], ["owner_id"], ["repo_id"])
     assert out.count() == expected.count()
     assert out.exceptAll(expected).count() == 0
