@@ -84,19 +84,20 @@ def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     (``PushedAggregation``).
 
     The settings it needs are those of a session of its own, which shares nothing but the context.
+    A table whose files hold no row counts NULL there.
     """
     own = spark.newSession()
     for k, v in FOOTER_CONF.items():
         own.conf.set(k, v)
     parts = [own.read.parquet(p).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(name).alias("table_name"), F.coalesce("n", F.lit(0)).alias("row_count"))
+             .select(F.lit(name).alias("table_name"), F.col("n").alias("row_count"))
              for name, p in paths.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
 def footer_summary(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """``table_summary`` of Parquet tables by path, from their footers (one row per table)."""
-    rows = [(r["table_name"], r["row_count"], len(spark.read.parquet(paths[r["table_name"]]).columns))
+    rows = [(r["table_name"], r["row_count"] or 0, len(spark.read.parquet(paths[r["table_name"]]).columns))
             for r in footer_counts(spark, paths).collect()]
     return spark.createDataFrame(rows, "table_name string, row_count bigint, column_count bigint")
 
