@@ -7,7 +7,9 @@ each shard holds its proportional share of every source, give or take one row.
 
 All native: the shuffle order is an md5 digest, whose leading digits deal a source's rows into
 equal buckets; ranks are bucket-local row numbers plus the counts of lower buckets.  A source
-that holds a third of all rows is ranked in as many tasks as it has buckets.
+that holds a third of all rows is ranked in as many tasks as it has buckets.  Fractional ranks
+that very many rows share (1/2, if most sources have one row) are measured, at most a thousand
+of them, and their rows are dealt into buckets of their own by the digest.
 
 Defined cases: a null source is a stratum of its own; null texts count 0 bytes; null ids are
 shuffled as the empty id; rows that repeat in id, size and text are interchangeable; an empty
@@ -20,10 +22,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import bucket_count, stratified_rank
+from sediment.llm.common import bucket_count, stratified_rank, written
 
 ROW_BYTES = 16
 DIGITS = 7
+SHARED_ROWS = 10_000
 OUTPUT = ("size", "text_crc32", "stratum", "shard", "slot")
 
 
@@ -49,7 +52,17 @@ def interleave(docs: DataFrame, shards: int, seed: str = "mix", source: str = "s
     sizes = rows.groupBy(F.col("stratum").alias("__s")).agg(F.count(F.lit(1)).alias("__of"))
     ranked = ranked.join(sizes, F.col("stratum").eqNullSafe(F.col("__s"))).withColumn(
         "__f", (F.col("__rank") * 2 - 1) / (F.col("__of") * 2))
-    placed = stratified_rank(ranked, [], F.floor(F.col("__f") * n), [F.col("__f"), *tie], "__pos")
+    ranked = written(ranked, "shard-ranks")
+    least = max(SHARED_ROWS, total // 1000)
+    shared = ranked.groupBy("__f").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    shared = sorted(r["__f"] for r in shared.select("__f").collect())  # fewer than a thousand
+    place = F.floor(F.col("__f") * n)
+    if shared:
+        hot, own = F.array(*map(F.lit, shared)), F.col("__f").isin(shared)
+        below = F.size(F.filter(hot, lambda x: x < F.col("__f"))) * 2 + own.cast("int")
+        place = F.struct(place.alias("a"), below.alias("b"),
+                         F.when(own, F.floor(digest * n / F.lit(16 ** DIGITS))).otherwise(0).alias("c"))
+    placed = stratified_rank(ranked, [], place, [F.col("__f"), *tie], "__pos")
     at = F.col("__pos") - 1
     # Integer arithmetic: position p lies in the shard s with s * total <= p * shards.
     shard = F.expr(f"cast((__pos - 1) * {shards} div {max(total, 1)} as int)")

@@ -1,15 +1,17 @@
 """Exact top-k inner-product search with KD-trees per shard.
 
-Vectors are dealt into shards by a hash of their id.  Each shard builds a KD-tree: nodes are
-split at the median of their widest dimension, and every node has the tight box of its vectors.
+Vectors are dealt into shards by their place in the table.  Each shard builds a KD-tree once,
+which is stored with the vectors in its order: nodes are split at the median of their widest
+dimension, and every node has the tight box of its vectors.
 The largest inner product a query can have inside a box takes, per dimension, the better end of
 the box; with the query's positive and negative parts that bound is two dot products.
 
 Queries come in blocks.  A traversal is best-first: per query the open node with the highest
 bound is next, and a node whose bound is below the query's k-th score so far is never opened.
-First every block is searched in one shard; the k-th scores found there go with the block into
-all other shards, where they prune from the start.  Per query, shards return only scores that can
-still be among the best k, and the final k are taken by window.
+Every block is searched in one shard first, then in rounds of four times as many shards as so far;
+the k-th scores found so far go with the block into the next round, where they prune from the
+start.  Per query, a shard returns only scores that can still be among the best k, and after
+every round the best k are taken by window, so what is kept does not grow with the shards.
 
 The queries are a stated set (ids divisible by ``every``) and meet the rows in blocks: one pair
 of a query block and a shard is one unit of work, paired by an equi-join on the shard.
@@ -30,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import small_batches, written
+from sediment.llm.common import discard, small_batches, with_places, written
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 1024
 LEAF_ROWS = 64
+ROUND_GROWTH = 4
 PACKED = "dim int, shard int, n long, ids binary, vectors binary"
+STORED = PACKED + ", tree binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -71,45 +75,74 @@ def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarra
     return own, np.frombuffer(vectors, kind).astype(np.float64).reshape(-1, dim)
 
 
+def _store(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """A packed shard in the order of its tree, with the tree."""
+    own = _pack(key, t)
+    ids, points = _unpack(own.column("ids")[0].as_py(), own.column("vectors")[0].as_py(), key[0].as_py())
+    tree = KdTree.build(points)
+    placed = points[tree.order]
+    kind = "<f4" if _small(placed) else "<f8"
+    return pa.table({**{c: own.column(c) for c in ("dim", "shard", "n")},
+                     "ids": [ids[tree.order].tobytes()], "vectors": [placed.astype(kind).tobytes()],
+                     "tree": [tree.dump()]})
+
+
 class KdTree:
-    """Median splits; ``low``/``high`` are the tight boxes; leaves are runs of ``order``."""
+    """Median splits; ``low``/``high`` are the tight boxes; leaves are runs of the tree's order;
+    ``child`` holds the two children of a node, or -1."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, child: np.ndarray, span: np.ndarray,
+                 order: np.ndarray | None = None):
+        self.low, self.high, self.child, self.span, self.order = low, high, child, span, order
+
+    @classmethod
+    def build(cls, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> KdTree:
+        order = np.arange(len(points))
+        low, high, child, span = [], [], [], []
+
+        def split(a: int, b: int) -> int:
+            node, own = len(span), points[order[a:b]]
+            low.append(own.min(axis=0))
+            high.append(own.max(axis=0))
+            span.append((a, b))
+            child.append((-1, -1))
+            wide = int(np.argmax(high[node] - low[node]))
+            if b - a > leaf_rows and high[node][wide] > low[node][wide]:
+                mid = (b - a) // 2
+                order[a:b] = order[a:b][np.argpartition(own[:, wide], mid, kind="introselect")]
+                child[node] = (split(a, a + mid), split(a + mid, b))
+            return node
 
-    def __init__(self, points: np.ndarray):
-        self.order = np.arange(len(points))
-        self.low, self.high, self.child, self.span = [], [], [], []
         if len(points):
-            self._split(points, 0, len(points))
-        self.low, self.high = np.array(self.low), np.array(self.high)
-
-    def _split(self, points: np.ndarray, a: int, b: int) -> int:
-        node, own = len(self.span), points[self.order[a:b]]
-        low, high = own.min(axis=0), own.max(axis=0)
-        self.low.append(low)
-        self.high.append(high)
-        self.span.append((a, b))
-        self.child.append(None)
-        wide = int(np.argmax(high - low))
-        if b - a > LEAF_ROWS and high[wide] > low[wide]:
-            mid = (b - a) // 2
-            self.order[a:b] = self.order[a:b][np.argpartition(own[:, wide], mid, kind="introselect")]
-            self.child[node] = (self._split(points, a, a + mid), self._split(points, a + mid, b))
-        return node
+            split(0, len(points))
+        d = points.shape[1]
+        return cls(np.array(low).reshape(-1, d), np.array(high).reshape(-1, d),
+                   np.array(child, np.int32).reshape(-1, 2), np.array(span, np.int32).reshape(-1, 2), order)
+
+    def dump(self) -> bytes:
+        return b"".join((np.int64(len(self.span)).tobytes(), self.child.astype("<i4").tobytes(),
+                         self.span.astype("<i4").tobytes(), self.low.astype("<f8").tobytes(),
+                         self.high.astype("<f8").tobytes()))
+
+    @classmethod
+    def load(cls, data: bytes, dim: int) -> KdTree:
+        n = int(np.frombuffer(data, "<i8", 1)[0])
+        links = np.frombuffer(data, "<i4", 4 * n, 8).reshape(2, n, 2)
+        boxes = np.frombuffer(data, "<f8", 2 * n * dim, 8 + 16 * n).reshape(2, n, dim)
+        return cls(boxes[0], boxes[1], links[0], links[1])
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The highest inner product each query can have in each node's box."""
         return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
 
 
-def search(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
-           floor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each query: (query id, ids, scores) of the points that can be among its best k, given
-    that ``floor`` (its k-th score elsewhere) is already reached."""
-    tree = KdTree(points)
+def search(tree: KdTree, ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
+           k: int, floor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each query: (query id, ids, scores) of the points (in the tree's order) that can be among
+    its best k, given that ``floor`` (its k-th score elsewhere) is already reached."""
     if not len(points):
         return
-    bounds = tree.bounds(queries)
-    placed = np.ascontiguousarray(points[tree.order])
-    place_ids = ids[tree.order]
+    bounds, children, spans = tree.bounds(queries), tree.child.tolist(), tree.span.tolist()
     for q in range(len(queries)):
         bound, kth = bounds[q], floor[q]
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
@@ -120,18 +153,18 @@ def search(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries:
             top, node = heapq.heappop(heap)
             if -top < kth:
                 break
-            child = tree.child[node]
-            if child:
+            child = children[node]
+            if child[0] >= 0:
                 for c in child:
                     if bound[c] >= kth:
                         heapq.heappush(heap, (-bound[c], c))
                 continue
-            a, b = tree.span[node]
-            score = placed[a:b] @ queries[q]
-            pick = np.flatnonzero((score >= kth) & (place_ids[a:b] != query_ids[q]))
+            a, b = spans[node]
+            score = points[a:b] @ queries[q]
+            pick = np.flatnonzero((score >= kth) & (ids[a:b] != query_ids[q]))
             if len(pick):
                 best = np.concatenate((best, score[pick]))
-                best_ids = np.concatenate((best_ids, place_ids[a:b][pick]))
+                best_ids = np.concatenate((best_ids, ids[a:b][pick]))
                 if len(best) > k:
                     keep = np.lexsort((best_ids, -best))[:k]
                     best, best_ids = best[keep], best_ids[keep]
@@ -148,12 +181,13 @@ def _search(k: int):
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 ids, points = _unpack(row["ids"], row["vectors"], row["dim"])
                 query_ids, queries = _unpack(row["q_ids"], row["q_vectors"], row["dim"])
+                tree = KdTree.load(row["tree"], row["dim"])
                 floor = np.full(len(query_ids), -np.inf)
                 if row["floors"] is not None:
                     for i, x in zip(*(np.frombuffer(row["floors"], "<i8").reshape(2, -1)), strict=True):
                         floor[query_ids == i] = x
                 out = [(np.full(len(i), q), i, s) for q, i, s in
-                       search(ids, points, query_ids, queries, k, floor)]
+                       search(tree, ids, points, query_ids, queries, k, floor)]
                 if out:
                     q, i, s = (np.concatenate(x) for x in zip(*out, strict=True))
                     yield pa.RecordBatch.from_arrays(
@@ -183,30 +217,38 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     per = rows.count()
     shards = max(1, -(-per // SHARD_ROWS))
     blocks = max(1, -(-per // (every * BLOCK_ROWS)))
-
-    def packed(df: DataFrame, parts: int) -> DataFrame:
-        return (df.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
-                .groupBy("dim", "shard").applyInArrow(_pack, PACKED))
-
-    store = written(packed(rows, shards), "kd-shards")
-    asked = packed(rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "dim", "v"]), blocks)
+    # A place, not the id, names the shard: an id may stand in very many rows.
+    dealt = with_places(rows).withColumn("shard", F.pmod(F.xxhash64("__file", "__row"), F.lit(shards)).cast("int"))
+    store = written(dealt.groupBy("dim", "shard").applyInArrow(_store, STORED), "kd-shards").drop("n")
+    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "dim", "v"])
+    asked = asked.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
+    asked = asked.groupBy("dim", "shard").applyInArrow(_pack, PACKED)
     asked = written(asked.select("dim", F.col("shard").alias("block"), F.col("ids").alias("q_ids"),
                                  F.col("vectors").alias("q_vectors")), "kd-queries")
-    none = F.lit(None).cast("binary").alias("floors")
-    home = F.pmod("block", F.lit(shards)).cast("int").alias("shard")
-    first = (asked.select("*", home, none).join(store.drop("n"), ["dim", "shard"])
-             .select("dim", "block", "shard", "ids", "vectors", "q_ids", "q_vectors", "floors"))
-    seed = first.mapInArrow(_tagged(_search(k)), "dim int, block int, " + FOUND)
-    floors = written(seed.groupBy("dim", "block").applyInArrow(_floors(k), "dim int, block int, floors binary"),
-                     "kd-floors")
-    # Every block visits every shard of its dimension; one row per pair.
-    visits = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(
-        floors, ["dim", "block"], "left")
-    pairs = visits.join(store.drop("n"), ["dim", "shard"]).select(
-        "dim", "block", "shard", "ids", "vectors", "q_ids", "q_vectors", "floors")
-    found = pairs.mapInArrow(_search(k), FOUND)
+    best, done = None, 0
+    order = Window.partitionBy("query_id", "dim", "block").orderBy(F.desc("score"), "vec_id")
+    while done < shards:
+        some = min(shards - done, max(1, ROUND_GROWTH * done))
+        visits = asked.withColumn("shard", F.explode(F.sequence(F.lit(done), F.lit(done + some - 1))))
+        visits = visits.withColumn("shard", F.pmod(F.col("shard") + F.col("block"), F.lit(shards)).cast("int"))
+        if best is None:
+            visits = visits.withColumn("floors", F.lit(None).cast("binary"))
+        else:
+            floors = best.groupBy("dim", "block").applyInArrow(_floors(k), "dim int, block int, floors binary")
+            visits = visits.join(written(floors, "kd-floors"), ["dim", "block"], "left")
+        pairs = visits.join(store, ["dim", "shard"]).select(
+            "dim", "block", "shard", "ids", "vectors", "tree", "q_ids", "q_vectors", "floors")
+        found = pairs.mapInArrow(_tagged(_search(k)), "dim int, block int, " + FOUND)
+        if best is not None:
+            found = found.union(best)
+        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
+        best, former = written(found, "kd-best"), best
+        if former is not None:
+            discard(former)
+        done += some
+    # An id may ask with several vectors, in several blocks.
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -63,6 +63,8 @@ STATES = 50_000
 
 WORD = re.compile(r"[^\W_]+(?:[*@$!][^\W_]+)*")
 QUOTES = re.compile(r'["“”«»„‟]')
+BREAK = re.compile("\n")
+QUOTED_LINE = re.compile(r"\s*>")
 
 
 @dataclass(frozen=True)
@@ -182,17 +184,31 @@ class _Memo(dict):
         return out
 
 
-def _quoted(text: str, at: int, marks: list[int]) -> bool:
-    """Whether a place lies between an odd quotation mark and the next of its line, or on a
-    quoted line."""
-    line = text.rfind("\n", 0, at) + 1
-    if text[line:at].lstrip().startswith(">"):
-        return True
-    stop = text.find("\n", at)
-    stop = len(text) if stop < 0 else stop
-    before = bisect_right(marks, at) - bisect_right(marks, line - 1)
-    after = bisect_right(marks, stop) - bisect_right(marks, at)
-    return before % 2 == 1 and after > 0
+class Quotation:
+    """Where a text quotes: line starts, quotation marks and quoted lines, found once."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts = [0, *(m.end() for m in BREAK.finditer(text))]
+        self.marks = [m.start() for m in QUOTES.finditer(text)]
+        self.lines = {}
+
+    def _line(self, number: int) -> tuple[bool, int, int]:
+        """Whether a line is a quoted one, and the marks before it and up to its end."""
+        start = self.starts[number]
+        stop = self.starts[number + 1] - 1 if number + 1 < len(self.starts) else len(self.text)
+        return (QUOTED_LINE.match(self.text, start) is not None,
+                bisect_right(self.marks, start - 1), bisect_right(self.marks, stop))
+
+    def __contains__(self, at: int) -> bool:
+        """Whether a word lies between an odd quotation mark and the next of its line, or on a
+        quoted line."""
+        number = bisect_right(self.starts, at) - 1
+        if number not in self.lines:
+            self.lines[number] = self._line(number)
+        quoted, first, last = self.lines[number]
+        here = bisect_right(self.marks, at)
+        return quoted or ((here - first) % 2 == 1 and last > here)
 
 
 class Reader:
@@ -209,12 +225,12 @@ class Reader:
             return [0.0] * 5
         found = [(i, m) for i, m in enumerate(matches) if m]
         places = [m.start() for m in WORD.finditer(low)]
-        marks = [m.start() for m in QUOTES.finditer(low)]
+        quotation = Quotation(low)
         plain = fuzzy = quoted = near = 0.0
         last = -WINDOW - 1
         for i, (term, errors) in found:
             w = term.weight
-            if _quoted(low, places[i], marks):
+            if places[i] in quotation:
                 quoted += w
                 continue
             if errors:

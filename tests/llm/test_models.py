@@ -172,3 +172,30 @@ def test_words_and_stems_are_bounded_apart(spark, monkeypatch):
     sample = spark.createDataFrame(rows, "doc_id long, label int, text string")
     terms = toxicity.lexicon(sample, {0: 40, 1: 40})
     assert {t.text for t in terms if not t.stem} == {"insulta", "insultb", "insultc"}
+
+
+def test_quotation_is_told_in_linear_time():
+    """One line of a megabyte with very many hits, and the same places as a plain scan finds."""
+    import random
+    import time
+
+    def plain(text, at):
+        line = text.rfind("\n", 0, at) + 1
+        if text[line:at].lstrip().startswith(">"):
+            return True
+        stop = text.find("\n", at)
+        stop = len(text) if stop < 0 else stop
+        marks = [m.start() for m in toxicity.QUOTES.finditer(text)]
+        return sum(line <= m <= at for m in marks) % 2 == 1 and any(at < m <= stop for m in marks)
+
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice('ab "\n> \r\t') for _ in range(rng.randrange(60)))
+        own = toxicity.Quotation(text)
+        for at in (i for i, c in enumerate(text) if c in "ab"):
+            assert (at in own) == plain(text, at), (text, at)
+    began, long = time.process_time(), "bad \"word\" " * 90_000
+    own = toxicity.Quotation(long)
+    assert sum(at in own for at in range(0, len(long), 11)) == 0
+    assert sum(at in own for at in range(5, len(long), 11)) == 90_000
+    assert time.process_time() - began < 5

@@ -10,6 +10,7 @@ import pytest
 from helpers import DOCS, corpus, odd_rows, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sediment.llm import packing, sharding, token_files, tokens
@@ -188,3 +189,39 @@ def test_literals_of_added_tokens_are_the_library_s(name):
     texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(2000)]
     for t, got in zip(texts, coder.encode(pa.array(texts), 7), strict=True):
         assert got.tolist() == [*own.encode(t, add_special_tokens=False).ids, 7]
+
+
+def test_sources_of_one_row_are_dealt_over_buckets(spark, monkeypatch):
+    """All their fractional ranks are 1/2; the order and the mixture stay as they are."""
+    rows = [(i, f"t{i}", "en", f"s{i}" if i % 3 else "big", 2) for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want = sorted(map(tuple, sharding.interleave(docs, 7).collect()))
+    buckets = []
+    ranked = sharding.stratified_rank
+    monkeypatch.setattr(sharding, "stratified_rank", lambda df, strata, bucket, *a: (
+        buckets.append(df.select(bucket.alias("b")).groupBy("b").count()) or ranked(df, strata, bucket, *a)))
+    monkeypatch.setattr(sharding, "SHARED_ROWS", 100)
+    assert sorted(map(tuple, sharding.interleave(docs, 7).collect())) == want
+    assert max(r["count"] for r in buckets[-1].collect()) < 100
+
+
+def test_stripes_and_row_groups_are_skipped(spark, tmp_path):
+    """A filter on doc_id reads one row group by the row index, and none by the Bloom filter."""
+    n = 6 * token_files.ROW_STRIDE
+    docs = spark.range(n).select((F.col("id") * 2).alias("doc_id"), F.lit("a few words").alias("text"))
+    path = str(tmp_path / "t")
+    token_files.write_tokens(docs.coalesce(1), path)
+
+    def read(i):
+        found = token_files.read_tokens(spark, path).where(F.col("doc_id") == i).select("doc_id", "n_tokens")
+        rows = found.collect()
+        node = found._jdf.queryExecution().executedPlan()
+        assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id" in node.toString()
+        while node.children().nonEmpty():
+            node = node.children().head()
+        return len(rows), node.metrics().get("numOutputRows").get().value()
+
+    hit, scanned = read(2 * (n // 2))
+    assert hit == 1 and 0 < scanned <= token_files.ROW_STRIDE
+    # Odd ids lie inside the bounds of a row group, but in no Bloom filter (but for one in a hundred).
+    assert sum(read(2 * i + 1)[1] == 0 for i in range(100, 112)) >= 10
