@@ -62,3 +62,17 @@ def test_odd_and_empty_documents_pass_every_stage(spark, data):
             assert out.select("doc_id").distinct().count() == len({r[0] for r in data})
         else:
             assert out.columns == P.COLUMNS and out.count() <= len(data)
+        if name == "near_dedup" and data:  # of the three rows "one two" one stays
+            kept = sorted((r["text"], r["doc_id"]) for r in out.where("text = 'one two'").collect())
+            assert kept == [("one two", 5)] and out.count() == len(data) - 2
+
+
+def test_null_and_repeated_ids_are_judged_by_row(spark):
+    rows = [(None, "one two three four five six seven", "en", "a", 1), (None, "one two three four five six seven", "en", "b", 1),
+            (3, "a text of its own, said by nobody else", "en", "a", 1), (3, "another text that has the same id", "en", "a", 1)]
+    near = dict(P.STAGES)["near_dedup"](spark, spark.createDataFrame(rows, DOCS), SF)
+    assert near.count() == 3 and near.where("doc_id = 3").count() == 2
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    docs = [(None, f"before {item} after", "en", "a", 1), (None, "clean", "en", "a", 1), (3, item, "en", "a", 1), (3, "clean too", "en", "a", 1)]
+    clean = dict(P.STAGES)["decontamination"](spark, spark.createDataFrame(docs, DOCS), SF)
+    assert sorted(r["text"] for r in clean.collect()) == ["clean", "clean too"]
