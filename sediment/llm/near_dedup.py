@@ -217,10 +217,11 @@ def _verify(percent: int):
     return run
 
 
-def _components(docs: DataFrame, words: int, percent: int, extra: str = "") -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, words: int, percent: int, extra: str = "",
+                by_id: bool = True) -> tuple[DataFrame, DataFrame]:
     """(rows, classes).  rows: doc_id, the ``extra`` columns, n and digest of every row; classes:
     digest, root (equal in the classes of one component), component_id (its smallest doc_id) and
-    alone (whether the component is one row)."""
+    alone (whether the component is one row).  ``by_id``: rows of one doc_id are linked too."""
     small_batches(docs.sparkSession)
     names = [c.split(" ")[0] for c in extra.split(", ")] if extra else []
     # Which rows to read again for a set: those of a doc_id, or of a text without one.
@@ -236,15 +237,17 @@ def _components(docs: DataFrame, words: int, percent: int, extra: str = "") -> t
     classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
     links = _links(source, classes, words, percent)
 
-    # Rows of one doc_id with different sets.
-    ids = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("digest").alias("low"), F.max("digest").alias("high")).where("low != high")
-    ids = written(ids.select(F.col("doc_id").alias("id"), "low"), "near-ids")
-    same = signed.join(ids, signed["doc_id"] == ids["id"]).where("digest != low").select("digest", "low").distinct()
-    number = classes.select("digest", "rep")
-    same = (same.join(number.withColumnRenamed("rep", "b"), "digest").drop("digest")
-            .join(number.select(F.col("digest").alias("low"), F.col("rep").alias("a")), "low"))
-    label = components(links.union(same.select("a", "b")), "near")
+    if by_id:
+        # Rows of one doc_id with different sets.
+        ids = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+            F.min("digest").alias("low"), F.max("digest").alias("high")).where("low != high")
+        ids = written(ids.select(F.col("doc_id").alias("id"), "low"), "near-ids")
+        same = signed.join(ids, signed["doc_id"] == ids["id"]).where("digest != low").select("digest", "low").distinct()
+        number = classes.select("digest", "rep")
+        same = (same.join(number.withColumnRenamed("rep", "b"), "digest").drop("digest")
+                .join(number.select(F.col("digest").alias("low"), F.col("rep").alias("a")), "low"))
+        links = links.union(same.select("a", "b"))
+    label = components(links, "near")
     label = (label.join(classes.select(F.col("rep").alias("node"), "low"), "node"))
     lowest = label.groupBy(F.col("label").alias("l")).agg(F.min("low").alias("lowest"))
     label = label.join(lowest, label["label"] == lowest["l"]).select("node", "label", "lowest")
@@ -266,9 +269,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
 def survivors(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when of each component one row does: that of the smallest
-    doc_id (nulls last), of its rows the first one.  Rows with empty sets all stay."""
+    doc_id (nulls last), of its rows the first one.  Rows with empty sets all stay; rows that
+    share a doc_id only are no copies."""
     placed = with_places(docs)
-    rows, classes = _components(placed, words, percent, "__file long, __row long")
+    rows, classes = _components(placed, words, percent, "__file long, __row long", by_id=False)
     joined = rows.where("n > 0").join(classes.where("NOT alone"), "digest")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "__file", "__row")
     first = joined.groupBy("root").agg(F.min(order).alias("first"))
