@@ -123,26 +123,37 @@ passages AS (
          dense_rank() OVER (PARTITION BY msg ORDER BY run) AS p
   FROM normed WHERE level > 0 AND turn IS NOT NULL GROUP BY msg, conv_id, turn, level, run
 ),
-asked AS (
-  SELECT DISTINCT conv_id, turn, p, level, unnest(list_concat(
-      [{'u': trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')), 'whole': true}],
-      list_transform(us, lambda x: {'u': x, 'whole': false})), recursive := true)
+split AS (
+  SELECT conv_id, turn, p, level, us, trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')) AS all_text,
+         string_split(all_text, ' ') AS w
   FROM passages
 ),
+asked AS (
+  SELECT conv_id, turn, p, level, u, bool_or(u = all_text) AS whole FROM (
+    SELECT *, unnest(list_concat([all_text], us, list_transform(
+        range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))) AS u
+    FROM split)
+  GROUP BY ALL
+),
 bodies AS (
-  SELECT msg, conv_id, turn, list(u ORDER BY pos) AS us FROM normed
-  WHERE level = 0 AND NOT gone AND turn IS NOT NULL GROUP BY msg, conv_id, turn
+  SELECT msg, conv_id, turn, list(u ORDER BY pos) AS us,
+         trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')) AS all_text,
+         string_split(all_text, ' ') AS w
+  FROM normed WHERE level = 0 AND NOT gone AND turn IS NOT NULL GROUP BY msg, conv_id, turn
 ),
 own AS (
-  SELECT DISTINCT conv_id, turn AS orig, unnest(list_append(
-      us, trim(regexp_replace(array_to_string(us, ' '), ' +', ' ', 'g')))) AS u
+  SELECT DISTINCT conv_id, turn AS orig, unnest(list_concat([all_text], us, list_transform(
+      range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))) AS u
   FROM bodies
 ),
-scored AS (
-  SELECT a.conv_id, a.turn, a.p, a.level, o.orig, max(a.whole) AS whole, count(*) AS n
+voted AS (
+  SELECT a.conv_id, a.turn, a.p, a.level, a.u, a.whole, max(o.orig) AS orig
   FROM asked a JOIN own o ON o.conv_id IS NOT DISTINCT FROM a.conv_id AND o.u = a.u AND o.orig < a.turn
   WHERE a.u <> '' GROUP BY ALL
 ),
+scored AS (
+  SELECT conv_id, turn, p, level, orig, bool_or(whole) AS whole, count(*) AS n FROM voted GROUP BY ALL
+),
 linked AS (
   SELECT * FROM scored
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn, p, level ORDER BY whole DESC, n DESC, orig DESC) = 1

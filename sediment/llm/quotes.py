@@ -4,20 +4,23 @@
    between them allowed) and its content.  Runs of lines of one level >= 1 are quoted passages;
    lines of level 0 are the message's own text.
 2. Own text and passages are normalised (lower case, letters and digits, single spaces) and
-   hashed in units: the whole, and every line.  Quoted units join the own units of earlier
-   messages of the conversation on their hash.
-3. A passage's original is the earlier message that shares its whole text, else the one that
-   shares most of its lines; ties go to the latest.  A message replies to the original of its
+   hashed in units: the whole, every line, and every run of ``RUN_WORDS`` words across line ends,
+   so that a sentence out of a longer line or a re-wrapped quote is found too.
+3. Each unit of a passage votes for the latest earlier message of the conversation that holds it
+   in its own text.  A passage's original is the message its whole text votes for, else the one
+   with the most votes; ties go to the latest.  A message replies to the original of its
    outermost linked passage (lowest quote level), the latest of these.
 4. Depth and thread root follow the reply links by pointer doubling.  A conversation's order puts
    threads by their first message, and in a thread every message after the one it replies to.
 
 Texts lose their quoted lines and the attribution line before a quote (``... wrote:``).
 
-All DataFrame functions.  Work is keyed by message or by (conversation, unit hash), never by a
-whole conversation: positions are ranked in buckets, so a conversation that holds a third of all
-messages is dealt over many tasks.  Quoted units are few against all units, and originals are
-folded to one row per (conversation, unit, turn) first.
+All DataFrame functions.  Work is keyed by message or by (conversation, unit hash, block of
+``BLOCK_TURNS`` turns), never by a whole conversation: the latest earlier holder of a unit is found
+inside its block, or else is the highest one of the blocks before it, so a unit that very many
+messages of one conversation hold and quote costs a row for each of them, not one for each pair.
+Positions are ranked in buckets, so a conversation that holds a third of all messages is dealt over
+many tasks.  Only conversations that quote are cut into units.
 
 Defined cases: a null text is empty; null conv_id and null turn are values like others (nulls
 first), but a message without a turn neither quotes nor is quoted; rows that repeat (conv_id,
@@ -27,16 +30,15 @@ turn) share their quotes and links; quotes that match nothing are removed all th
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import bucket_count, stratified_rank, written
+from sediment.llm.common import discard, stratified_rank, written
 
+RUN_WORDS = 5
+BLOCK_TURNS = 4096
 PREFIX = r"^((?:[ \t]*>)*)"
 ATTRIBUTION = r"(?i)\bwrote:[ \t]*$"
-MESSAGE = ["conv_id", "turn", "role", "row"]
 
 
 def _norm(text: Column) -> Column:
@@ -63,55 +65,78 @@ def _own(parsed: DataFrame) -> Column:
     return F.transform(F.filter("lines", lambda x: (x["level"] == 0) & ~x["gone"]), lambda x: x["content"])
 
 
-def _passages(lines: str = "lines") -> Column:
-    """Runs of equal level >= 1 as (level, contents), by one pass over the lines."""
-    kind = "array<struct<level:int,texts:array<string>>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.get(acc["runs"], F.size(acc["runs"]) - 1)
-        more = (x["level"] > 0) & (x["level"] == acc["level"])
-        grown = F.concat(F.slice(acc["runs"], 1, F.greatest(F.size(acc["runs"]) - 1, F.lit(0))),
-                         F.array(F.struct(last["level"].alias("level"),
-                                          F.concat(last["texts"], F.array(x["content"])).alias("texts"))))
-        new = F.concat(acc["runs"], F.array(F.struct(x["level"].alias("level"),
-                                                     F.array(x["content"]).alias("texts"))))
-        runs = F.when(more, grown).when(x["level"] > 0, new).otherwise(acc["runs"])
-        return F.struct(x["level"].alias("level"), runs.cast(kind).alias("runs"))
-
-    start = F.struct(F.lit(0).alias("level"), F.array().cast(kind).alias("runs"))
-    return F.aggregate(lines, start, step, lambda acc: acc["runs"])
-
-
-def _units(texts: Column) -> Column:
-    """(hash, whole) of a text's whole and of each of its lines, without empty ones."""
-    whole = F.array(F.struct(_norm(F.array_join(texts, " ")).alias("u"), F.lit(True).alias("whole")))
-    each = F.transform(texts, lambda x: F.struct(_norm(x).alias("u"), F.lit(False).alias("whole")))
-    kept = F.filter(F.concat(whole, each), lambda x: x["u"] != "")
-    return F.transform(kept, lambda x: F.struct(F.md5(x["u"].cast("binary")).alias("u"),
-                                                x["whole"].alias("whole")))
+def _passages(parsed: DataFrame) -> DataFrame:
+    """(conv_id, turn, p, level, texts) of the runs of equal level >= 1, cut out at their bounds."""
+    level = lambda i: F.get(F.col("lines"), i)["level"]
+    starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1),
+                      lambda i: ~level(i).eqNullSafe(F.when(i > 0, level(i - 1))))
+    bounded = parsed.withColumn("starts", starts)
+    runs = F.transform("starts", lambda x, j: F.struct(
+        level(x).alias("level"),
+        F.slice("lines", x + 1, F.coalesce(F.get("starts", j + 1), F.size("lines")) - x).alias("run")))
+    cut = bounded.select("conv_id", "turn", F.posexplode(F.filter(runs, lambda r: r["level"] > 0)).alias("p", "x"))
+    return cut.select("conv_id", "turn", "p", F.col("x.level").alias("level"), F.col("x.run.content").alias("texts"))
+
+
+def _units(df: DataFrame, texts: Column, *keys: str) -> DataFrame:
+    """(keys, u, whole): the distinct unit hashes of a text given as lines, without empty ones."""
+    normed = df.select(*keys, F.filter(F.transform(texts, _norm), lambda x: x != "").alias("each"))
+    joined = normed.where(F.size("each") > 0).withColumn("all", F.array_join("each", " "))
+    words = joined.withColumn("w", F.split("all", " "))
+    runs = F.transform(
+        F.when(F.size("w") >= RUN_WORDS, F.sequence(F.lit(1), F.size("w") - (RUN_WORDS - 1)))
+        .otherwise(F.array().cast("array<int>")),
+        lambda i: F.array_join(F.slice("w", i, RUN_WORDS), " "))
+    unit = F.explode(F.array_union(F.array("all"), F.array_union("each", runs))).alias("x")
+    return words.select(*keys, "all", unit).select(
+        *keys, F.md5(F.col("x").cast("binary")).alias("u"), (F.col("x") == F.col("all")).alias("whole"))
+
+
+def latest_before(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``asked`` (conv_id, u, turn) with ``orig``: the highest ``orig`` below turn among the rows
+    of ``held`` (conv_id, u, orig); rows without one are left out.  Both sides are distinct."""
+    block = F.floor(F.col("at") / BLOCK_TURNS)
+    rows = (asked.select("conv_id", "u", F.col("turn").alias("at"), F.lit(False).alias("holds"))
+            .union(held.select("conv_id", "u", F.col("orig").alias("at"), F.lit(True).alias("holds")))
+            .withColumn("block", block))
+    top = (rows.where("holds").groupBy("conv_id", "u", "block").agg(F.max("at").alias("top"))
+           .union(rows.where("not holds").select("conv_id", "u", "block", F.lit(None).alias("top")).distinct()))
+    top = top.groupBy("conv_id", "u", "block").agg(F.max("top").alias("top"))
+    lower = Window.partitionBy("conv_id", "u").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    top = top.select(F.col("conv_id").alias("c"), F.col("u").alias("v"), F.col("block").alias("b"),
+                     F.max("top").over(lower).alias("before"))
+    # At one turn an asking row stands before a holding one: a message does not quote itself.
+    near = Window.partitionBy("conv_id", "u", "block").orderBy("at", "holds")
+    inside = rows.withColumn("last", F.max(F.when(F.col("holds"), F.col("at"))).over(near)).where("not holds")
+    found = inside.join(top, inside["conv_id"].eqNullSafe(top["c"]) & (inside["u"] == top["v"])
+                        & (inside["block"] == top["b"]))
+    return found.select("conv_id", "u", F.col("at").alias("turn"),
+                        F.coalesce("last", "before").alias("orig")).where("orig IS NOT NULL")
 
 
 def link(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to) of the messages with a linked passage."""
-    quoting = parsed.where(F.col("turn").isNotNull() & F.exists("lines", lambda x: x["level"] > 0))
-    passage = quoting.select("conv_id", "turn", F.posexplode(_passages()).alias("p", "run"))
-    asked = written(passage.select("conv_id", "turn", "p", F.col("run.level").alias("level"),
-                                   F.explode(_units(F.col("run.texts"))).alias("x"))
-                    .select("conv_id", "turn", "p", "level", "x.u", "x.whole").distinct(), "quote-units")
-    wanted = asked.select("conv_id", "u").distinct()
-    own = (parsed.where(F.col("turn").isNotNull())
-           .select("conv_id", F.col("turn").alias("orig"), F.explode(_units(_own(parsed))).alias("x"))
-           .select("conv_id", "orig", F.col("x.u").alias("u"), F.col("x.whole").alias("all")))
-    c = wanted.withColumnRenamed("conv_id", "c").withColumnRenamed("u", "v")
-    own = own.join(c, own["conv_id"].eqNullSafe(c["c"]) & (own["u"] == c["v"]), "left_semi")
-    own = own.groupBy("conv_id", "u", "orig").agg(F.max("all").alias("all"))
-    o = own.select(F.col("conv_id").alias("c"), F.col("u").alias("v"), "orig", "all")
-    # For each quoted unit only the latest earlier original matters among equals, but a passage
-    # weighs its units together; copies of a unit are few per conversation and turn.
-    hit = asked.join(o, asked["conv_id"].eqNullSafe(o["c"]) & (asked["u"] == o["v"])
-                     & (o["orig"] < asked["turn"]))
+    timed = parsed.where(F.col("turn").isNotNull())
+    quoting = timed.where(F.exists("lines", lambda x: x["level"] > 0))
+    asked = _units(_passages(quoting), F.col("texts"), "conv_id", "turn", "p", "level")
+    asked = written(asked.groupBy("conv_id", "turn", "p", "level", "u").agg(F.max("whole").alias("whole")),
+                    "quote-units")
+
+    def among(rows: DataFrame, *keys: str) -> DataFrame:
+        """``rows`` whose keys stand in ``asked``, conv_id null-safe."""
+        k = asked.select(*[F.col(x).alias(f"__{x}") for x in keys]).distinct()
+        on = [rows[x].eqNullSafe(k[f"__{x}"]) for x in keys]
+        return rows.join(k, on, "left_semi")
+
+    talks = among(timed.select("conv_id", F.col("turn").alias("orig"), _own(timed).alias("own")), "conv_id")
+    held = among(_units(talks, F.col("own"), "conv_id", "orig"), "conv_id", "u")
+    held = written(held.select("conv_id", "u", "orig").distinct(), "quote-held")
+    votes = latest_before(asked.select("conv_id", "u", "turn").distinct(), held).select(
+        F.col("conv_id").alias("c"), F.col("u").alias("v"), F.col("turn").alias("t"), "orig")
+    hit = asked.join(votes, asked["conv_id"].eqNullSafe(votes["c"]) & (asked["u"] == votes["v"])
+                     & (asked["turn"] == votes["t"]))
     score = hit.groupBy("conv_id", "turn", "p", "level", "orig").agg(
-        F.max(F.col("whole")).alias("full"), F.count(F.lit(1)).alias("n"))
+        F.max("whole").alias("full"), F.count(F.lit(1)).alias("n"))
     best = score.groupBy("conv_id", "turn", "p", "level").agg(
         F.max(F.struct("full", "n", "orig")).alias("b"))
     return best.groupBy("conv_id", "turn").agg(
@@ -122,19 +147,19 @@ def link(parsed: DataFrame) -> DataFrame:
 def threads(links: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, depth, root) by pointer doubling over the reply links."""
     state = written(links.select("conv_id", "turn", "reply_to", F.col("reply_to").alias("root"),
-                                 F.lit(1).alias("depth")), "quote-depth")
+                                 F.lit(1).alias("depth"), F.lit(True).alias("moved")), "quote-depth")
     while True:
         up = state.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"),
                           F.col("root").alias("up"), F.col("depth").alias("more"))
-        state = written(state.join(up, state["conv_id"].eqNullSafe(up["c"]) & (state["root"] == up["t"]),
-                                   "left").select(
+        nxt = written(state.join(up, state["conv_id"].eqNullSafe(up["c"]) & (state["root"] == up["t"]),
+                                 "left").select(
             "conv_id", "turn", "reply_to", F.coalesce("up", "root").alias("root"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.col("up").isNotNull().alias("moved")), "quote-depth")
-        moved = not state.where("moved").isEmpty()
-        state = state.drop("moved")
-        if not moved:
-            return state
+        discard(state)
+        state = nxt
+        if state.where("moved").isEmpty():
+            return state.drop("moved")
 
 
 def format_chats(messages: DataFrame) -> DataFrame:

@@ -141,3 +141,37 @@ def test_quotes_match_the_oracle(spark):
     want = sorted(map(repr, cur.fetchall()))
     got = quotes.contract(spark.createDataFrame(rows, CHATS)).select(names).collect()
     assert sorted(repr(tuple(r)) for r in got) == want
+
+
+def test_partial_and_rewrapped_quotes(spark):
+    rows = [
+        (1, 0, "user", "We will paint the old barn red in May. After that we may mend the long fence by the road."),
+        (1, 1, "assistant", "I have no paint for the old barn at all."),
+        (1, 2, "user", "> After that we may mend the long fence\nWhich fence?"),
+        (1, 3, "assistant", "> We will paint the old\n> barn red in May. After that\n> we may mend\nNot in May."),
+        (1, 4, "user", "> We will paint\nWho?"),
+    ]
+    by = {r["turn"]: r for r in quotes.contract(spark.createDataFrame(rows, CHATS)).collect()}
+    # Three words of a longer line are no unit: the quote is removed, the message not linked.
+    assert [by[t]["reply_to"] for t in range(5)] == [None, None, 0, 0, None]
+    assert by[3]["body"] == "Not in May." and by[4]["body"] == "Who?"
+
+
+def test_latest_earlier_holder_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "BLOCK_TURNS", 4)
+    rng = random.Random(4)
+    asked = {(c, u, rng.randrange(60)) for c in (None, 1) for u in "abc" for _ in range(25)}
+    held = {(c, u, rng.randrange(60)) for c in (None, 1) for u in "abd" for _ in range(7)}
+    got = quotes.latest_before(spark.createDataFrame(sorted(asked, key=repr), "conv_id long, u string, turn int"),
+                               spark.createDataFrame(sorted(held, key=repr), "conv_id long, u string, orig int"))
+    want = {(c, u, t, max(o)) for c, u, t in asked if (o := [x for d, v, x in held if (d, v) == (c, u) and x < t])}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_many_quoted_lines_and_a_hot_unit(spark):
+    """One message of very many quoted lines, and one short line held and quoted by every message."""
+    runs = "\n".join(f"{'>' * (1 + i % 2)} line {i}" for i in range(100_000))
+    rows = [(1, 0, "user", "line 0"), (1, 1, "user", runs)]
+    rows += [(2, t, "user", "> ok\nok") for t in range(20_000)]
+    got = quotes.link(quotes.parse(spark.createDataFrame(rows, CHATS))).collect()
+    assert len(got) == 20_000 and all(r["reply_to"] == r["turn"] - 1 for r in got)
