@@ -76,19 +76,53 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | C
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
+#: Bits of the filter of unbounded parent keys (2 MB): of the children of other parents, one in
+#: seventeen passes it at a million parents.
+FILTER_BITS = 1 << 24
+_MOST_BITS = 1 << 27  # 16 MB, the most that is broadcast
+
+
+def _bit_place(keys: Sequence[Column], bits: int, block: str, bit: str) -> list[Column]:
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+    return [F.bitmap_bucket_number(at).alias(block), F.bitmap_bit_position(at).alias(bit)]
+
+
+def key_bitmaps(keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``(_block, _bitmap)``: one bit for the hash of every row, in bitmaps of 4 KB; at most
+    ``bits / 8`` bytes however many rows there are."""
+    places = keys.select(*_bit_place([F.col(c) for c in keys.columns], bits, "_block", "_bit")).distinct()
+    return places.repartition("_block").groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+
+
+def maybe_in(df: DataFrame, columns: Sequence[Column], keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``df`` whose ``columns`` may stand in ``keys``: none that does is lost, and rows
+    of other keys pass if they share a bit with one.  ``df`` is not shuffled."""
+    if not 0 < bits <= _MOST_BITS:
+        raise ValueError(f"bits must be from 1 to {_MOST_BITS}")
+    typed = [c.cast(f.dataType) for c, f in zip(columns, keys.schema.fields, strict=True)]
+    placed = df.select("*", *_bit_place(typed, bits, "_own_block", "_own_bit"))
+    maps = F.broadcast(key_bitmaps(keys, bits))
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_own_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.expr("shiftleft(1, cast(_own_bit % 8 as int))")) != 0
+    return placed.join(maps, (F.col("_own_block") == F.col("_block")) & is_set, "left_semi").drop("_own_block", "_own_bit")
+
+
 def children_of(children: DataFrame, parents: DataFrame, child_keys: Sequence[str],
                 parent_keys: Sequence[str], top: int | None = None,
-                order: Sequence[str | Column] = ()) -> DataFrame:
+                order: Sequence[str | Column] = (), bits: int | None = FILTER_BITS) -> DataFrame:
     """Child records whose parent is in ``parents`` (left semi join).
 
     With ``top`` only the first ``top`` parents by ``order`` count; they are selected here, so
-    their keys are bounded and broadcast.  Otherwise the planner decides.
+    their keys are bounded and broadcast.  Otherwise parents grow with the data: children pass a
+    broadcast bit filter of the parent keys (``bits``; None for none) before they are shuffled.
     """
     if top is not None:
         parents = top_k(parents, top, order)
     keys = parents.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(parent_keys)]).distinct()
     if top is not None:
         keys = F.broadcast(keys)
+    elif bits is not None:
+        children = maybe_in(children, [F.col(c) for c in child_keys], keys, bits)
     cond = None
     for i, ck in enumerate(child_keys):
         c = children[ck] == keys[f"_pk{i}"]

@@ -424,16 +424,40 @@ def q_feed_children_of_topk_commits(spark, sf):
     return _children_of_top(spark, sf, "commits", "commit_sha", "author_id")
 
 
-def _children_of_top(spark, sf, feed: str, *columns: str) -> DataFrame:
-    """Children of the most starred repositories, matched on (owner, repository)."""
+@register("feed_children_of_starred")
+def q_feed_children_of_starred(spark, sf):
+    return _children_of_starred(spark, sf, "issues", "issue_id", "user_id")
+
+
+@register("feed_children_of_starred_commits")
+def q_feed_children_of_starred_commits(spark, sf):
+    return _children_of_starred(spark, sf, "commits", "commit_sha", "author_id")
+
+
+def _family(spark, sf, feed: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """The repositories, and the records of a child feed with the repository their URL names."""
     b = dt.bronze_inputs(spark, sf)
     repos = b["repositories"].select("repo_id", "owner_login", "repo_name", "stars")
-    children = silver.with_url_repo(b[feed])
+    lines = dt.line_children(dt.read(spark, sf, "documents"))[feed]
+    return repos, silver.with_url_repo(b[feed].select(*columns, "html_url").union(lines))
+
+
+def _children_of_top(spark, sf, feed: str, *columns: str) -> DataFrame:
+    """Children of the most starred repositories, matched on (owner, repository)."""
+    repos, children = _family(spark, sf, feed, *columns)
     return children_of(children, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
                        TOP_REPOSITORIES, [F.desc("stars"), F.asc("repo_id")]).select(
         *columns, F.col("_url_owner").alias("repo_owner"), F.col("_url_repo").alias("repo_name"))
 
 
+def _children_of_starred(spark, sf, feed: str, *columns: str) -> DataFrame:
+    """Children of every repository above the search's star floor, however many there are."""
+    repos, children = _family(spark, sf, feed, *columns)
+    starred = search_filter(repos, min_stars=MIN_STARS)
+    return children_of(children, starred, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"]).select(
+        *columns, F.col("_url_owner").alias("repo_owner"), F.col("_url_repo").alias("repo_name"))
+
+
 @register("feed_filter_state")
 def q_feed_filter_state(spark, sf):
     """Issues of one state (the request's state argument; no star floor)."""

@@ -8,7 +8,7 @@ has the column.
 
 from __future__ import annotations
 
-from sediment.sources.driver_tables import oracle_with
+from sediment.sources.driver_tables import ORACLE_LINES, oracle_with
 
 ORACLE: dict[str, str] = {}
 
@@ -422,18 +422,29 @@ FROM repos r JOIN (VALUES ('python_repos', 'python', 1000), ('javascript_repos',
 ORACLE["feed_topk"] = oracle_with("repos") + """
 SELECT repo_id, repo_name, stars FROM repos ORDER BY stars DESC, repo_id ASC LIMIT 50
 """
-for _suffix, _feed, _key, _time, _user in (("", "issues", "issue_id", "created_at", "user_id"),
-                                           ("_commits", "commits", "commit_sha", "author_date", "author_id")):
+for _suffix, _feed, _key, _time, _user, _line_key, _path in (
+        ("", "issues", "issue_id", "created_at", "user_id", "number", "issues"),
+        ("_commits", "commits", "commit_sha", "author_date", "author_id", "sha", "commit")):
     ORACLE["feed_topk_per_group" + _suffix] = oracle_with(_feed) + f"""
 SELECT {_key}, {_time}, {url_owner("html_url")} AS repo_owner, {url_repo("html_url")} AS repo_name
 FROM {_feed}
 QUALIFY row_number() OVER (PARTITION BY repo_owner, repo_name ORDER BY {_time} DESC, {_key}) <= 50
 """
-    ORACLE["feed_children_of_topk" + _suffix] = oracle_with("repos", _feed) + f"""
-, top AS (SELECT owner_login, repo_name FROM repos ORDER BY stars DESC, repo_id LIMIT 10)
+    _family = oracle_with("repos", _feed) + f"""
+, children AS (
+  SELECT {_key}, {_user}, html_url FROM {_feed}
+  UNION ALL SELECT {_line_key}, pos, repo || '/{_path}/' || CAST({_line_key} AS VARCHAR) FROM ({ORACLE_LINES}))
+"""
+    _chosen = f"""
 SELECT {_key}, {_user}, {url_owner("html_url")} AS repo_owner, {url_repo("html_url")} AS repo_name
-FROM {_feed} WHERE ({url_owner("html_url")}, {url_repo("html_url")}) IN (FROM top)
+FROM children WHERE ({url_owner("html_url")}, {url_repo("html_url")}) IN (FROM chosen)
 """
+    ORACLE["feed_children_of_topk" + _suffix] = _family + """
+, chosen AS (SELECT owner_login, repo_name FROM repos ORDER BY stars DESC, repo_id LIMIT 10)
+""" + _chosen
+    ORACLE["feed_children_of_starred" + _suffix] = _family + """
+, chosen AS (SELECT owner_login, repo_name FROM repos WHERE stars > 1000)
+""" + _chosen
 ORACLE["feed_filter_state"] = oracle_with("issues") + "SELECT issue_id, state FROM issues WHERE state = 'open'"
 
 # --- merges, unions, joins ---------------------------------------------------------------------------

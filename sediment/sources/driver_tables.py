@@ -209,6 +209,20 @@ def issues(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
+def line_children(documents: DataFrame) -> dict[str, DataFrame]:
+    """Child records whose URLs name the repositories of ``documents``: one issue and one commit for
+    every line of a text, so that large repositories have many."""
+    owner = F.regexp_extract("source", "([0-9]+)", 1).try_cast("bigint")
+    rows = documents.select("doc_id", owner.alias("o"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    repo = _cat("https://github.com/u", F.col("o"), "/doc", F.col("doc_id"))
+    number = F.lit(10 ** 12) + F.col("doc_id") * 10 ** 6 + F.col("pos")
+    sha = _cat("L", F.col("doc_id"), "-", F.col("pos"))
+    return {"issues": rows.select(number.alias("issue_id"), F.col("pos").cast("bigint").alias("user_id"),
+                                  F.concat(repo, _cat("/issues/", number)).alias("html_url")),
+            "commits": rows.select(sha.alias("commit_sha"), F.col("pos").cast("bigint").alias("author_id"),
+                                   F.concat(repo, _cat("/commit/", sha)).alias("html_url"))}
+
+
 # What the benchmark tables lack: missing and blank values, details of repositories that no
 # search found, details without an id, conflicting values, every keyword of a message, busy
 # issues, users of one role only, URLs of other hosts.  Every row stays; some values are set by
@@ -399,6 +413,15 @@ FROM (
 }
 
 
+ORACLE_LINES = """
+SELECT doc_id, 'https://github.com/u' || CAST(o AS VARCHAR) || '/doc' || CAST(doc_id AS VARCHAR) AS repo,
+       pos - 1 AS pos, 1000000000000 + doc_id * 1000000 + pos - 1 AS number,
+       'L' || CAST(doc_id AS VARCHAR) || '-' || CAST(pos - 1 AS VARCHAR) AS sha
+FROM (SELECT doc_id, TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) AS o,
+             unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)"""
+
+
 def oracle_with(*names: str) -> str:
     """``WITH`` clause defining the named adapter CTEs (repos, details, commits, issues)."""
     feeds = {"repos": "repositories", "details": "repo_details"}

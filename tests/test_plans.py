@@ -7,7 +7,7 @@ import pytest
 
 from sediment.plans import silver
 from sediment.sources import driver_tables as dt
-from sediment.operators.feeds import children_of, top_k, top_k_per_group
+from sediment.operators.feeds import children_of, maybe_in, top_k, top_k_per_group
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -63,6 +63,37 @@ def test_only_bounded_parents_are_broadcast(spark, bronze, capsys):
     assert "BroadcastExchange" in p
 
 
+def test_unbounded_parents_filter_children_below_the_shuffle(spark, bronze, capsys):
+    wide = bronze["issues"].select("issue_id", "user_id", "body")
+    p = plan(children_of(wide, bronze["repositories"].where("stars > 1000"), ["user_id"], ["owner_id"]), capsys, "simple")
+    lines = p.splitlines()
+    semi = [i for i, x in enumerate(lines) if "LeftSemi" in x]
+    assert "SortMergeJoin" in lines[semi[0]] and "BroadcastHashJoin" in lines[semi[1]]
+    between = [x for x in lines[semi[0]:semi[1]] if "Exchange hashpartitioning(user_id" in x]
+    assert len(between) == 1 and "bitmap_construct_agg" in p  # the children are filtered before it
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 15, (1 << 20) + 7])
+def test_bit_filter_loses_no_child(spark, bits):
+    parents = spark.range(0, 3000, 3).select(F.col("id").cast("int").alias("a"), F.concat(F.lit("r"), "id").alias("b"))
+    parents = parents.union(parents).union(spark.sql("SELECT CAST(NULL AS INT), 'r1'"))
+    rows = spark.range(6000).select(F.col("id").alias("x"), F.concat(F.lit("r"), "id").alias("y"), F.lit(1).alias("_pk"))
+    rows = rows.union(spark.sql("SELECT CAST(NULL AS BIGINT), 'r1', 1"))
+    near = maybe_in(rows, [F.col("x"), F.col("y")], parents.distinct(), bits)
+    kept = {r["x"] for r in near.collect()}
+    assert near.columns == rows.columns and kept >= set(range(0, 3000, 3))
+    if bits > 1 << 16:
+        assert len(kept) < 1100
+    got = children_of(rows, parents, ["x", "y"], ["a", "b"], bits=bits)
+    assert sorted(r["x"] for r in got.collect()) == list(range(0, 3000, 3))
+    assert children_of(rows, parents.limit(0), ["x", "y"], ["a", "b"], bits=bits).isEmpty()
+
+
+def test_bit_filter_is_bounded(spark):
+    with pytest.raises(ValueError):
+        maybe_in(spark.range(1), [F.col("id")], spark.range(1), 1 << 28)
+
+
 def test_null_spreading_keeps_column_pruning(spark, bronze, capsys):
     # The permissions dimension uses no description: the text column must not be read,
     # even though the merge spreads NULL-keyed rows with an extra join key.
