@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-#: Compressed file bytes of a dimension that is broadcast.
+#: Compressed file bytes of a dimension that is broadcast; in memory it may be several times that.
 BROADCAST_FILE_BYTES = 16 << 20
 _PLAIN = {"Project", "Filter", "LogicalRelation"}
 
@@ -45,7 +45,7 @@ def _eq(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence
     return cond
 
 
-def _key(df: DataFrame, name: str) -> Column:
+def join_key(df: DataFrame, name: str) -> Column:
     """A join key; empty strings, which name nothing, never match."""
     c = F.col(name)
     return F.nullif(c, F.lit("")) if df.schema[name].dataType.simpleString() == "string" else c
@@ -61,10 +61,10 @@ def left_join_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     if not isinstance(right_cols, dict):
         right_cols = {c: c for c in right_cols}
     tags = {rk: f"_rk{i}" for i, rk in enumerate(right_keys)}
-    r = right.select(*[_key(right, rk).alias(tags[rk]) for rk in right_keys],
+    r = right.select(*[join_key(right, rk).alias(tags[rk]) for rk in right_keys],
                      *[F.col(src).alias(f"_rc_{dst}") for src, dst in right_cols.items()])
     lk = [f"_lk{i}" for i in range(len(left_keys))]
-    l = left.withColumns({name: _key(left, k) for name, k in zip(lk, left_keys)})
+    l = left.withColumns({name: join_key(left, k) for name, k in zip(lk, left_keys)})
     size = file_bytes(right)
     if size is not None and size <= BROADCAST_FILE_BYTES:
         joined = l.join(F.broadcast(r), _eq(l, r, lk, list(tags.values())), "left")

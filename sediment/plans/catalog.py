@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.functions import rules as R
+from sediment.operators.colocate import colocated_left_join
 from sediment.operators.feeds import (CHILDREN_PER_REPOSITORY, MIN_STARS, REPOSITORIES_PER_RUN,
                                       TOP_REPOSITORIES, children_of, search_filter, search_many, top_k,
                                       top_k_per_group)
@@ -97,6 +98,22 @@ def q_fact_issues(spark, sf):
     return _no_stamps(silver.fact_issues(b["issues"], b["repositories"]))
 
 
+def _colocated_fact(name: str, feed: str, row_key: str) -> Query:
+    """The fact from bronze tables that are stored bucketed by the repository."""
+    def q(spark, sf):
+        b = dt.bronze_inputs(spark, sf)
+        schema = _own_schema(spark)
+        facts, repos = silver.store_colocated(b[feed], b["repositories"], feed, row_key, schema,
+                                              scratch_path(spark, schema))
+        build = getattr(silver, name)
+        return _without_schema(spark, schema, _no_stamps(build(facts, repos, join=colocated_left_join)))
+    return q
+
+
+register("fact_commits_colocated")(_colocated_fact("fact_commits", "commits", "commit_sha"))
+register("fact_issues_colocated")(_colocated_fact("fact_issues", "issues", "issue_id"))
+
+
 @register("fact_pull_requests")
 def q_fact_pull_requests(spark, sf):
     b = dt.bronze_inputs(spark, sf)

@@ -280,6 +280,8 @@ FROM pr LEFT JOIN repos r ON {on}
 
 
 ORACLE["fact_pull_requests"] = _pull_requests("r.owner_id = pr.author_id")
+for _name in ("fact_commits", "fact_issues"):
+    ORACLE[f"{_name}_colocated"] = ORACLE[_name]
 ORACLE["fact_pull_requests_by_url"] = _pull_requests(
     f"{url_owner('pr.html_url')} = r.owner_login AND {url_repo('pr.html_url')} = r.repo_name")
 

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.functions import rules as R
+from sediment.operators.colocate import colocated, join_columns
 from sediment.operators.identity import MAX_IDS, people
 from sediment.operators.joins import HOT_ROWS, fanout_left_join, left_join_keys
 from sediment.operators.merge import merge_coalesce
 from sediment.operators.roles import role_masks, role_union, with_roles
 from sediment.session import scratch_path
-from sediment.sources.tables import write_parquet
+from sediment.sources.tables import save_bucketed, write_parquet
 
 REPO_COLUMNS = [
     "repo_id", "repo_name", "full_name", "description", "html_url", "clone_url", "language",
@@ -172,10 +173,10 @@ def with_url_repo(df: DataFrame, url: str = "html_url") -> DataFrame:
     return df.withColumns({"_url_owner": R.url_repo_owner(url), "_url_repo": R.url_repo_name(url)})
 
 
-def fact_commits(commits: DataFrame, repos: DataFrame,
-                 loaded_at: Column | None = None) -> DataFrame:
+def fact_commits(commits: DataFrame, repos: DataFrame, loaded_at: Column | None = None,
+                 join: Callable[..., DataFrame] = left_join_keys) -> DataFrame:
     keyed = with_url_repo(commits.where(F.col("commit_sha").isNotNull()))
-    joined = left_join_keys(keyed, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
+    joined = join(keyed, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
                             {"repo_id": "repo_id", "repo_name": "repo_name",
                              "full_name": "repo_full_name", "language": "repo_language",
                              "stars": "repo_stars", "forks": "repo_forks"})
@@ -201,10 +202,10 @@ ISSUE_COLUMNS = [
 ]
 
 
-def fact_issues(issues: DataFrame, repos: DataFrame,
-                loaded_at: Column | None = None) -> DataFrame:
+def fact_issues(issues: DataFrame, repos: DataFrame, loaded_at: Column | None = None,
+                join: Callable[..., DataFrame] = left_join_keys) -> DataFrame:
     keyed = with_url_repo(issues.where(F.col("issue_id").isNotNull()))
-    joined = left_join_keys(keyed, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
+    joined = join(keyed, repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
                             {"repo_id": "repo_id", "repo_name": "repo_name",
                              "full_name": "repo_full_name", "language": "repo_language",
                              "stars": "repo_stars", "forks": "repo_forks",
@@ -226,6 +227,17 @@ def fact_issues(issues: DataFrame, repos: DataFrame,
     )
 
 
+def store_colocated(facts: DataFrame, repos: DataFrame, name: str, row_key: str, schema: str,
+                    path: str, buckets: int = 64, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Bronze facts, and the repositories their URLs name, as tables bucketed for ``fact_commits`` and
+    ``fact_issues`` with ``join=colocated_left_join``; the two tables."""
+    spark, keys = facts.sparkSession, join_columns(2)
+    f, r = colocated(with_url_repo(facts), repos, ["_url_owner", "_url_repo"], ["owner_login", "repo_name"],
+                     row_key, hot_rows)
+    return tuple(spark.table(save_bucketed(df, t, schema, f"{path.rstrip('/')}/{t}", keys, buckets))
+                 for df, t in ((f, name), (r, f"repositories_of_{name}")))
+
+
 # T6 ------------------------------------------------------------------------------------------
 PR_RENAMES = {"issue_id": "pr_id", "issue_number": "pr_number", "user_id": "author_id",
               "user_login": "author_login", "user_type": "author_type",

@@ -62,6 +62,15 @@ def save_table(df: DataFrame, name: str, schema: str = "silver", path: str | Non
     return full
 
 
+def save_bucketed(df: DataFrame, name: str, schema: str, path: str, keys: Sequence[str], buckets: int) -> str:
+    """Write ``df`` at ``path`` as a catalog table bucketed and sorted by ``keys``, one file for each
+    bucket: the rows are shuffled once here, and joins of equally bucketed tables need no exchange."""
+    full = f"{schema}.{name}"
+    (df.repartition(buckets, *keys).write.format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(full))
+    return full
+
+
 def table_summary(tables: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """``(table_name, row_count, column_count)`` for each table, as one union of aggregates.
 
