@@ -13,8 +13,9 @@ long document, so the search is asymmetric:
    planner broadcasts the sketch table if its files are small, else shuffles).  Pairs that meet
    are candidates, provided the document has enough words for the partition's smallest item.
 3. Candidates are verified on the shingles themselves, as text: distinct shared shingles against
-   the item's.  A shingle may stand in a third of all documents: documents are dealt by their key
-   over ``DEALS`` copies of the items' shingles, so one shingle's rows go to as many tasks.
+   the item's.  The items' shingles are broadcast if they are measured at ``BROADCAST_BYTES`` or
+   less.  Beyond that both sides are shuffled, and as a shingle may stand in a third of all
+   documents, documents are dealt by their key over ``DEALS`` copies of the items' shingles.
 
 All DataFrame functions; no Python runs on the executors.
 
@@ -37,6 +38,7 @@ from sediment.llm.common import written
 WORDS = 5
 THRESHOLD_PERCENT = 80
 DEALS = 16
+BROADCAST_BYTES = 8 << 20
 
 
 def word_array(text: Column) -> Column:
@@ -111,11 +113,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
 
     wanted = candidates.select("doc_id").distinct()
     texts = source.join(wanted, "doc_id", "left_semi")
-    held = _by_length(texts, lengths, _spelled, "shingle").select(
-        "doc_id", "k", "shingle", F.pmod(F.xxhash64("doc_id"), F.lit(DEALS)).cast("int").alias("deal"))
-    dealt = shingle.select("item_id", "k", "n_item", "shingle", F.explode(
-        F.sequence(F.lit(0), F.lit(DEALS - 1))).alias("deal"))
-    shared = (held.join(dealt, ["k", "shingle", "deal"])
+    held = _by_length(texts, lengths, _spelled, "shingle").select("doc_id", "k", "shingle")
+    own, on = shingle.select("item_id", "k", "n_item", "shingle"), ["k", "shingle"]
+    size = own.agg(F.sum(F.octet_length("shingle") + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        own = F.broadcast(own)
+    else:
+        held = held.withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(DEALS)).cast("int"))
+        own = own.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1)))).hint("merge")
+        on = [*on, "deal"]
+    shared = (held.join(own, on)
               .select("doc_id", "item_id", "n_item", "k", "shingle").distinct()
               .groupBy("doc_id", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_shared")))
     return (shared.where(F.expr(f"n_shared * 100 >= n_item * {percent}"))

@@ -235,7 +235,9 @@ def _contained(docs, items, n=5, percent=80):
     return out
 
 
-def test_contained_items_match_brute_force(spark):
+@pytest.mark.parametrize("broadcast", [8 << 20, -1])
+def test_contained_items_match_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", broadcast)
     rng = random.Random(7)
     items = [(i, " ".join(words(rng, rng.randrange(1, 60)))) for i in range(40)] + [(90, "?!"), (91, None), (92, "")]
     docs = []
