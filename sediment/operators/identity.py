@@ -3,7 +3,8 @@
 Two ids are linked when identities of both carry the same login or the same e-mail address
 (trimmed, lower case; blank ones link nobody).  A value used by more than ``max_ids`` distinct ids
 is no one's own (a no-reply address, a renamed login) and links nobody: the rule is measured on the
-data, and it bounds every group of linked ids, so that no hot value ever meets in one task.
+data, and it bounds every group of linked ids.  Of a hot value each task passes on its ``max_ids + 1``
+smallest ids alone, which tell that it is hot; the others are not shuffled by value.
 
 Components are found by contraction with alternating large-star and small-star steps: every node
 connects its larger (smaller) neighbours to the smallest node it knows of, until only stars are
@@ -13,7 +14,7 @@ with the square of the logarithm of the nodes at most.  Every round is a written
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.session import drop_path, scratch_path
@@ -49,15 +50,19 @@ def _pairs(identities: DataFrame, id_col: str, linking) -> DataFrame:
 def links(identities: DataFrame, id_col: str = "user_id", linking=LINKING,
           max_ids: int = MAX_IDS) -> DataFrame:
     """``(u, v)`` with u > v: every id of a shared value to the smallest id of that value."""
-    pairs, path = _stored(_pairs(identities, id_col, linking), "identity-values")
-    own = pairs.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("v")).where(
-        (F.col("n") > 1) & (F.col("n") <= max_ids))
-    out, _ = _stored(pairs.join(own, ["kind", "value"]).where("id != v").select(F.col("id").alias("u"), "v").distinct(),
-                     "identity-links")
-    drop_path(pairs.sparkSession, path)
+    out, _ = _stored(_to_lowest(_pairs(identities, id_col, linking), max_ids), "identity-links")
     return out
 
 
+def _to_lowest(pairs: DataFrame, max_ids: int) -> DataFrame:
+    value = Window.partitionBy("kind", "value")
+    # Planned as WindowGroupLimit below the exchange: a task sends a value at most max_ids + 1 times.
+    few = pairs.withColumn("rank", F.row_number().over(value.orderBy("id"))).where(F.col("rank") <= max_ids + 1)
+    known = few.select("id", F.count(F.lit(1)).over(value).alias("n"), F.min("id").over(value).alias("v"))
+    return known.where((F.col("n") <= max_ids) & (F.col("id") != F.col("v"))).select(
+        F.col("id").alias("u"), "v").distinct()
+
+
 def contract(edges: DataFrame) -> DataFrame:
     """``(u, root)`` of every node of ``edges(u, v)`` but the roots: the smallest node of its component."""
     spark = edges.sparkSession

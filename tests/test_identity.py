@@ -55,6 +55,18 @@ def test_values_of_many_ids_link_nobody(spark):
     assert [(r["kind"], r["value"], r["ids"], r["lowest"]) for r in hot] == [("user_email", "noreply@x.org", 6, 0)]
 
 
+def test_a_hot_value_is_cut_below_the_exchange(spark):
+    pairs = spark.createDataFrame([(i, "user_email", "noreply@x.org") for i in range(1000)],
+                                  "id long, kind string, value string")
+    found = identity._to_lowest(pairs, 20)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
+    order = ["Final" if "Final" in x else "Partial" if "Partial" in x else "Exchange" for x in limits]
+    at = order.index("Final")
+    assert order[at:at + 3] == ["Final", "Exchange", "Partial"], limits
+
+
 def test_a_third_of_all_rows_on_one_value(spark):
     """The hot address is left out before anything is joined on it."""
     ids = spark.range(30_000).select(F.col("id").alias("user_id"), F.concat(F.lit("u"), F.col("id") % 10_000).alias(
