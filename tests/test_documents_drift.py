@@ -30,6 +30,38 @@ def test_documents_get_their_names(spark, tmp_path):
         L.write_documents(spark.createDataFrame([("a/b.json", "x")], "file_name string, value string"), base)
 
 
+def test_documents_land_without_a_driver_call_each(spark, tmp_path, monkeypatch):
+    client, calls = type(spark.sparkContext._gateway._gateway_client), []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, *a, **k: (calls.append(1), send(self, *a, **k))[1])
+    docs = spark.range(800).select(F.concat(F.lit("notes_"), F.col("id"), F.lit(".json")).alias("file_name"),
+                                   F.col("id").cast("string").alias("value"))
+    assert L.write_documents(docs, str(tmp_path / "landing")) == 800
+    assert len(calls) < 800
+    assert spark.read.text(str(tmp_path / "landing")).agg(F.sum(F.col("value").cast("int"))).first()[0] == 799 * 400
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_names_that_repeat_and_names_that_are_taken(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(L, "_land_in_tasks", lambda docs, base, tag: L._land_by_driver(
+            docs, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(
+                spark.sparkContext._jsc.hadoopConfiguration()), base, tag))
+    base = str(tmp_path / "landing")
+    spark.createDataFrame([("x",)], "value string").coalesce(1).write.text(base)  # Hadoop's client leaves checksums
+    part = next(f for f in os.listdir(base) if f.startswith("part-"))
+    docs = [(part, "another, longer"), ("b.json", None), (None, "x")]
+    assert L.write_documents(spark.createDataFrame(docs, "file_name string, value string"), base) == 3
+    assert sorted(r[0] for r in spark.read.text(f"{base}/{part}").collect()) == ["another, longer"]
+    with open(f"{base}/b.json") as f:
+        assert f.read() == "\n"
+    assert os.path.exists(f"{base}/{L.NO_NAME}")
+    docs = spark.createDataFrame([("c.json", "1"), ("d.json", "2"), ("c.json", "3")], "file_name string, value string")
+    assert L.write_documents(docs.repartition(3), base) == 2
+    assert sorted(r[0] for r in spark.read.text(f"{base}/c.json").collect()) == ["1", "3"]
+    assert not [f for f in os.listdir(base) if f.startswith(".landing")]
+
+
 def test_report_of_every_file(spark, tmp_path):
     base = str(tmp_path)
     good = json.dumps({"ingestion_timestamp": "2024-01-01T00:00:00", "data": {"issues": [{"id": 1}, {"id": 2}]}}, indent=1)
