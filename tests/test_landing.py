@@ -288,3 +288,17 @@ def test_skip_mode_skips_only_what_fails(spark, landing, tmp_path):
     assert set(got) == {"dim_users", "fact_commits", "fact_issues", "fact_pull_requests"}
     with pytest.raises(KeyError):
         build_silver(spark, frames, str(tmp_path / "silver2"))
+
+
+def test_landed_lines_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    import sediment.sources.landing as L
+
+    monkeypatch.setattr(L, "PAGES_PER_FILE", 10)
+    d = str(tmp_path / "l")
+    recs = spark.range(1000).select(F.struct(F.col("id"), F.repeat(F.lit("text "), 100).alias("title")).alias("rec"),
+                                    (F.col("id") / 10).cast("int").alias("page"))
+    write_envelopes(recs.coalesce(1), "issues", d, ["page"], F.lit("2024-01-01T00:00:00"))
+    files = [f for f in os.listdir(f"{d}/feed=issues") if f.startswith("part-")]
+    assert len(files) >= 10 and all(f.endswith(".json.gz") for f in files)
+    assert sum(os.path.getsize(f"{d}/feed=issues/{f}") for f in files) < 500 * 1000 / 4
+    assert feed_records(scan_feed(spark, d, "issues", "lines"), "issues").count() == 1000
