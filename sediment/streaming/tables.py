@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sediment.operators.merge import latest_per_key
+from sediment.operators.merge import latest_per_key, newest_of_placed, placed
 from sediment.operators.roles import (COMMIT_ROLES, GRAIN, ISSUE_ROLES, OWNER_ROLE, role_masks,
                                       roles_of)
 from sediment.plans.bronze import LOG_META, landing_log
@@ -62,17 +62,20 @@ def read_buckets(spark: SparkSession, path: str, touched: Sequence[int] | None =
     return table if touched is None else table.where(F.col("_bucket").isin(list(touched)))
 
 
-def upsert(batch: DataFrame, path: str, feed: str, batch_id: int, buckets: int = BUCKETS) -> list[int]:
-    """Merge flattened records (with ``_landed_at`` and ``_source_file``) into a bucketed table;
-    the touched buckets."""
+def upsert(batch: DataFrame, path: str, feed: str, batch_id: int, buckets: int = BUCKETS,
+           stored: bool = False) -> list[int]:
+    """Merge flattened records (with ``_landed_at`` and ``_source_file``) into a bucketed table; the
+    touched buckets.  Of a batch read from stored files whole rows are shuffled to their buckets alone,
+    not by key as well."""
     spark, keys = batch.sparkSession, BRONZE_KEYS[feed]
-    rows = batch.withColumn("_bucket", bucket_of(keys, buckets, batch_id))
+    place, newest = (placed, newest_of_placed) if stored else (lambda df: df, latest_per_key)
+    rows = place(batch).withColumn("_bucket", bucket_of(keys, buckets, batch_id))
     touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())
     if touched:
         if path_exists(spark, path):
             former = read_buckets(spark, path, [b for b in touched if b < buckets])
-            rows = former.unionByName(rows)
-        _overwrite_buckets(latest_per_key(rows, keys, list(LOG_COLUMNS)), path, "_bucket")
+            rows = place(former).unionByName(rows)
+        _overwrite_buckets(newest(rows, keys, list(LOG_COLUMNS)), path, "_bucket")
         spark.catalog.refreshByPath(path)
     return touched
 
@@ -110,7 +113,7 @@ def ingest(spark: SparkSession, landing_dir: str, work: str, feed: str, layout:
             if not bad.isEmpty():
                 write_parquet(bad, f"{base}/quarantine/{feed}/batch={batch_id}")
             records = log.where("_is_record").drop(*[c for c in LOG_META if c not in LOG_COLUMNS])
-            touched = upsert(records, f"{base}/bronze/{feed}", feed, batch_id, buckets)
+            touched = upsert(records, f"{base}/bronze/{feed}", feed, batch_id, buckets, stored=True)
             if touched and feed in ROLE_SOURCES:
                 refresh_roles(own, f"{base}/bronze/{feed}", f"{base}/user_roles/{feed}", feed, touched)
         finally:

@@ -143,3 +143,26 @@ def test_newest_rows_groups_narrow_columns_only(spark, tmp_path, capsys):
     assert all("body" not in line for line in p.splitlines() if "Aggregate" in line or "functions=" in line)
     once = spark.read.parquet(write_parquet(df.dropDuplicates(["id"]), str(tmp_path / "once")))
     assert "Aggregate" not in plan(newest_rows(once, ["id"], ["day", "file"]), capsys)
+
+
+def test_many_replaced_rows_are_marked_not_shuffled(spark, tmp_path, capsys, monkeypatch):
+    from sediment.operators import merge as M
+
+    path = str(tmp_path / "log")
+    rows = spark.range(5000).selectExpr("IF(id % 7 = 0, NULL, id % 1500) AS id", "id div 1500 AS day",
+                                        "'f' AS file", "CAST(id % 4 AS STRING) AS v", "repeat('x', 50) AS wide")
+    rows.unionAll(rows.where("day = 3 AND id < 300").withColumn("v", F.lit("9"))).repartition(3).write.parquet(path)
+    log = spark.read.parquet(path)
+    for small in (10 ** 6, 5, 0):  # broadcast by place, as marks, shuffled
+        got = M.newest_of_placed(M.placed(log), ["id"], ["day", "file"], small)
+        want = M.latest_per_key(log, ["id"], ["day", "file"])
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    distinct = spark.range(90000).selectExpr("id % 45000 AS id", "id div 45000 AS day", "'f' AS file", "'x' AS wide")
+    distinct.coalesce(1).write.parquet(path + "2")
+    log = spark.read.parquet(path + "2")
+    for newest in (M.newest_rows(log, ["id"], ["day", "file"], 5),
+                   M.newest_of_placed(M.placed(log), ["id"], ["day", "file"], 5)):
+        assert newest.agg(F.count("id"), F.min("day"), F.count_distinct("id")).first()[:] == (45000, 1, 45000)
+        lines = plan(newest, capsys).split("\n")
+        assert any("bitmap_construct_agg" in x for x in lines)
+        assert "BroadcastHashJoin LeftOuter" in next(x for x in lines if "Join" in x)  # the join of the wide rows
