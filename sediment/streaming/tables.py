@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sediment.operators.joins import file_bytes
 from sediment.operators.merge import latest_per_key, newest_of_placed, placed
 from sediment.operators.roles import (COMMIT_ROLES, GRAIN, ISSUE_ROLES, OWNER_ROLE, role_masks,
                                       roles_of)
@@ -37,6 +38,8 @@ from sediment.sources.tables import write_parquet
 from sediment.streaming.incremental import LOG_COLUMNS, landing_stream
 
 BUCKETS = 64
+#: Tasks write the buckets of the rows they read if a file of one task and bucket has so many bytes.
+FILE_BYTES = 4 << 20
 ROLE_SOURCES = {"repositories": OWNER_ROLE, "commits": COMMIT_ROLES, "issues": ISSUE_ROLES}
 
 
@@ -57,25 +60,46 @@ def _overwrite_buckets(df: DataFrame, path: str, *by: str) -> None:
      .partitionBy(*by).parquet(path))
 
 
+def _write_from_scan(df: DataFrame, path: str, writers: int) -> None:
+    """``_overwrite_buckets`` by the tasks that read the rows, each with a file open for every bucket:
+    the rows are neither shuffled nor sorted."""
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    former = conf.get(name)
+    conf.set(name, str(writers))
+    try:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path))
+    finally:
+        conf.set(name, former)
+
+
 def read_buckets(spark: SparkSession, path: str, touched: Sequence[int] | None = None) -> DataFrame:
     table = spark.read.parquet(path)
     return table if touched is None else table.where(F.col("_bucket").isin(list(touched)))
 
 
+def _bytes(reads: Sequence[DataFrame]) -> int:
+    return sum(file_bytes(df) or 0 for df in reads)
+
+
 def upsert(batch: DataFrame, path: str, feed: str, batch_id: int, buckets: int = BUCKETS,
            stored: bool = False) -> list[int]:
     """Merge flattened records (with ``_landed_at`` and ``_source_file``) into a bucketed table; the
-    touched buckets.  Of a batch read from stored files whole rows are shuffled to their buckets alone,
-    not by key as well."""
+    touched buckets.  Of a batch read from stored files whole rows are not shuffled by key, and to their
+    buckets only if the files that the reading tasks would write were smaller than ``FILE_BYTES``."""
     spark, keys = batch.sparkSession, BRONZE_KEYS[feed]
     place, newest = (placed, newest_of_placed) if stored else (lambda df: df, latest_per_key)
+    parts = [batch]
+    touched = sorted(r[0] for r in batch.select(bucket_of(keys, buckets, batch_id)).distinct().collect())
     rows = place(batch).withColumn("_bucket", bucket_of(keys, buckets, batch_id))
-    touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())
     if touched:
         if path_exists(spark, path):
-            former = read_buckets(spark, path, [b for b in touched if b < buckets])
-            rows = place(former).unionByName(rows)
-        _overwrite_buckets(newest(rows, keys, list(LOG_COLUMNS)), path, "_bucket")
+            parts.append(read_buckets(spark, path, [b for b in touched if b < buckets]))
+            rows = place(parts[1]).unionByName(rows)
+        merged = newest(rows, keys, list(LOG_COLUMNS))
+        if stored and _bytes(parts) >= FILE_BYTES * len(touched) * rows.rdd.getNumPartitions():
+            _write_from_scan(merged, path, len(touched))
+        else:
+            _overwrite_buckets(merged, path, "_bucket")
         spark.catalog.refreshByPath(path)
     return touched
 

@@ -136,3 +136,24 @@ def test_unusable_documents_go_to_quarantine(spark, zone):
     bad = spark.read.parquet(f"{work}/quarantine/issues")
     assert [r["reason"] for r in bad.collect()] == ["malformed"]
     assert T.bronze_table(spark, work, "issues").count() == 1
+
+
+def test_large_batches_are_written_by_the_tasks_that_read_them(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000).selectExpr("IF(id % 50 = 0, NULL, id % 1000) AS issue_id", "concat('t', id) AS title",
+                                        "timestamp'2024-01-01' + make_dt_interval(id div 1000) AS _landed_at",
+                                        "'f' AS _source_file")
+    stored = [str(tmp_path / f"batch{i}") for i in (0, 1)]
+    rows.where("id < 1500").repartition(3).write.parquet(stored[0])
+    rows.where("id >= 1500").repartition(3).write.parquet(stored[1])
+    direct, was = [], T._write_from_scan
+    monkeypatch.setattr(T, "_write_from_scan", lambda *a: (direct.append(1), was(*a)))
+
+    def table(name, least):
+        monkeypatch.setattr(T, "FILE_BYTES", least)
+        for i, path in enumerate(stored):
+            T.upsert(spark.read.parquet(path), f"{tmp_path}/{name}", "issues", i, 4, stored=True)
+        return sorted(map(tuple, spark.read.parquet(f"{tmp_path}/{name}").select(
+            "issue_id", "title", "_landed_at", "_bucket").collect()), key=repr)
+    shuffled = table("a", 1 << 40)
+    assert not direct and table("b", 1) == shuffled and len(direct) == 2
+    assert len(shuffled) == 980 + 60 and all(r[0] is not None or r[3] >= 4 for r in shuffled)
