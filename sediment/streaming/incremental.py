@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sediment.operators.merge import newest_rows
 from sediment.plans.bronze import LOG_META, landing_log
 from sediment.schemas import BRONZE_KEYS, FEEDS, envelope
+from sediment.sources.landing import DOCUMENTS, document_name
 
 LOG_COLUMNS = ("_landed_at", "_source_file")
 
@@ -33,15 +34,16 @@ def landing_stream(spark: SparkSession, landing_dir: str, feed: str, layout: str
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if layout == "document":
-        reader = (reader.option("multiLine", "true").option("pathGlobFilter", f"{feed}_*.json")
+        reader = (reader.option("multiLine", "true").option("pathGlobFilter", f"{feed}_{DOCUMENTS}")
                   .option("recursiveFileLookup", "true"))  # as scan_feed does
         path = landing_dir
     elif layout == "lines":
         path = f"{landing_dir.rstrip('/')}/feed={feed}"
     else:
         raise ValueError("layout must be 'document' or 'lines'")
+    file = F.col("_metadata.file_name")
     return reader.json(path).select("ingestion_timestamp", "data", "_corrupt_record",
-                                    F.col("_metadata.file_name").alias("source_file"))
+                                    (document_name(file) if layout == "document" else file).alias("source_file"))
 
 
 def ingest_new_landing(spark: SparkSession, landing_dir: str, log_dir: str,

@@ -126,3 +126,43 @@ def test_observed_counts_replace_the_second_parse(spark, tmp_path):
     plan = observed._jdf.queryExecution().executedPlan().toString()
     assert "FileScan json" not in plan and "FileScan json" in by_parse._jdf.queryExecution().executedPlan().toString()
     assert set(landed) <= set(FEEDS)
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_gzipped_documents_are_read_under_their_names(spark, tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(L, "_land_in_tasks", lambda docs, base, tag, *more: L._land_by_driver(
+            docs, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(
+                spark.sparkContext._jsc.hadoopConfiguration()), base, tag, *more))
+    base = str(tmp_path / "landing")
+    good = json.dumps({"ingestion_timestamp": "2024-01-01T00:00:00", "data": {"issues": [
+        {"id": i, "title": "text " * 200} for i in range(50)]}}, indent=1)
+    docs = [("issues_o_r_1.json", good), ("issues_é_2.json", good[:60]), ("other_1.json", good)]
+    frame = spark.createDataFrame(docs, "file_name string, value string")
+    assert L.write_documents(frame, base) == 3
+    plain = {tuple(r) for r in L.file_report(spark, base).collect()}
+    variants = L.scan_variant(spark, base, "issues").selectExpr("source_file", "cast(doc AS string)").collect()
+    # A document replaces its former one, in whichever form that is.
+    assert L.write_documents(frame, base, compression="gzip") == 3
+    files = [f for f in os.listdir(base) if not f.startswith(".")]
+    assert sorted(files) == sorted(f"{n}.gz" for n, _ in docs)
+    assert os.path.getsize(f"{base}/issues_o_r_1.json.gz") < len(good) / 10
+    assert {tuple(r) for r in L.file_report(spark, base).collect()} == plain
+    assert {r[0] for r in L.scan_feed(spark, base, "issues").select("source_file").collect()} == {n for n, _ in docs[:2]}
+    assert sorted(L.scan_variant(spark, base, "issues").selectExpr("source_file", "cast(doc AS string)").collect(), key=str
+                  ) == sorted(variants, key=str)
+    tables = build_bronze(spark, base, str(tmp_path / "bronze"))
+    assert spark.read.parquet(tables["issues"]).count() == 50
+    assert L.write_documents(frame.limit(1), base) == 1
+    assert sorted(f for f in os.listdir(base) if not f.startswith(".")) == sorted(
+        ["issues_o_r_1.json", "issues_é_2.json.gz", "other_1.json.gz"])
+
+
+def test_rows_of_a_name_meet_without_a_shuffle_of_their_text(spark, tmp_path):
+    base = str(tmp_path / "landing")
+    docs = spark.range(40).repartition(4).selectExpr("concat('n', id % 10, '.json') AS file_name",
+                                                     "concat(id, repeat(' ', 1000)) AS value")
+    assert L.write_documents(docs, base, compression="gzip") == 10
+    assert len([f for f in os.listdir(base) if not f.startswith(".")]) == 10
+    got = spark.read.text(base, pathGlobFilter="*.gz").selectExpr("cast(trim(value) AS int) AS n", "_metadata.file_name AS f")
+    assert sorted((r.f, r.n) for r in got.collect()) == sorted((f"n{i % 10}.json.gz", i) for i in range(40))
